@@ -26,6 +26,8 @@ PIECE_CHARGE = 1.0
 IMBALANCE = 0.6
 #: Up to so many pieces each cut is searched only where it can lie; beyond, one pass over all cuts.
 LAYERED = 8
+#: A stretch of the longest allowed distance between cuts offers about so many of them.
+CELLS = 150
 #: Weight of a missing or excess share of the wanted overlap when its start is chosen.
 OVERLAP_MISS = 2.0
 
@@ -89,7 +91,8 @@ class Splitter:
             for k in wide:
                 low, high = int(edges[k]), int(edges[k + 1])
                 if finer == INSIDE:
-                    p = np.arange(low + 1, high)
+                    step = max(1, reach // CELLS) if self.visible is None else 1
+                    p = np.arange(low + step, high, step)
                     if self.visible is not None:
                         seen = p[self.visible[p]]
                         # a single visible character longer than the limit has to be cut itself
@@ -106,7 +109,17 @@ class Splitter:
             cost = np.concatenate([cost, *extra_c])
             order = np.argsort(pos, kind="stable")
             pos, cost = pos[order], cost[order]
-        return pos, cost
+        return self.thin(pos, cost, reach)
+
+    def thin(self, pos: np.ndarray, cost: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where boundaries crowd, the best of each short cell stands for it."""
+        cell = reach // CELLS
+        if cell < 2 or len(pos) * cell <= self.n:
+            return pos, cost
+        order = np.lexsort((pos, cost, pos // cell))
+        first = np.concatenate(([True], np.diff(pos[order] // cell) > 0))
+        keep = np.sort(order[first])
+        return pos[keep], cost[keep]
 
     def begin_after(self, cuts: np.ndarray, overlap: int) -> np.ndarray:
         """For each cut, where the next piece begins: the boundary that comes nearest to the overlap."""
@@ -139,7 +152,7 @@ class Splitter:
         if n <= limit or limit < 1:
             return [(0, n)]
         overlap = max(0, min(overlap, (limit - 1) // 2))
-        reach = max(1, limit - 2 * overlap)
+        reach = max(1, (limit - 2 * overlap) * (CELLS - 4) // CELLS)
         pos, penalty = self.candidates(reach)
         begin = self.begin_after(pos, overlap)
         pieces = max(2, -(-(n - overlap) // max(1, limit - overlap)))
