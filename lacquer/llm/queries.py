@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lacquer.llm import leakage, spam, splitting, tokenize
+from lacquer.llm import boilerplate, leakage, spam, splitting, tokenize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": splitting.p2_found,
     "p2_pieces": splitting.p2_pieces,
+    "p5_found": boilerplate.p5_found,
     "p6_ids": tokenize.p6_ids,
     "p7_found": leakage.p7_found,
     "p8_found": spam.p8_found,
