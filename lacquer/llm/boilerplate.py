@@ -240,15 +240,9 @@ def learn(pages: list[str]) -> Weights:
 
 def train(chapters: DataFrame, id_col: str = "chunk_id", text_col: str = "source_chunk", train_pages: int = 800) -> Weights:
     """Learn from at most ``train_pages`` pages, chosen by the hash of their id."""
-    rows = (
-        chapters.where(F.col(text_col) != "")
-        .select(F.xxhash64(F.col(id_col).cast("string"), F.lit("page")).alias("h"), F.col(text_col).alias("text"))
-        .orderBy("h", "text")
-        .limit(train_pages)
-        .select("text")
-        .collect()
-    )
-    return learn([r.text for r in rows])
+    from lacquer.llm.sampling import bounded_texts
+
+    return learn(bounded_texts(chapters.where(F.col(text_col) != ""), id_col, text_col, train_pages, "page"))
 
 
 def find_boilerplate(chapters: DataFrame, weights: Weights | None = None, id_col: str = "chunk_id", text_col: str = "source_chunk") -> DataFrame:

@@ -217,15 +217,10 @@ def weak_labels(x: np.ndarray) -> np.ndarray:
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_rows: int = 8000) -> BaggedTrees:
     """Fit on at most ``train_rows`` texts, chosen by the hash of their id."""
-    rows = (
-        docs.where(F.trim(text_col) != "")
-        .select(F.xxhash64(F.col(id_col).cast("string"), F.lit("spam")).alias("h"), F.col(text_col).alias("text"))
-        .orderBy("h", "text")
-        .limit(train_rows)
-        .select("text")
-        .collect()
-    )
-    x = np.array([page_features(r.text) for r in rows]).reshape(-1, len(FEATURES))
+    from lacquer.llm.sampling import bounded_texts
+
+    texts = bounded_texts(docs.where(F.col(text_col).rlike(r"\S")), id_col, text_col, train_rows, "spam")
+    x = np.array([page_features(t) for t in texts]).reshape(-1, len(FEATURES))
     y = weak_labels(x)
     x, y = x[y >= 0], y[y >= 0]
     if not len(y) or y.min() == y.max():  # no example of one kind: two clear ones stand for it
