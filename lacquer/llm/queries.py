@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lacquer.llm import boilerplate, leakage, names, spam, splitting, tokenize, truncation
+from lacquer.llm import alignment, boilerplate, leakage, names, spam, splitting, tokenize, truncation
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": truncation.p1_found,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": splitting.p2_found,
     "p2_pieces": splitting.p2_pieces,
     "p3_found": names.p3_found,
+    "p4_found": alignment.p4_found,
     "p5_found": boilerplate.p5_found,
     "p6_ids": tokenize.p6_ids,
     "p7_found": leakage.p7_found,
