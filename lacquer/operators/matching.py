@@ -12,14 +12,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lacquer.functions.text import estimate_tokens
+from lacquer.session import spread
 
 
-def character_pairs(text: Column | str) -> Column:
-    """The distinct pairs of neighbouring characters, and the characters themselves."""
-    t = F.col(text) if isinstance(text, str) else text
-    n = F.length(t)
-    pairs = F.when(n >= 2, F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.substring(t, i, F.lit(2)))).otherwise(F.array().cast("array<string>"))
-    return F.array_distinct(pairs)
+def beginnings(text: Column | str) -> Column:
+    """What names in a text can begin with: its distinct characters and pairs of neighbouring ones."""
+    # characters once, then neighbours by place: taking substrings would count from the start each time
+    chars = F.split(F.col(text) if isinstance(text, str) else text, "")
+    n = F.greatest(F.size(chars) - 1, F.lit(0))
+    pairs = F.zip_with(F.slice(chars, 1, n), F.slice(chars, 2, n), lambda a, b: F.concat(a, b))
+    return F.array_distinct(F.concat(chars, pairs))
 
 
 def occurrences(text: Column | str, name: Column | str) -> Column:
@@ -36,12 +38,9 @@ def name_hits(texts: DataFrame, names: DataFrame, key: str, id_col: str, text_co
     """
     texts = texts.where(F.col(key).isNotNull() & (F.col(text_col) != "")).select(F.col(id_col).alias("_id"), F.col(key).alias("_key"), F.col(text_col).alias("_text"))
     names = names.where(F.col(key).isNotNull() & (F.col(name_col) != "")).select(F.col(key).alias("_key"), F.col(name_col).alias("_name")).distinct()
-    long, short = names.where(F.length("_name") >= 2), names.where(F.length("_name") < 2)
-    grams = texts.select("_id", "_key", F.explode(character_pairs("_text")).alias("_gram"))
-    ones = texts.select("_id", "_key", F.explode(F.array_distinct(F.split("_text", ""))).alias("_gram"))
-    maybe = grams.join(long.withColumn("_gram", F.substring("_name", 1, 2)), ["_key", "_gram"]).select("_id", "_key", "_name")
-    surely = ones.join(short.withColumn("_gram", F.col("_name")), ["_key", "_gram"]).select("_id", "_key", "_name")
-    found = maybe.unionByName(surely).join(texts, ["_id", "_key"]).withColumn("occ", occurrences("_text", "_name")).where("occ > 0")
+    grams = spread(texts).select("_id", "_key", F.explode(beginnings("_text")).alias("_gram"))
+    maybe = grams.join(names.withColumn("_gram", F.substring("_name", 1, 2)), ["_key", "_gram"]).select("_id", "_key", "_name")
+    found = maybe.join(texts, ["_id", "_key"]).withColumn("occ", occurrences("_text", "_name")).where("occ > 0")
     return found.select(F.col("_id").alias(id_col), F.col("_key").alias(key), F.col("_name").alias(name_col), "occ")
 
 
@@ -70,4 +69,4 @@ def pick_entries(scored: DataFrame, id_col: str, entry: str, most: int) -> DataF
     return kept.withColumn("place", place)
 
 
-__all__ = ["character_pairs", "estimate_tokens", "name_hits", "occurrences", "pick_entries", "scored_entries", "within_budget"]
+__all__ = ["beginnings", "estimate_tokens", "name_hits", "occurrences", "pick_entries", "scored_entries", "within_budget"]
