@@ -252,6 +252,8 @@ def find_boilerplate(chapters: DataFrame, weights: Weights | None = None, id_col
     blank texts give nothing; a page without any story gives all its lines; repeated rows give
     repeated results; other columns are ignored.
     """
+    from lacquer.session import spread
+
     shared = chapters.sparkSession.sparkContext.broadcast((weights or train(chapters, id_col, text_col)).tags)
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,7 +269,7 @@ def find_boilerplate(chapters: DataFrame, weights: Weights | None = None, id_col
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(numbers, pa.int32())], ["chunk_id", "line_no"])
 
     rows = chapters.where(F.col(text_col) != "").select(F.col(id_col).cast("bigint").alias("chunk_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(mark, "chunk_id bigint, line_no int")
+    return spread(rows).mapInArrow(mark, "chunk_id bigint, line_no int")
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:

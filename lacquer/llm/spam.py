@@ -232,13 +232,15 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train
 
 def score_pages(docs: DataFrame, model: BaggedTrees, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """``(doc_id, host, vote)`` for every text that is not blank."""
+    from lacquer.session import spread
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = np.array([page_features(t) for t in batch.column(2).to_pylist()]).reshape(-1, len(FEATURES))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(model.vote(x))], ["doc_id", "host", "vote"])
 
     rows = docs.where(F.col(text_col).rlike(r"\S")).select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(host_col).alias("host"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(score, "doc_id bigint, host string, vote double")
+    return spread(rows).mapInArrow(score, "doc_id bigint, host string, vote double")
 
 
 def find_spam(docs: DataFrame, threshold: float = 0.5, host_weight: float = 0.15, prior_pages: float = 20.0, train_rows: int = 8000) -> DataFrame:

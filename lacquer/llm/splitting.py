@@ -228,7 +228,7 @@ def split_texts(texts: DataFrame, caps: DataFrame, id_col: str = "chunk_id", tex
     none for that stage.  Repeated rows of ``texts`` give repeated pieces.  ``caps`` is a
     configuration table of at most ``max_caps`` rows; more fail.
     """
-    from lacquer.session import small_rows
+    from lacquer.session import small_rows, spread
 
     limits = [
         (r.stage, int(r.max_chars), int(r.overlap_chars or 0))
@@ -262,7 +262,7 @@ def split_texts(texts: DataFrame, caps: DataFrame, id_col: str = "chunk_id", tex
                 ["chunk_id", "stage", "piece_no", "piece_from", "piece_to", "overlap"],
             )
 
-    return rows.mapInArrow(cut, PIECES_SCHEMA)
+    return spread(rows).mapInArrow(cut, PIECES_SCHEMA)
 
 
 def p2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

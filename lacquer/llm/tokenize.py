@@ -214,7 +214,9 @@ def encode_corpus(docs: DataFrame, vocabulary: str | None = None, id_col: str =
                 ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
                 yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), ids], ["doc_id", "ids"])
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(encode, IDS_SCHEMA)
+    from lacquer.session import spread
+
+    return spread(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))).mapInArrow(encode, IDS_SCHEMA)
 
 
 def decode(ids: list[int], by_rank: dict[int, bytes]) -> str:

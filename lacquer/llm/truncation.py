@@ -147,6 +147,8 @@ def read_terms(content: str) -> tuple[int, list[tuple[str, str]], tuple[str, str
 def read_answers(answers: DataFrame) -> DataFrame:
     """One row per answer that is not blank (``state``), and one per known name (``state`` null)."""
 
+    from lacquer.session import spread
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
@@ -183,7 +185,7 @@ def read_answers(answers: DataFrame) -> DataFrame:
     rows = answers.where(F.col("content").rlike(r"(?U)\S")).select(
         F.col("result_id").cast("bigint"), "source", "stage", "source_file", "content", F.xxhash64("content").alias("body")
     )
-    return rows.mapInArrow(read, READ_SCHEMA)
+    return spread(rows).mapInArrow(read, READ_SCHEMA)
 
 
 def length_limits(read: DataFrame, neighbours: int = 25, rate: float = 0.01, least: int = 3) -> DataFrame:
