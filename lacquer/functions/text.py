@@ -47,8 +47,8 @@ def split_lines(x: Column | str) -> Column:
 
 
 def estimate_tokens(x: Column | str) -> Column:
-    """A third of the code points, rounded up; 0 for an empty text, null for null."""
-    n = F.length(_c(x))
+    """A third of the code points, rounded up; 0 for an empty or null text."""
+    n = F.coalesce(F.length(_c(x)), F.lit(0))
     return F.when(n == 0, 0).otherwise(F.greatest(F.lit(1), ((n + 2) / 3).cast("int"))).cast("int")
 
 

@@ -293,5 +293,5 @@ SQL = {
     "line_chunks": _LINE_CHUNKS, "header_fields": _HEADER_FIELDS, "header_rewrite": _HEADER_REWRITE, "canonical_slug": _CANONICAL_SLUG, "content_ids": _CONTENT_IDS, "fact_ids": _FACT_IDS,
     "answer_cleanup": _ANSWER_CLEANUP, "validate_marker": _VALIDATE, "file_names": _FILE_NAMES, "page_body": _PAGE_BODY, "template_fill": _TEMPLATE, "jsonl_objects": _JSONL, "text_lines": _TEXT_LINES,
     "first_text_line": _FIRST_LINE, "suffix_kept": _SUFFIX, "budget_limits": _BUDGET, "required_fields": _REQUIRED,
-    "token_estimate": "select doc_id, (case when length(text) = 0 then 0 else greatest(1, (length(text) + 2) // 3) end)::int as tokens, (case when length(target_text) = 0 then 0 else greatest(1, (length(target_text) + 2) // 3) end)::int as target_tokens from documents",
+    "token_estimate": "select doc_id, (case when coalesce(length(text), 0) = 0 then 0 else greatest(1, (length(text) + 2) // 3) end)::int as tokens, (case when coalesce(length(target_text), 0) = 0 then 0 else greatest(1, (length(target_text) + 2) // 3) end)::int as target_tokens from documents",
 }
