@@ -42,6 +42,8 @@ STOPWORDS = frozenset(
 
 #: Entries of lists are at most this long, in tokens; whole lists have at least so many entries.
 ENTRY_TOKENS, LIST_ENTRIES = 5, 4
+#: Repeated words are at least this share of a stuffed sentence.
+STUFFED_SHARE = 0.36
 #: So many lines in a row without the end of a sentence are entries, whatever their length.
 BARE_RUN = 5
 
@@ -69,11 +71,25 @@ def words_in(entry: str) -> float:
 
 
 def is_stuffed(sentence: str) -> bool:
-    """Words, or pairs of characters, that occur three times and more fill much of the sentence."""
-    toks = [t for t in tokens(sentence) if len(t) > 1 and not t.isdigit() and t not in STOPWORDS]
-    if len(toks) < 4:
+    """Words, or pairs of Han characters, that occur three times and more make up much of the sentence."""
+    runs = _WORD.findall(sentence.lower())
+    counts = Counter(t for t in tokens(sentence) if len(t) > 1 and not t.isdigit() and t not in STOPWORDS)
+    if not counts or max(counts.values()) < 3:
         return False
-    return sum(c for c in Counter(toks).values() if c >= 3) >= 0.4 * len(toks)
+    whole = covered = 0.0
+    for run in runs:
+        if not _HAN.search(run):
+            if len(run) > 1 and not run.isdigit() and run not in STOPWORDS:
+                whole += 1
+                covered += counts[run] >= 3
+            continue
+        mark = [False] * len(run)
+        for i in range(len(run) - 1):
+            if counts[run[i : i + 2]] >= 3:
+                mark[i] = mark[i + 1] = True
+        whole += len(run) / 2
+        covered += sum(mark) / 2
+    return covered >= STUFFED_SHARE * whole
 
 
 def listed_share(unit: str, terminated: bool) -> tuple[float, int]:
