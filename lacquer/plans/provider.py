@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import random
 import time
+import urllib.request
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -37,6 +39,42 @@ class StubProvider:
         return Answer(f"[{hashlib.sha1(body.encode()).hexdigest()[:8]}] {body}"[: 3 * max_tokens])
 
 
+@dataclass(frozen=True)
+class HttpProvider:
+    """A chat endpoint of the common completions form; settings may come from the environment."""
+
+    base: str
+    model: str
+    key: str = ""
+    timeout: float = 120.0
+    send_limit: bool = True
+    system: str = "You work on long-form texts."
+
+    @classmethod
+    def from_settings(cls, settings: dict[str, str]) -> HttpProvider:
+        """``LLM_BASE_URL``, ``LLM_MODEL``, ``LLM_API_KEY``, ``LLM_TIMEOUT`` and ``LLM_SEND_LIMIT`` (0 leaves the limit out)."""
+        return cls(
+            settings.get("LLM_BASE_URL", "http://127.0.0.1:8000"), settings.get("LLM_MODEL", "local"), settings.get("LLM_API_KEY", ""), float(settings.get("LLM_TIMEOUT") or 120),
+            settings.get("LLM_SEND_LIMIT", "1").strip().lower() not in ("0", "false", "no", "off"),
+        )
+
+    def chat(self, prompt: str, max_tokens: int, temperature: float) -> Answer:
+        """One completion; a blank content gives way to the reasoning text.  An answer without choices is no answer to retry."""
+        body = {"model": self.model, "messages": [{"role": "system", "content": self.system}, {"role": "user", "content": prompt}], "temperature": temperature}
+        if self.send_limit:
+            body["max_tokens"] = max_tokens
+        headers = {"Content-Type": "application/json"} | ({"Authorization": f"Bearer {self.key}"} if self.key else {})
+        request = urllib.request.Request(self.base.rstrip("/") + "/v1/chat/completions", json.dumps(body).encode(), headers)
+        with urllib.request.urlopen(request, timeout=self.timeout) as reply:
+            got = json.loads(reply.read())
+        if not got.get("choices"):
+            raise RuntimeError("the answer has no choices")
+        first = got["choices"][0]
+        message = first.get("message") or {}
+        texts = (message.get("content"), message.get("reasoning_content"), first.get("reasoning_content"))
+        return Answer(next((t for t in texts if isinstance(t, str) and t.strip()), ""), first.get("finish_reason"))
+
+
 @dataclass(frozen=True)
 class Retry:
     """Attempts and waits: ``min(2**k, longest)`` seconds, with jitter."""

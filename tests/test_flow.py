@@ -5,8 +5,11 @@ import sys
 import pytest
 from pyspark import cloudpickle
 
+from pyspark.sql import functions as F
+
+from lacquer.plans.passes import append_log, prompt_report, run_all
 from lacquer.plans.pipeline import Passes, backfill, extract_events, translate
-from lacquer.plans.provider import Answer, Retry, StubProvider, ask
+from lacquer.plans.provider import Answer, HttpProvider, Retry, StubProvider, ask
 from lacquer.session import small_rows
 from lacquer.sources.jsonl import append_rejects, read_jsonl, write_if_changed, write_jsonl
 from lacquer.sources.texts import read_chapters
@@ -72,6 +75,74 @@ def test_event_pass_repeats_itself(spark):
     assert run() == run() and len(run()) == 2
 
 
+class Speaker:
+    """Answers every stage with objects of its form."""
+
+    def chat(self, prompt, max_tokens, temperature):
+        stage = prompt.split("\n", 1)[0]
+        if "names" in stage:
+            return Answer('{"canonical_id": "New One", "kind": "character", "names_zh": ["陆尘云", "尘云"], "evidences": [{"source_file": "", "evidence": "陆尘云来了。"}]}\n{"canonical_id": "x", "names_zh": []}')
+        if "facts" in stage:
+            return Answer('{"entity_id": "a", "facts": {"state": "here", "state_vi": "x"}, "evidences": [{"source_file": "f", "evidence_zh": "e"}]}\n{"entity_id": " ", "facts": {}}\n{"chapter_number": "3.7", "entity_id": "b"}')
+        if "relations" in stage:
+            return Answer('{"chapter_number": 5, "source_entity": "a", "relation_type": "serves", "target_entity": "b", "summary_zh": "s"}')
+        if "scenes" in stage:
+            return Answer('noise {"scene_title_zh": "t", "scene_summary_zh": null, "entities": ["b", "a", "b", " "]}')
+        if "events" in stage:
+            return Answer('{"event_title_zh": "t", "event_summary_zh": "s", "entities": []}')
+        return Answer("Chapter 1 - x\ndone")
+
+
+def test_all_passes(spark, tmp_path):
+    chapters, glossary = sample(spark)
+    glossary = glossary.withColumn("aliases", F.lit(None).cast("struct<zh:array<string>,vi:array<string>>")).withColumn("evidences", F.lit(None).cast("array<struct<source_file:string,evidence:string>>"))
+    stores, text = run_all(chapters, glossary, Passes(provider=Speaker(), repairs=0))
+    entries = {(r.book_id, r.canonical_id): r for r in stores.glossary.collect()}
+    assert entries[1, "a"].names_zh == ["陆尘云", "尘云"] and entries[1, "a"].evidences[0].source_file == "C001-a.txt" and (2, "new-one") in entries
+    facts = stores.facts.collect()
+    assert sorted((r.chapter_number, r.entity_id) for r in facts) == [(0, "a"), (1, "a")] and facts[0].facts == {"state": "here", "state_vi": "x"} and facts[0].evidences[0].evidence_zh == "e"
+    assert [(r.chapter_number, r.summary_zh) for r in stores.edges.collect()] == [(5, "s")]
+    assert all(r.entities == ["b", "a"] and r.scene_summary_zh == "" for r in stores.scenes.collect())
+    assert stores.events.count() == 2 and {r.chunk_id for r in text.collect()} == {1, 3} and [e["stage"] for e in stores.log] == ["entries", "events", "facts", "relations", "scenes", "translate"]
+    append_log(spark, stores, str(tmp_path / "log"), "r1")
+    assert spark.read.json(str(tmp_path / "log")).count() == 6
+
+
+def test_prompt_report(spark):
+    chunk = spark.createDataFrame([("Chapter 1 - a\nb",)], "chunk string")
+    got = {r.stage: r for r in prompt_report(chunk, {"events": Speaker(), "translate": Speaker(), "validate": StubProvider("validate"), "facts": Broken()}, only=("events", "translate", "validate")).collect()}
+    assert got["events"].objects == 1 and got["translate"].header and got["translate"].same_lines and got["validate"].verdict and "facts" not in got
+
+
+def test_http_provider():
+    import http.server
+    import json
+    import threading
+
+    replies = [{"choices": [{"message": {"content": " ", "reasoning_content": "r"}, "finish_reason": "stop"}]}, {"choices": []}]
+    seen = []
+
+    class Handler(http.server.BaseHTTPRequestHandler):
+        def do_POST(self):
+            seen.append((self.path, self.headers["Authorization"], json.loads(self.rfile.read(int(self.headers["Content-Length"])))))
+            body = json.dumps(replies[len(seen) - 1]).encode()
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *_):
+            pass
+
+    server = http.server.HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    provider = HttpProvider.from_settings({"LLM_BASE_URL": f"http://127.0.0.1:{server.server_port}/", "LLM_API_KEY": "k", "LLM_SEND_LIMIT": "0"})
+    assert provider.chat("p", 5, 0.1) == Answer("r", "stop")
+    with pytest.raises(RuntimeError):
+        provider.chat("p", 5, 0.1)
+    server.shutdown()
+    assert seen[0][0] == "/v1/chat/completions" and seen[0][1] == "Bearer k" and "max_tokens" not in seen[0][2]
+
+
 def test_translation_repairs_leaks(spark):
     chapters, glossary = sample(spark)
     rows = {r.chunk_id: r for r in translate(chapters, glossary, Passes(provider=Leaky())).collect()}
