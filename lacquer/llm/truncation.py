@@ -252,13 +252,11 @@ def find_truncated(answers: DataFrame, neighbours: int = 25, rate: float = 0.01)
     by_char = last.join(readings, last.char == readings.k).groupBy("kind", "key", "value").agg(
         F.max(F.col("v") == F.col("word")).alias("same_r"), F.max(F.col("v").startswith(F.col("word")) & (F.length("v") > F.length("word"))).alias("longer_r")
     )
-    # names: seen as such elsewhere, or the beginning of one seen elsewhere; compared among names with the same first letters
-    stem = lambda c: F.substring(c, 1, 2)
-    names = known.where("kind = 'name'").select(F.col("value").alias("v"), stem("value").alias("stem"))
-    asked_names = ask.where("kind = 'name'").withColumn("s", stem("value"))
-    by_name = asked_names.join(names, (asked_names.s == names.stem) & F.col("v").startswith(F.col("value"))).groupBy("kind", "key", "value").agg(
-        F.max(F.col("v") == F.col("value")).alias("same"), F.max(F.length("v") > F.length("value")).alias("longer")
-    )
+    # names: seen as such elsewhere, or the beginning of one seen elsewhere; every beginning of a known name is looked up
+    length = F.length("value")
+    begun = known.where("kind = 'name'").select(F.explode(F.transform(F.sequence(F.lit(1), length), lambda n: F.substring(F.col("value"), F.lit(1), n))).alias("begin"), "value")
+    begun = begun.groupBy("begin").agg(F.max(F.col("begin") == F.col("value")).alias("same"), F.max(F.length("begin") < length).alias("longer"))
+    by_name = ask.where("kind = 'name'").join(begun, F.col("value") == F.col("begin")).select("kind", "key", "value", "same", "longer")
     verdict = (
         ask.join(by_term.unionByName(by_name), ["kind", "key", "value"], "left")
         .join(by_char, ["kind", "key", "value"], "left")
