@@ -44,7 +44,7 @@ SITE_WORDS = {
 _HAN = re.compile("[㐀-鿿豈-﫿]")
 _LATIN = re.compile(r"[^\W\d_㐀-鿿豈-﫿]+")
 _RUNS = re.compile(r"[㐀-鿿豈-﫿]+|[^\W\d_㐀-鿿豈-﫿]+")
-_QUOTED = re.compile("“[^”\n]*”|「[^」\n]*」|『[^』\n]*』|\"[^\"\n]*\"")
+_QUOTED = re.compile("“[^“”\n]*”|「[^「」\n]*」|『[^『』\n]*』|\"[^\"\n]*\"")
 _ENDS = re.compile("[。！？!?…]|\\.(?=\\s|$|[\"”])")
 _PAUSE = re.compile("[，,；;：:]")
 _HEADER = re.compile(r"^\s*Chapter\s+\d+\s*-.*\|\s*SourceFile:", re.I)

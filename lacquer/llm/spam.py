@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 FEATURES = ("engine", "listed", "linked", "stuffed", "distinct", "top", "digits", "marks", "entries")
 
 _INVISIBLE = re.compile("[​-‏‪-‮⁠-⁤﻿­]")
-_URL = re.compile(r"(?:(?:https?://|www\.)[^\s)\]】》]+|\b[a-z0-9][a-z0-9-]*(?:\.[a-z0-9-]+)*\.[a-z]{2,}(?:/[^\s)\]】》]*)?)", re.I)
+_URL = re.compile(r"(?:(?:https?://|www\.)[^\s)\]】》]+|\b[a-z0-9][a-z0-9-]{0,62}(?:\.[a-z0-9-]{1,63}){0,8}\.[a-z]{2,63}(?:/[^\s)\]】》]*)?)", re.I)
+_GAPS = re.compile(r"[^\S\n]{3,}")
 _QUOTE_PREFIX = re.compile(r"^\s*[|>]\s(?=\S)")
 #: One sentence with its closing quotes, or the unterminated rest of a line.
 _SENTENCE = re.compile(r"(?:[^。！？!?….\n]|\.(?![\s\"”’」』)]|$))*(?:[。！？!?….]+[\"”’」』)）]*|$)", re.M)
@@ -129,6 +130,7 @@ def bare_lines(lines: list[str]) -> set[int]:
 def page_features(text: str) -> tuple[float, ...]:
     """The features of one text, in the order of ``FEATURES``."""
     text = unicodedata.normalize("NFKC", _INVISIBLE.sub("", text))
+    text = _GAPS.sub("  ", text)
     told = listed = linked = stuffed = entries = 0
     lines = [_QUOTE_PREFIX.sub("", line) for line in text.split("\n")]
     bare = bare_lines(lines)
@@ -167,7 +169,7 @@ def page_features(text: str) -> tuple[float, ...]:
         len(seen) / count,
         top / count,
         sum(c.isdigit() for c in text) / (len(text) or 1),
-        len(_SEPARATOR.findall(text)) / (len(text) or 1),
+        sum(len(_SEPARATOR.findall(line)) for line in lines) / (len(text) or 1),
         entries / count,
     )
 

@@ -35,6 +35,8 @@ _FENCE = re.compile(r"^\s*```[\w-]*[ \t]*\n?|\n?```\s*$")
 _SENTENCE_END = re.compile(r"[.!?…。！？]+[\"”’」』）)\]]*$|[\"”’」』][.!?…。！？]*$")
 _TERM = re.compile(r"^\s*(\S.*?)\s*=\s*(.*\S)?\s*$")
 _HAN = re.compile("[㐀-鿿豈-﫿]")
+#: The longest mark or note behind a text; longer endings are text.
+LONGEST_MARK = 120
 _PASS = re.compile(r"^\W*PASS\W*$")
 
 #: The fields of the whole objects of a stage, and the last list or text in them.
@@ -48,14 +50,19 @@ READ_SCHEMA = "result_id bigint, source string, length int, body bigint, state i
 
 def strip_marks(text: str) -> str:
     """The text without blanks, fences, cut marks and closing notes behind it."""
-    text = _FENCE.sub("", text)
+    text = _FENCE.sub("", text.strip())
     while True:
-        shorter = _CUT_MARK.sub("", text)
-        shorter = _NOTE.sub("", shorter)
-        shorter = _TICKS.sub("", shorter)
-        if shorter == text:
+        text = text.rstrip()
+        # marks and notes are short, so that only the end is searched
+        head, tail = text[:-LONGEST_MARK], text[-LONGEST_MARK:]
+        shorter = _TICKS.sub("", _NOTE.sub("", _CUT_MARK.sub("", tail)))
+        if shorter == tail:
             return text
-        text = shorter
+        text = head + shorter
+
+
+def ends_sentence(text: str) -> bool:
+    return bool(_SENTENCE_END.search(text[-LONGEST_MARK:]))
 
 
 def open_quotation(text: str) -> bool:
@@ -74,7 +81,7 @@ def read_text(content: str) -> int:
         return WHOLE if not content.rstrip().endswith(_REPLACED) else BROKEN
     if content.rstrip().rstrip("`\n ").endswith(_REPLACED):
         return BROKEN
-    return WHOLE if _SENTENCE_END.search(body) and not open_quotation(body) else BROKEN
+    return WHOLE if ends_sentence(body) and not open_quotation(body) else BROKEN
 
 
 def read_title(content: str, source_file: str | None) -> int:
@@ -113,7 +120,7 @@ def read_json(content: str, stage: str) -> tuple[int, list[str], str | None]:
     if stage == "glossary":
         evidences = last["evidences"] if isinstance(last["evidences"], list) else []
         said = evidences[-1].get("evidence") if evidences and isinstance(evidences[-1], dict) else None
-        if evidences and (not isinstance(said, str) or not _SENTENCE_END.search(said.strip()) or open_quotation(said)):
+        if evidences and (not isinstance(said, str) or not ends_sentence(said.strip()) or open_quotation(said)):
             return BROKEN, names, None
         return WHOLE, names, None
     entities = last.get("entities")

@@ -314,3 +314,16 @@ def test_find_truncated(spark):
     assert shares["b"].results == 1 and shares["b"].cut_share == 1.0 and None in shares
     assert truncation.find_truncated(table.limit(0)).count() == 0
     assert re.sub(" ", "", "a b") == "ab"
+
+
+def test_hostile_texts_take_linear_time():
+    import time
+
+    weights = boilerplate.learn([PAGE] * 5)
+    for text in ("a-" * 100_000, " " * 200_000, "x" * 200_000, "\n \n" * 50_000, "。" * 100_000, "“" * 100_000, "a.b" * 60_000, "1 " * 100_000):
+        began = time.time()
+        spam.page_features(text)
+        truncation.read_text("x" + text + "y")
+        boilerplate.story_lines(text.split("\n"), weights)
+        leakage.words(text)
+        assert time.time() - began < 20
