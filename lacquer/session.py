@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -52,7 +54,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not base:
         made = getattr(shared_dir, "_made", None)
         if made is None:
-            made = shared_dir._made = f"file://{tempfile.mkdtemp(prefix='lacquer-')}"
+            folder = tempfile.mkdtemp(prefix="lacquer-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+            made = shared_dir._made = f"file://{folder}"
         base = made
     return base.rstrip("/")
 
