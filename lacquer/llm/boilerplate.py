@@ -14,7 +14,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -32,12 +32,12 @@ SITE_WORDS = {
     "vi": (
         "chương trước|chương kế|chương sau|danh sách|mục lục|đăng nhập|đăng ký|tủ sách|bảng xếp hạng|thể loại|truyện full|truyện hot|diễn đàn|ứng dụng|trang chủ|"
         "trợ giúp|bình luận|ý kiến bạn đọc|bản quyền|điều khoản|bảo mật|bản đồ trang|quảng cáo|cỡ chữ|nền:|báo lỗi|nghe truyện|đánh dấu|chia sẻ:|cookie|hòm thư|"
-        "đọc truyện|có thể bạn thích|hóng chương|ra chương|lượt đọc|lượt xem|yêu thích:|số chữ|cập nhật|tác giả:|vi phạm|hay quá|mới cập nhật|đề cử|tác giả quên|khóc|thành viên đăng|ban quản trị|chịu trách nhiệm"
+        "đọc truyện|có thể bạn thích|hóng chương|ra chương|lượt đọc|lượt xem|yêu thích:|số chữ|cập nhật|tác giả:|vi phạm|hay quá|mới cập nhật|đề cử|tác giả quên|khóc|thành viên đăng|ban quản trị|chịu trách nhiệm|đối tác|trình duyệt"
     ).split("|"),
     "en": (
         "previous chapter|next chapter|contents|« prev|next »|index|sign in|sign up|library|terms of use|privacy|sitemap|rights reserved|cookie|comments|text size|"
         "theme:|share:|copy link|advertisement|reader app|report error|bookmark|latest|updated|views|author:|genre|you may also like|more like this|newsletter|"
-        "home|great chapter|thanks for the chapter|update faster|first!|cried at|forgotten"
+        "home|great chapter|thanks for the chapter|update faster|first!|made me cry|did everyone forget|posted by members|our partners|your browser|and win|vote for"
     ).split("|"),
 }
 
@@ -49,9 +49,9 @@ _ENDS = re.compile("[。！？!?…]|\\.(?=\\s|$|[\"”])")
 _PAUSE = re.compile("[，,；;：:]")
 _HEADER = re.compile(r"^\s*Chapter\s+\d+\s*-.*\|\s*SourceFile:", re.I)
 _SHAPES = (
-    ("^links", re.compile(r"^(?:[^。！？!?…|/>»«·]+(?:\s+[·]\s+|\s*[|/>»«]\s*)){2,}[^。！？!?…]+$|^\s*(?:←|<<|«)|(?:→|>>|»)\s*$|^\s*(?:\[[^\]]{1,12}\]\s*){2,}$")),
+    ("^links", re.compile(r"^(?:[^。！？!?…|/>»«·]+(?:\s+[·]\s+|\s*[|/>»«]\s*)){2,}[^。！？!?…]+$|^\s*(?:←|<<|«)|(?:→|>>|»)\s*$|^\s*(?:\[[^\]]{1,12}\]\s*){2,}$|^(?:[^。！？!?….,，-]{1,40}-){2,}[^。！？!?….,，]{1,40}$")),
     ("^entry", re.compile(r"^\s*(?:[·•*▪#]|\d{1,3}[.、)])\s*\S|\S\s{2,}\d+\s*$|^\s*《[^》]*》\s*$")),
-    ("^count", re.compile(r"(?:\d[\d,:.-]*\D{0,8}){4,}$|[（(]\d+[)）]\s*$|©|\d+\s*/\s*\D{0,3}\d+")),
+    ("^count", re.compile(r"(?:\d[\d,:.-]*+\D{1,8}){2,}\d|\d{4}-\d{2}-\d{2}|[（(]\d+[)）]\s*$|©|\d+\s*/\s*\D{0,3}\d+")),
     ("^label", re.compile(r"^[^，,。！？!?…]{1,14}[：:]\s*$")),
     ("^mark", re.compile(r"[▶►◀◄★☆※]")),
     ("^user", re.compile(r"^\s*(?:#\d+\s+)?[A-Za-z][\w*]{1,14}\s*[：:]|^\s*#\d+\s+\w")),
@@ -65,6 +65,8 @@ BARE_LINE = -3.0
 WORD_SCORE, MOST_WORDS = 1.0, 40.0
 #: Shapes that also occur inside a story.
 _SHOWN = frozenset(("^entry", "^label", "^user"))
+#: A sentence of the site between paragraphs (an advertisement) parts the story at most this much.
+AD_FLOOR = -6.0
 #: What wording has to outweigh inside the region, besides the words.
 INSIDE = 2.0
 #: Lines of more words are judged by their words and tags alone.
@@ -95,13 +97,13 @@ def shapes(line: str) -> list[str]:
 
 
 def word_count(line: str) -> float:
-    """Words; two Han characters make one."""
+    """Words; two Han characters make one, and so do twelve letters run together."""
     if line.isascii():
-        return line.count(" ") + 1 if _LATIN.search(line) else 0
+        return max(len(line.split()), len(line) / 12) if _LATIN.search(line) else 0
     han = len(line) - len(_HAN.sub("", line))
     if han * 2 > len(line):
         return han / 2
-    return han / 2 + len(_LATIN.findall(line))
+    return han / 2 + max(len(_LATIN.findall(line)), (len(line) - han) / 12)
 
 
 class Weights:
@@ -150,20 +152,24 @@ class Weights:
         """
         told = word_count(line)
         quoted = "“" in line or '"' in line or "「" in line or "『" in line
-        tags = self.tag_score(_QUOTED.sub(" ", line) if quoted else line)
+        outside = _QUOTED.sub(" ", line) if quoted else line
+        tags = self.tag_score(outside)
         words = WORD_SCORE * min(told, MOST_WORDS)
+        if tags and quoted:  # a title between marks does not speak for an advertisement
+            words = WORD_SCORE * min(word_count(outside), MOST_WORDS)
         if _BLURB.match(line):
             return BLURB_LINE - tags, words + INSIDE - tags
         if told > LONG_WORDS:
-            return words - tags, words + INSIDE - tags
+            return max(words - tags, AD_FLOOR), words + INSIDE - tags
         seen = shapes(line)
+        least = AD_FLOOR if told >= 4 and all(s == "^mark" for s in seen) else -1e9
         if not told and not tags and not seen:
             return 0.5, 0.5  # a row of dots or a rule
         inside = words + INSIDE - tags - sum(self.tags.get(s, 0.0) for s in seen if s not in _SHOWN)
         tags += sum(self.tags.get(s, 0.0) for s in seen)
         if told < 8 and not _ENDS.search(line) and not (told >= 5 and _PAUSE.search(line)):
-            return BARE_LINE + 0.3 * told - tags, inside
-        return words - tags, inside
+            return max(BARE_LINE + 0.3 * told - tags, least), inside
+        return max(words - tags, least), inside
 
 
 def story_lines(lines: list[str], weights: Weights) -> list[bool]:
@@ -208,17 +214,32 @@ def label_line(line: str) -> int:
 
 
 def learn(pages: list[str]) -> Weights:
-    """Weights of the tags, as log-odds of a piece of wording between the labelled lines."""
+    """Weights of the tags from labelled pages: by fixed words and shapes first, then by the regions those find."""
+    first = weigh((label_line(line), line) for page in pages for line in page.split("\n"))
+    return weigh(pair for page in pages for pair in region_labels(page.split("\n"), first))
+
+
+def region_labels(lines: list[str], weights: Weights) -> Iterator[tuple[int, str]]:
+    """Labels of the lines of a page: what the region leaves out is the site's, titles and announcements of books aside."""
+    for line, story in zip(lines, story_lines(lines, weights), strict=True):
+        if not line.strip() or _HEADER.match(line):
+            continue
+        if story:
+            yield (0 if label_line(line) != 1 else -1), line
+        elif label_line(line) == 1 or not _BLURB.match(line) and word_count(line) >= 4 and not shapes(line):
+            yield 1, line
+
+
+def weigh(labelled: Iterable[tuple[int, str]]) -> Weights:
+    """Log-odds of pieces of wording between the lines labelled 1 and 0."""
     count: tuple[Counter, Counter] = (Counter(), Counter())
     lines = [0, 0]
-    for page in pages:
-        for line in page.split("\n"):
-            label = label_line(line)
-            if label < 0:
-                continue
-            lines[label] += 1
-            count[label].update(pieces(_QUOTED.sub(" ", line)) if label else pieces(line))
-            count[label].update(shapes(line))
+    for label, line in labelled:
+        if label < 0:
+            continue
+        lines[label] += 1
+        count[label].update(pieces(_QUOTED.sub(" ", line)) if label else pieces(line))
+        count[label].update(shapes(line))
     tags = {}
     for piece, seen in count[1].items():
         if seen < 3:
