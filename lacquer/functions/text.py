@@ -11,7 +11,13 @@ TRIM_PATTERN = rf"(?U)^{_SPACE}+|{_SPACE}+$"
 #: The ten line-breaking characters of universal newlines; CRLF is one break.
 LINE_BREAK = r"\r\n|[\n\x0b\f\r\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 #: Blocks of model reasoning, removed in this order.
-REASONING_TAGS = ("thinking", "think", "reasoning", "redacted_thinking", "analysis")
+REASONING = (
+    r"<\s*think\s*>[\s\S]*?</\s*think\s*>",
+    r"<\s*redacted_reasoning\s*>[\s\S]*?</\s*redacted_reasoning\s*>",
+    r"<thinking>[\s\S]*?</thinking>",
+    r"<reasoning>[\s\S]*?</reasoning>",
+    r"```(?:think|thinking|reasoning)[\s\S]*?```",
+)
 SUFFIX_PATTERN = r"\s*\|\s*SourceFile:.*$"
 HEADER_PATTERN = r"(?i)^Chapter\s+(\d+)\s*-\s*(.+)$"
 CJK_PATTERN = r"[\x{4e00}-\x{9fff}]"
@@ -74,21 +80,22 @@ def header_title(x: Column | str) -> Column:
 
 def keep_suffix(source: Column | str, target: Column | str) -> Column:
     """The target with the source's file suffix on its first line, if it lacks one."""
-    suffix = F.regexp_extract(F.try_element_at(split_nl(source), F.lit(1)), r"(?i)\s*(\|\s*SourceFile:.*)$", 1)
+    suffix = trim_u(F.regexp_extract(trim_u(F.try_element_at(split_lines(source), F.lit(1))), r"(?i)(\|\s*SourceFile:.*)$", 1))
     target = _c(target)
-    lines = split_nl(target)
-    first = F.element_at(lines, 1)
-    fixed = F.concat(F.regexp_replace(first, r"(?U)\s+$", ""), F.lit(" "), trim_u(suffix))
-    return F.when((suffix != "") & ~first.rlike(r"(?i)\|\s*SourceFile:"), F.array_join(F.concat(F.array(fixed), F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0)))), "\n")).otherwise(target)
+    lines = split_lines(target)
+    first = F.try_element_at(lines, F.lit(1))
+    fixed = F.concat(F.regexp_replace(first, r"(?U)\s+$", ""), F.lit(" "), suffix)
+    joined = F.array_join(F.concat(F.array(fixed), F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0)))), "\n")
+    return F.when((suffix != "") & first.isNotNull() & ~first.rlike(r"(?i)\|\s*SourceFile:"), joined).otherwise(target)
 
 
 def build_header(number: Column | str, title: Column | str, file: Column | str) -> Column:
-    return F.format_string("Chapter %d - %s | SourceFile: %s", _c(number), _c(title), _c(file))
+    return F.format_string("Chapter %d - %s | SourceFile: %s", _c(number), trim_u(title), _c(file))
 
 
 def strip_header(x: Column | str) -> Column:
     """Without a leading chapter header and the blank lines behind it; a byte-order mark stays."""
-    return F.regexp_replace(_c(x), r"^(\x{feff}?)Chapter\s+\d+\s+-\s+[^\r\n]+(?:\r?\n[ \t]*)*", "$1")
+    return F.regexp_replace(_c(x), r"(?U)^(\x{feff}?)Chapter\s+\d+\s+-\s+[^\r\n]+(?:\r?\n|$)(?:[\s&&[^\r\n]]*\r?\n)*(?:[\s&&[^\r\n]]+$(?!\n))?", "$1")
 
 
 def after_header(x: Column | str) -> Column:
@@ -100,14 +107,14 @@ def after_header(x: Column | str) -> Column:
 def strip_fence(x: Column | str) -> Column:
     """Without a Markdown fence around the trimmed text."""
     t = trim_u(x)
-    return F.when(t.startswith("```"), trim_u(F.regexp_replace(F.regexp_replace(t, r"^```[a-zA-Z0-9_-]*\s*", ""), r"\s*```$", ""))).otherwise(t)
+    return F.when(t.startswith("```"), trim_u(F.regexp_replace(F.regexp_replace(t, r"^```[a-zA-Z0-9]*\s*", ""), r"\s*```$", ""))).otherwise(t)
 
 
 def strip_reasoning(x: Column | str) -> Column:
     """Without blocks of model reasoning, trimmed."""
     out = _c(x)
-    for tag in REASONING_TAGS:
-        out = F.regexp_replace(out, rf"(?i)<{tag}>[\s\S]*?</{tag}>", "")
+    for block in REASONING:
+        out = F.regexp_replace(out, "(?i)" + block, "")
     return trim_u(out)
 
 
@@ -186,12 +193,12 @@ def normal_space(x: Column | str) -> Column:
 
 def safe_file_name(x: Column | str) -> Column:
     """Characters no file system takes become blanks, control characters go."""
-    return normal_space(F.regexp_replace(F.regexp_replace(_c(x), '[\\\\/:*?"<>|：]', " "), r"[\x00-\x08\x0b-\x1f]", ""))
+    return normal_space(F.regexp_replace(F.regexp_replace(_c(x), '[\\\\/:*?"<>|：]', " "), r"[\x00-\x1f]", ""))
 
 
 def han_number(x: Column | str) -> Column:
     """The value of a Han numeral, digit and unit folded from the left; other characters are passed over."""
-    digits = F.create_map(*[F.lit(v) for pair in ((c, i) for i, c in enumerate("零一二三四五六七八九")) for v in pair], F.lit("〇"), F.lit(0), F.lit("两"), F.lit(2))
+    digits = F.create_map(*[F.lit(v) for pair in ((c, i) for i, c in enumerate("零一二三四五六七八九")) for v in pair])
     powers = F.create_map(*[F.lit(v) for pair in (("十", 10), ("百", 100), ("千", 1000)) for v in pair])
     start = F.struct(F.lit(0).alias("total"), F.lit(0).alias("digit"))
 
@@ -209,7 +216,8 @@ def han_number(x: Column | str) -> Column:
 def chapter_number(title: Column | str) -> Column:
     """0 for a prologue, the number between 第 and 章, else -1."""
     t = or_empty(title)
-    inner = F.regexp_extract(t, "第([^第章]+)章", 1)
+    strict = F.regexp_extract(t, "第([零一二三四五六七八九十百千]+)章", 1)
+    inner = trim_u(F.when(strict != "", strict).otherwise(F.regexp_extract(t, "第(.+?)章", 1)))
     value = F.when(inner.rlike("^[0-9]+$"), inner.try_cast("int")).otherwise(han_number(inner))
     return F.when(t.contains("序章"), 0).when(inner != "", value).otherwise(-1)
 
@@ -221,29 +229,31 @@ def file_prefix(number: Column | str) -> Column:
 
 
 def body_between(x: Column | str, start: str, ends: list[str]) -> Column:
-    """What stands between a start pattern and the earliest end mark, with at most one empty line in a row."""
-    text = _c(x)
+    """What stands between a start pattern (or the beginning) and the earliest end mark behind it.
+
+    Line ends become line feeds, a rule at the end goes, and there is at most one empty line in a row.
+    """
+    text = trim_u(F.regexp_replace(_c(x), r"\r\n?", "\n"))
     tail = F.regexp_replace(text, rf"^[\s\S]*?(?:{start})", "")
     cut = F.least(*[F.when(F.locate(e, tail) > 0, F.locate(e, tail)).otherwise(F.length(tail) + 1) for e in ends], F.length(tail) + 1)
     body = trim_u(F.substring(tail, F.lit(1), cut - 1))
-    body = F.regexp_replace(trim_u(F.regexp_replace(body, "__$", "")), r"\n{3,}", "\n\n")
-    return F.when(text.rlike(start), body).otherwise("")
+    return F.regexp_replace(F.regexp_replace(body, r"\n?_{2,}\s*$", ""), r"\n{3,}", "\n\n")
 
 
-def page_title(html: Column | str) -> Column:
-    """The first that is not blank: h2 with a chapter mark, h1 with one, h2, h1."""
+def page_title(html: Column | str, mark: str = "第") -> Column:
+    """The first that is not blank: h2 with a mark, h1 with one, h2, h1."""
     h = _c(html)
 
     def tag(name: str, inner: str) -> Column:
-        got = trim_u(F.regexp_replace(F.regexp_extract(h, rf"(?is)<{name}[^>]*>({inner})</{name}>", 1), "<[^>]+>", ""))
+        got = normal_space(F.regexp_replace(F.regexp_extract(h, rf"(?is)<{name}[^>]*>({inner})</{name}>", 1), "<[^>]+>", ""))
         return F.nullif(got, F.lit(""))
 
-    return F.coalesce(tag("h2", r"[^<]*第[^<]*章[^<]*"), tag("h1", r"[^<]*第[^<]*章[^<]*"), tag("h2", r".*?"), tag("h1", r".*?"), F.lit(""))
+    return F.coalesce(tag("h2", rf"[^<]*{mark}[^<]*"), tag("h1", rf"[^<]*{mark}[^<]*"), tag("h2", r".*?"), tag("h1", r".*?"), F.lit(""))
 
 
 def next_link(html: Column | str, label: str, base: Column | str, prefer: str) -> Column:
     """The address of the link with a label, one that fits a pattern first, relative ones made absolute."""
-    links = F.regexp_extract_all(_c(html), F.lit(rf'(?is)<a[^>]*href="([^"]+)"[^>]*>\s*{label}\s*</a>'), F.lit(1))
+    links = F.regexp_extract_all(_c(html), F.lit(rf'(?is)<a[^>]*href="([^"]+)"[^>]*>[^<]*{label}[^<]*</a>'), F.lit(1))
     fitting = F.filter(links, lambda u: u.rlike(prefer))
     url = F.coalesce(F.try_element_at(fitting, F.lit(1)), F.try_element_at(links, F.lit(1)))
     root = F.regexp_extract(_c(base), r"^(https?://[^/]+)", 1)

@@ -81,7 +81,7 @@ def _objects(spark: SparkSession, d: str) -> DataFrame:
 
 _OBJECTS = f"""
 c as (select result_id, {trim("content")} as x from chat_results where stage = 'timeline' and content is not null),
-u as (select result_id, case when starts_with(x, '```') then {trim("regexp_replace(regexp_replace(x, '^```[a-zA-Z0-9_-]*\\s*', ''), '\\s*```$', '')")} else x end as x from c),
+u as (select result_id, case when starts_with(x, '```') then {trim("regexp_replace(regexp_replace(x, '^```[a-zA-Z0-9]*\\s*', ''), '\\s*```$', '')")} else x end as x from c),
 l as (select result_id, unnest(string_split(x, chr(10))) as line, generate_subscripts(string_split(x, chr(10)), 1) - 1 as line_no from u),
 j as (select result_id, line_no, {trim("line")} as line from l),
 o as (select {{'r': result_id, 'l': line_no}} as o, json_extract_string(line, '$.event_title_zh') as title, json_extract_string(line, '$.event_summary_zh') as zh, json_extract_string(line, '$.event_summary_vi') as vi,
@@ -207,7 +207,7 @@ def rejected_answers(spark: SparkSession, d: str) -> DataFrame:
 
 _REJECTS = f"""
 with c as (select *, {trim("content")} as x from chat_results where stage in ('glossary', 'timeline') and content is not null),
-u as (select *, case when starts_with(x, '```') then {trim("regexp_replace(regexp_replace(x, '^```[a-zA-Z0-9_-]*\\s*', ''), '\\s*```$', '')")} else x end as y from c)
+u as (select *, case when starts_with(x, '```') then {trim("regexp_replace(regexp_replace(x, '^```[a-zA-Z0-9]*\\s*', ''), '\\s*```$', '')")} else x end as y from c)
 select result_id, source_file, chunk_index, finish_reason, substr(content, 1, 4000) as raw from u
 where len(list_filter(list_transform(string_split(y, chr(10)), lambda l: {trim("l")}), lambda l: starts_with(l, '{{') and json_valid(l))) = 0
 """

@@ -66,7 +66,7 @@ _BODY = "regexp_replace(source_chunk, '^\\x{feff}', '')"
 _HEADER_REWRITE = f"""
 with h as (select chunk_id, source_chunk, source_file, try_cast(nullif(regexp_extract(source_file, '(?i)^C(\\d+)-(.+)\\.txt$', 1), '') as int) as n, regexp_extract(source_file, '(?i)^C(\\d+)-(.+)\\.txt$', 2) as title,
   {_BODY} as body from chapters),
-e as (select *, 'Chapter ' || n || ' - ' || title || ' | SourceFile: ' || source_file as expected, {trim(f"coalesce(list_filter(string_split(body, chr(10)), lambda l: {trim('l')} <> '')[1], '')")} as first_line from h),
+e as (select *, 'Chapter ' || n || ' - ' || {trim('title')} || ' | SourceFile: ' || source_file as expected, {trim(f"coalesce(list_filter(string_split(body, chr(10)), lambda l: {trim('l')} <> '')[1], '')")} as first_line from h),
 s as (select *, case when n is null then 'name' when source_chunk is null then 'error' when first_line = expected then 'present' when starts_with(first_line, 'Chapter ') then 'other header' else 'updated' end as status from e)
 select chunk_id, status, sha1(case when status = 'updated' then expected || chr(10) || chr(10) || body else source_chunk end) as digest from s
 """
@@ -127,7 +127,7 @@ def answer_cleanup(spark: SparkSession, d: str) -> DataFrame:
 
 _ANSWER_CLEANUP = f"""
 with c as (select result_id, {trim('content')} as x, {trim("regexp_replace('<think>plan: ' || stage || chr(10) || '</think>' || chr(10) || content, '(?is)<think>.*?</think>', '', 'g')")} as y from chat_results where content is not null)
-select result_id, sha1(case when starts_with(x, '```') then {trim("regexp_replace(regexp_replace(x, '^```[a-zA-Z0-9_-]*\\s*', ''), '\\s*```$', '')")} else x end) as unfenced, sha1(y) as unreasoned from c
+select result_id, sha1(case when starts_with(x, '```') then {trim("regexp_replace(regexp_replace(x, '^```[a-zA-Z0-9]*\\s*', ''), '\\s*```$', '')")} else x end) as unfenced, sha1(y) as unreasoned from c
 """
 
 
@@ -139,7 +139,7 @@ def validate_marker(spark: SparkSession, d: str) -> DataFrame:
 
 _VALIDATE = f"""
 with c as (select result_id, {trim("coalesce(content, '')")} as x from chat_results where stage = 'validate'),
-u as (select result_id, case when starts_with(x, '```') then {trim("regexp_replace(regexp_replace(x, '^```[a-zA-Z0-9_-]*\\s*', ''), '\\s*```$', '')")} else x end as x from c),
+u as (select result_id, case when starts_with(x, '```') then {trim("regexp_replace(regexp_replace(x, '^```[a-zA-Z0-9]*\\s*', ''), '\\s*```$', '')")} else x end as x from c),
 l as (select result_id, string_split(x, chr(10)) as lines from u),
 b as (select *, list_transform(lines, lambda e: {trim("regexp_replace(" + trim("e") + ", '^[*`]+|[*`]+$', '', 'g')")}) as bare from l),
 p as (select *, list_filter(range(1, len(bare) + 1), lambda i: bare[i] in ('PASS', 'FIXED_VI'))[1] as at_line from b)
@@ -154,16 +154,15 @@ def file_names(spark: SparkSession, d: str) -> DataFrame:
     return c.select("chunk_id", n.alias("number"), F.concat(t.file_prefix(n), F.lit("-"), t.safe_file_name(t.or_empty("title")), F.lit(".txt")).alias("file"), F.col("source_file").rlike(r"(?i)^C(\d+)-(.+)\.txt$").alias("fits"))
 
 
-_HAN = """list_reduce(list_filter(string_split(regexp_extract(coalesce(title, ''), '第([^第章]+)章', 1), ''), lambda ch: ch <> ''),
+_HAN = """list_reduce(list_filter(string_split(regexp_extract(coalesce(title, ''), '第(.+?)章', 1), ''), lambda ch: ch <> ''),
   lambda acc, ch: case when list_position(['零','一','二','三','四','五','六','七','八','九'], ch) > 0 then {'total': acc.total, 'digit': (list_position(['零','一','二','三','四','五','六','七','八','九'], ch) - 1)::int}
-                when ch = '〇' then {'total': acc.total, 'digit': 0} when ch = '两' then {'total': acc.total, 'digit': 2}
-                when list_position(['十','百','千'], ch) > 0 then {'total': (acc.total + case when acc.digit = 0 then 1 else acc.digit end * (10 ** list_position(['十','百','千'], ch)))::int, 'digit': 0}
+                               when list_position(['十','百','千'], ch) > 0 then {'total': (acc.total + case when acc.digit = 0 then 1 else acc.digit end * (10 ** list_position(['十','百','千'], ch)))::int, 'digit': 0}
                 else acc end, {'total': 0::int, 'digit': 0::int})"""
 _FILE_NAMES = f"""
-with h as (select *, {_HAN} as v, regexp_extract(coalesce(title, ''), '第([^第章]+)章', 1) as inner_text from chapters),
+with h as (select *, {_HAN} as v, regexp_extract(coalesce(title, ''), '第(.+?)章', 1) as inner_text from chapters),
 n as (select *, (case when contains(coalesce(title, ''), '序章') then 0 when inner_text = '' then -1 when regexp_full_match(inner_text, '[0-9]+') then inner_text::int else v.total + v.digit end)::int as number from h)
 select chunk_id, number, (case when number < 0 then 'CXXX' else 'C' || lpad(number::varchar, greatest(3, length(number::varchar))::int, '0') end) || '-' ||
-  {trim("regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(title, ''), '[\\\\/:*?\"<>|：]', ' ', 'g'), '[\\x00-\\x08\\x0b-\\x1f]', '', 'g'), '\\r\\n?', chr(10), 'g'), '[ \\t]+', ' ', 'g')")} || '.txt' as file,
+  {trim("regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(title, ''), '[\\\\/:*?\"<>|：]', ' ', 'g'), '[\\x00-\\x1f]', '', 'g'), '\\r\\n?', chr(10), 'g'), '[ \\t]+', ' ', 'g')")} || '.txt' as file,
   regexp_matches(source_file, '(?i)^C(\\d+)-(.+)\\.txt$') as fits from n
 """
 
@@ -180,11 +179,12 @@ def page_body(spark: SparkSession, d: str) -> DataFrame:
 
 _CUT = "least(" + ", ".join(f"case when instr(tail, '{e}') > 0 then instr(tail, '{e}') else length(tail) + 1 end" for e in ENDS) + ")"
 _PAGE_BODY = f"""
-with c as (select chunk_id, site, title, source_chunk, regexp_replace(source_chunk, '^[\\s\\S]*?(?:{START})', '') as tail, regexp_matches(source_chunk, '{START}') as has_start from chapters where source_chunk is not null),
+with c0 as (select chunk_id, site, title, {trim("regexp_replace(source_chunk, '\\r\\n?', chr(10), 'g')")} as x from chapters where source_chunk is not null),
+c as (select *, regexp_replace(x, '^[\\s\\S]*?(?:{START})', '') as tail from c0),
 b as (select *, {trim(f"substr(tail, 1, {_CUT} - 1)")} as cut from c),
-f as (select *, case when has_start then regexp_replace({trim("regexp_replace(cut, '__$', '')")}, '\\n{{3,}}', chr(10) || chr(10), 'g') else '' end as body from b)
+f as (select *, regexp_replace(regexp_replace(cut, '\\n?_{{2,}}\\s*$', ''), '\\n{{3,}}', chr(10) || chr(10), 'g') as body from b)
 select chunk_id, length(body)::int as body_chars, sha1(body) as digest,
-  coalesce(nullif(case when regexp_matches(title, '第[^<]*章') then {trim("title")} end, ''), nullif({trim("coalesce(title, '')")}, ''), {trim("coalesce(site, '')")}) as page_title,
+  coalesce(nullif(case when contains(title, '第') then {trim("title")} end, ''), nullif({trim("coalesce(title, '')")}, ''), {trim("coalesce(site, '')")}) as page_title,
   'https://' || coalesce(site, '') || '.example/b/next' || chunk_id || '.html' as next_url from f
 """
 
@@ -206,7 +206,7 @@ def jsonl_objects(spark: SparkSession, d: str) -> DataFrame:
 
 _JSONL = f"""
 with c as (select result_id, {trim("content")} as x from chat_results where stage in ('glossary', 'timeline') and content is not null),
-u as (select result_id, case when starts_with(x, '```') then {trim("regexp_replace(regexp_replace(x, '^```[a-zA-Z0-9_-]*\\s*', ''), '\\s*```$', '')")} else x end as x from c),
+u as (select result_id, case when starts_with(x, '```') then {trim("regexp_replace(regexp_replace(x, '^```[a-zA-Z0-9]*\\s*', ''), '\\s*```$', '')")} else x end as x from c),
 l as (select result_id, unnest(string_split(x, chr(10))) as line, generate_subscripts(string_split(x, chr(10)), 1) - 1 as line_no from u),
 g as (select result_id, line_no, {trim("line")} as line from l)
 select result_id, line_no::int as line_no, json_extract_string(line, '$.canonical_id') as canonical_id, json_extract_string(line, '$.event_title_zh') as event_title_zh

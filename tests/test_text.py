@@ -56,6 +56,7 @@ def test_headers(spark):
     assert one(spark, head, t.header_line("x")) == ""  # the prefix is case-sensitive
     assert one(spark, "Chapter 1 - a\nb", t.header_line("x")) == "Chapter 1 - a"
     assert one(spark, "﻿Chapter 1 - a\n\n\nbody", t.strip_header("x")) == "﻿body"
+    assert one(spark, "Chapter 1 - a\r\n \t\n　body\n x", t.strip_header("x")) == "　body\n x" and one(spark, "Chapter 1 - a", t.strip_header("x")) == ""
     assert one(spark, "Chapter 1- a\nbody", t.strip_header("x")) == "Chapter 1- a\nbody"
     assert one(spark, "h\n\n\nb\nc", t.after_header("x")) == "b\nc"
     assert one(spark, "T | SourceFile: f.txt\nz", t.keep_suffix("x", F.lit("V \nrest"))) == "V | SourceFile: f.txt\nrest"
@@ -74,10 +75,10 @@ def test_validation(spark, answer, want):
 def test_fences_and_reasoning(spark):
     assert one(spark, "```json\n{}\n```", t.strip_fence("x")) == "{}"
     assert one(spark, "a ``` b", t.strip_fence("x")) == "a ``` b"
-    assert one(spark, "x<Think>\nno\n</THINK> y", t.strip_reasoning("x")) == "x y"
+    assert one(spark, "x< Think >\nno\n</ THINK> y```thinking\nz```", t.strip_reasoning("x")) == "x y"
 
 
-@pytest.mark.parametrize(("value", "want"), [("十", 10), ("二十一", 21), ("二百零一", 201), ("一千零五", 1005), ("", 0), ("x三y", 3), ("两百", 200)])
+@pytest.mark.parametrize(("value", "want"), [("十", 10), ("二十一", 21), ("二百零一", 201), ("一千零五", 1005), ("", 0), ("x三y", 3), ("两百", 100), ("十x二", 12)])
 def test_han_numbers(spark, value, want):
     assert one(spark, value, t.han_number("x")) == want
 
@@ -88,7 +89,7 @@ def test_chapter_numbers(spark, value, want):
 
 
 def test_file_names(spark):
-    assert one(spark, 'a/b:c\x01 ： "d"', t.safe_file_name("x")) == "a b c d"
+    assert one(spark, 'a/b:c\x01\n ： "d"', t.safe_file_name("x")) == "a b c d"
     assert one(spark, 7, t.file_prefix("x"), "x int") == "C007"
     assert one(spark, 1234, t.file_prefix("x"), "x int") == "C1234"
     assert one(spark, -1, t.file_prefix("x"), "x int") == "CXXX"
@@ -103,7 +104,7 @@ def test_template_is_filled_once(spark):
 def test_page_parts(spark):
     page = "menu\nSTART\n\n\n\nstory\nmore__\nEND2 x END1"
     assert one(spark, page, t.body_between("x", "START\n", ["END1", "END2"])) == "story\nmore"
-    assert one(spark, "nothing", t.body_between("x", "START", ["END"])) == ""
+    assert one(spark, " nothing\r\nmore\n____ ", t.body_between("x", "START", ["END"])) == "nothing\nmore"
     assert one(spark, "<h1>Site</h1><h2> 第一章 a</h2>", t.page_title("x")) == "第一章 a"
     assert one(spark, "<h1> A </h1>", t.page_title("x")) == "A"
     html = '<a href="/z.html">next</a><a href="p/7.html">next</a>'
