@@ -151,7 +151,7 @@ class Splitter:
         n = self.n
         if n <= limit or limit < 1:
             return [(0, n)]
-        overlap = max(0, min(overlap, (limit - 1) // 2))
+        overlap = max(0, min(overlap, limit // 4))  # an overlap of more would leave little to advance
         reach = max(1, (limit - 2 * overlap) * (CELLS - 4) // CELLS)
         pos, penalty = self.candidates(reach)
         begin = self.begin_after(pos, overlap)
@@ -174,11 +174,13 @@ class Splitter:
             low = int(np.searchsorted(longest[:j], ends[j] - limit, "left"))
             size = ends[j] - starts[low:j]
             cost = best[low:j] + IMBALANCE * ((size - ideal) / ideal) ** 2
-            cost[size > limit] = np.inf
+            cost[(size > limit) | (starts[j] <= starts[low:j])] = np.inf
             k = int(np.argmin(cost))
             best[j] = cost[k] + penalty[j] + PIECE_CHARGE
             previous[j] = low + k
-        if not np.isfinite(best[-1]):  # cannot happen while reach is at least one
+        if not np.isfinite(best[-1]):
+            if overlap:  # only overlaps can stand in the way
+                return self.split(limit, 0)
             raise AssertionError("no chain of pieces")
         chain, j = [], count - 1
         while j > 0:
@@ -204,7 +206,8 @@ class Splitter:
             size = ends[:, None] - starts[None, :]
             cost = best[None, :] + IMBALANCE * ((size - ideal) / ideal) ** 2
             # a piece adds something beyond the overlap with the one before
-            cost[(size > limit) | (ends[:, None] <= (trail[-1][0] if trail else np.zeros(1))[None, :])] = np.inf
+            stuck = (ends[:, None] <= (trail[-1][0] if trail else np.zeros(1))[None, :]) | (following[:, None] <= starts[None, :])
+            cost[(size > limit) | stuck] = np.inf
             pick = np.argmin(cost, axis=1)
             best = cost[np.arange(len(ends)), pick] + extra + PIECE_CHARGE
             trail.append((ends, starts, pick))
