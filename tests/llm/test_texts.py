@@ -3,7 +3,6 @@
 import itertools
 import os
 import random
-import re
 
 import numpy as np
 import pytest
@@ -144,7 +143,6 @@ def test_story_of_a_page():
     lines = PAGE.split("\n")
     story = boilerplate.story_lines(lines, weights)
     assert [i for i, s in enumerate(story) if s] == [2, 3, 4, 6, 7]
-    assert boilerplate.story_lines([""], weights) == [False] or True
     assert not any(boilerplate.story_lines(["登录", "注册"], weights))
 
 
@@ -313,7 +311,6 @@ def test_find_truncated(spark):
     shares = {r.source: r for r in truncation.truncation_by_source(table).collect()}
     assert shares["b"].results == 1 and shares["b"].cut_share == 1.0 and None in shares
     assert truncation.find_truncated(table.limit(0)).count() == 0
-    assert re.sub(" ", "", "a b") == "ab"
 
 
 def test_hostile_texts_take_linear_time():
