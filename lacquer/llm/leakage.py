@@ -9,13 +9,19 @@ so are items whose hits, by position, cannot add up (positional bound).  What re
 verified: runs of shared shingles on one diagonal, bridged over single changed words, must
 cover the required share of the item's words.
 
+Runs made of mere phrases of the corpus do not count.  What is a phrase is judged for each item by
+the texts that do not reproduce it: copies of the item, and long stretches quoted from it, are taken
+out of the counts, so that no number of copies makes a phrase of the item's own wording.
+
 The items are the small side.  They go to the tasks in blocks of at most ``block`` items, whose
 index is bounded, and each block is one pass over the corpus; nothing of the corpus is shuffled
-but per-task counts.
+but per-task counts.  Texts covered without regard to phrases are written once, with the places
+of their shared shingles, and judged when the counts of all of them are known.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections import Counter, defaultdict
@@ -36,6 +42,10 @@ SHINGLE_SHARE = 0.15
 #: Runs are bridged over so many changed words, and count from so many words.
 BRIDGE_WORDS, BRIDGE_HAN = 3, 5
 RUN_WORDS, RUN_HAN = 6, 9
+#: A stretch of so many runs' length, unbroken or broken by single changed words only, is quoted from the item, not a phrase.
+QUOTED_RUNS, QUOTED_CHANGED_RUNS = 2, 4
+#: Chance that a shingle with just the share of a phrase counts as more.
+PHRASE_CHANCE = 0.001
 
 
 def words(text: str) -> list[str]:
@@ -93,7 +103,35 @@ def covered(item: Item, hits: list[tuple[int, int]], rare: set[int]) -> int:
     return sum(mark)
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, share: float = 0.46, id_col: str = "doc_id", text_col: str = "text", block: int = 2000, max_items: int = 200_000, rare_share: float = 0.002, rare_least: int = 40) -> DataFrame:
+def quoted(item: Item, hits: list[tuple[int, int]]) -> set[int]:
+    """Positions of the item's shingles inside stretches too long for a phrase."""
+    hits = sorted(hits, key=lambda h: (h[1] - h[0], h[0]))
+    out: set[int] = set()
+    for step, runs in ((1, QUOTED_RUNS), (item.k + 1, QUOTED_CHANGED_RUNS)):
+        stretch: list[tuple[int, int]] = []
+        for h in [*hits, None]:
+            if stretch and (h is None or h[1] - h[0] != stretch[-1][1] - stretch[-1][0] or h[0] - stretch[-1][0] > step):
+                if stretch[-1][0] + item.k - stretch[0][0] >= runs * item.run:
+                    out.update(i for i, _ in stretch)
+                stretch = []
+            stretch.append(h)
+    return out
+
+
+def phrase_from(mean: float) -> int:
+    """The least count that a Poisson variable of this mean reaches with a chance below ``PHRASE_CHANCE``."""
+    if mean > 400:
+        return int(mean + 3.09 * mean**0.5) + 1
+    term = math.exp(-mean)
+    tail, n = 1.0, 0
+    while tail >= PHRASE_CHANCE:
+        tail -= term
+        n += 1
+        term *= mean / n
+    return n
+
+
+def find_leaks(docs: DataFrame, items: DataFrame, share: float = 0.46, id_col: str = "doc_id", text_col: str = "text", block: int = 2000, max_items: int = 200_000, rare_share: float = 0.002) -> DataFrame:
     """``(doc_id, item_id, share)``: texts that reproduce at least half of an item's wording.
 
     ``share`` is a little below a half: words cut in two at the ends of a stretch do not count.
@@ -101,8 +139,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, share: float = 0.46, id_col: s
     Null, empty and wordless texts and items give nothing, as do items shorter than a shingle;
     a repeated text is found as often as it occurs; a repeated item id is one item (of its
     longest text); other columns are ignored.  Every text is read whole and every item is used.
-    A shingle is a phrase of the corpus if more than ``rare_share`` of all texts (and more than
-    ``rare_least``) have it.  Items beyond ``max_items`` fail rather than overfill the driver;
+    A shingle is a phrase of the corpus if, of the texts that do not reproduce the item, more than
+    ``rare_share`` have it: the same share at every size, tested one-sided, so that a few texts of a
+    small table prove nothing.  Items beyond ``max_items`` fail rather than overfill the driver;
     blocks of ``block`` items keep the index of one pass bounded.
     """
     spark = docs.sparkSession
@@ -114,7 +153,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, share: float = 0.46, id_col: s
             texts[r.item_id] = r.text
     keys = sorted(texts)
     rows = spread(docs.where(F.col(text_col) != "").select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")))
-    parts = [_pass(rows, spark, [Item(k, texts[k]) for k in keys[i : i + block]], share, rare_share, rare_least) for i in range(0, len(keys), block)]
+    parts = [_pass(rows, spark, [Item(k, texts[k]) for k in keys[i : i + block]], share, rare_share) for i in range(0, len(keys), block)]
     if not parts:
         return spark.createDataFrame([], "doc_id bigint, item_id bigint, share double")
     out = parts[0]
@@ -123,8 +162,10 @@ def find_leaks(docs: DataFrame, items: DataFrame, share: float = 0.46, id_col: s
     return out
 
 
-def _pass(rows: DataFrame, spark: SparkSession, items: list[Item], share: float, rare_share: float, rare_least: int) -> DataFrame:
+def _pass(rows: DataFrame, spark: SparkSession, items: list[Item], share: float, rare_share: float) -> DataFrame:
     items = [i for i in items if i.at]
+    from lacquer.session import materialise
+
     known = sorted({s for i in items for s in i.at})
     number = {s: n for n, s in enumerate(known)}
     shared_known = spark.sparkContext.broadcast((number, sorted({i.k for i in items})))
@@ -144,7 +185,6 @@ def _pass(rows: DataFrame, spark: SparkSession, items: list[Item], share: float,
 
     counts = dict(rows.mapInArrow(count, "shingle bigint, texts bigint").groupBy("shingle").agg(F.sum("texts").alias("texts")).collect())  # bounded by the items' shingles
     total = counts.pop(-1, 0)
-    common = max(rare_least, rare_share * total)
     index: dict[tuple, list[int]] = defaultdict(list)
     ready = []
     for place, item in enumerate(items):
@@ -153,14 +193,16 @@ def _pass(rows: DataFrame, spark: SparkSession, items: list[Item], share: float,
         for s in order[: len(order) - need + 1]:
             if counts.get(number[s], 0):
                 index[s].append(place)
-        rare = {i for s, at in item.at.items() if counts.get(number[s], 0) <= common for i in at}
-        ready.append((item.key, item.n, item.k, item.run, item.bridge, need, dict(item.at), rare))
+        ready.append((item.n, item.k, item.run, item.bridge, need, dict(item.at)))
     shared = spark.sparkContext.broadcast((dict(index), ready, sorted({i.k for i in items})))
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Texts covered without regard to phrases, with their hits; at last, with no text, how many of this task hold each shingle of an item as its own."""
         prefix, known_items, sizes = shared.value
+        everywhere = [range(i[0]) for i in known_items]
+        own: Counter = Counter()
         for batch in batches:
-            found: tuple[list, list, list] = ([], [], [])
+            found: tuple[list, list, list, list] = ([], [], [], [])
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 seq = words(text)
                 places: Counter = Counter()
@@ -168,22 +210,52 @@ def _pass(rows: DataFrame, spark: SparkSession, items: list[Item], share: float,
                     for g in {g for g in zip(*(seq[o:] for o in range(k)), strict=False) if g in prefix}:
                         places.update(prefix[g])
                 for place in places:
-                    item_key, n, k, run, bridge, need, at, rare = known_items[place]
-                    if len(seq) < share * n * 0.7:  # length bound, with room for words left out
-                        continue
+                    n, k, run, bridge, need, at = known_items[place]
                     hits = [(i, j) for j, g in enumerate(zip(*(seq[o:] for o in range(k)), strict=False)) if g in at for i in at[g]]
-                    if len({i for i, _ in hits}) < need or not rare & {i for i, _ in hits}:
+                    if len({i for i, _ in hits}) < need:
                         continue
                     item = Item.__new__(Item)
                     item.n, item.k, item.run, item.bridge = n, k, run, bridge
-                    part = covered(item, hits, rare) / n
-                    if part >= share:
+                    # length bound, with room for words left out
+                    whole = len(seq) >= share * n * 0.7 and covered(item, hits, everywhere[place]) / n >= share
+                    held = quoted(item, hits)
+                    if whole and held:
+                        held = {i for i, _ in hits}
+                        own[place, -1] += 1
+                    own.update((place, at[g][0]) for g in {tuple(seq[j : j + k]) for i, j in hits if i in held})
+                    if whole:
                         found[0].append(key)
-                        found[1].append(item_key)
-                        found[2].append(part)
+                        found[1].append(place)
+                        found[2].append([i for i, _ in hits])
+                        found[3].append([j for _, j in hits])
+            yield pa.RecordBatch.from_arrays([pa.array(found[0], pa.int64()), pa.array(found[1], pa.int32()), pa.array(found[2], pa.list_(pa.int32())), pa.array(found[3], pa.list_(pa.int32())), pa.nulls(len(found[0]), pa.int64())], ["doc_id", "place", "at_item", "at_text", "texts"])
+        places, at_item = [p for p, _ in own], [[i] for _, i in own]
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(own), pa.int64()), pa.array(places, pa.int32()), pa.array(at_item, pa.list_(pa.int32())), pa.nulls(len(own), pa.list_(pa.int32())), pa.array(list(own.values()), pa.int64())], ["doc_id", "place", "at_item", "at_text", "texts"])
+
+    covering = materialise(rows.mapInArrow(candidates, "doc_id bigint, place int, at_item array<int>, at_text array<int>, texts bigint"), "leak-candidates")
+    own = {(r.place, r.i): r.texts for r in covering.where("texts is not null").groupBy("place", F.col("at_item")[0].alias("i")).agg(F.sum("texts").alias("texts")).collect()}  # bounded by the items' shingles
+    judged = []
+    for place, item in enumerate(items):
+        common = phrase_from(rare_share * (total - own.get((place, -1), 0)))
+        rare = {i for s, at in item.at.items() if counts.get(number[s], 0) - own.get((place, at[0]), 0) < common for i in at}
+        judged.append((item.key, item.n, item.k, item.run, item.bridge, rare))
+    shared_judged = spark.sparkContext.broadcast(judged)
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known_items = shared_judged.value
+        for batch in batches:
+            found: tuple[list, list, list] = ([], [], [])
+            for key, place, at_item, at_text in zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True):
+                item = Item.__new__(Item)
+                item_key, item.n, item.k, item.run, item.bridge, rare = known_items[place]
+                part = covered(item, list(zip(at_item, at_text, strict=True)), rare) / item.n
+                if part >= share:
+                    found[0].append(key)
+                    found[1].append(item_key)
+                    found[2].append(part)
             yield pa.RecordBatch.from_arrays([pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64()), pa.array(found[2], pa.float64())], ["doc_id", "item_id", "share"])
 
-    return rows.mapInArrow(verify, "doc_id bigint, item_id bigint, share double")
+    return covering.where("texts is null").select("doc_id", "place", "at_item", "at_text").mapInArrow(verify, "doc_id bigint, item_id bigint, share double")
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:

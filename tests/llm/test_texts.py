@@ -222,6 +222,36 @@ def test_prefix_filter_loses_nothing(spark):
     assert got == want and len(want) > 20
 
 
+def test_copies_make_no_phrase_of_an_item(spark):
+    """An item copied, whole or in half, into a third of the texts, and one quoted in a third, are still found; phrases about others are not."""
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    fill = lambda n: " ".join(rng.choices(vocabulary, k=n))
+    phrase = "then {} went down to the old stone gate and said nothing to {}"
+    hot, asked, told = fill(40), fill(40), phrase.format("Nepe", "Giang")
+    for size in (90, 900):
+        docs, want = [], set()
+        for d in range(size):
+            kind = d % 30
+            if kind < 8:
+                text = f"{fill(12)} {hot} {fill(12)}"
+                want.add((d, 1))
+            elif kind < 10:
+                text = f"{fill(12)} {' '.join(hot.split()[:25])}"
+                want.add((d, 1))
+            elif kind < 20:
+                text = f"{' '.join(asked.split()[:17])} {fill(12)}"
+            elif kind < 29:
+                text = phrase.format(*rng.choices(vocabulary, k=2)) + (f" {fill(9)}" if d % 2 else "")
+            else:
+                text = f"{fill(3)} {' '.join(asked.split()[:20])} {fill(8)}"
+                want.add((d, 2))
+            docs.append((d, text))
+        items = [(1, hot), (2, asked), (3, f"{told} {fill(6)} {phrase.format('Viro', 'Sofa')}")]
+        got = leakage.find_leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+        assert {(r.doc_id, r.item_id) for r in got.collect()} == want
+
+
 # spam
 
 
