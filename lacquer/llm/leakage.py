@@ -89,13 +89,22 @@ def covered(item: Item, hits: list[tuple[int, int]], rare: set[int]) -> int:
             runs.append([i, i + item.k, d, int(i in rare), 1])
     runs.sort()
     merged: list[list[int]] = []
+    open_on: dict[int, list[int]] = {}  # merged runs that may go on, by diagonal
     for r in runs:
-        for m in reversed(merged[-12:]):
-            if abs(m[2] - r[2]) <= item.bridge and m[0] <= r[0] <= m[1] + item.bridge:
-                m[1], m[2], m[3], m[4] = max(m[1], r[1]), r[2], m[3] + r[3], m[4] + r[4]
-                break
-        else:
+        latest = -1
+        for d in range(r[2] - item.bridge, r[2] + item.bridge + 1):
+            if d in open_on:
+                # runs come by their beginnings: what has ended before this one is closed for good
+                open_on[d] = [x for x in open_on[d] if r[0] <= merged[x][1] + item.bridge]
+                latest = max(latest, *open_on[d], -1)
+        if latest < 0:
+            latest = len(merged)
             merged.append(list(r))
+        else:
+            m = merged[latest]
+            open_on[m[2]].remove(latest)
+            m[1], m[2], m[3], m[4] = max(m[1], r[1]), r[2], m[3] + r[3], m[4] + r[4]
+        open_on.setdefault(r[2], []).append(latest)
     mark = bytearray(item.n)
     for low, high, _, rares, count in merged:
         if high - low >= item.run and rares >= max(1, 0.25 * count):

@@ -252,6 +252,18 @@ def test_copies_make_no_phrase_of_an_item(spark):
         assert {(r.doc_id, r.item_id) for r in got.collect()} == want
 
 
+def test_runs_go_on_past_recurring_phrases():
+    """Words are put in every five words, and what stands at each break recurs twenty times elsewhere."""
+    sequence = [f"w{i}" for i in range(40)]
+    item = leakage.Item(1, " ".join(sequence))
+    text = [w for i in range(0, 40, 5) for w in (*sequence[i : i + 5], f"put{i}")]
+    for b in range(5, 40, 5):
+        for n in range(20):
+            text += [*sequence[b - 2 : b + 1], *(f"else{b}-{n}-{k}" for k in range(4 + n % 3))]
+    hits = [(i, j) for j, g in enumerate(zip(text, text[1:], text[2:], strict=False)) for i in item.at.get(g, ())]
+    assert leakage.covered(item, hits, set(range(item.n))) == 40
+
+
 # spam
 
 
