@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 WHOLE, BROKEN, OPEN = 0, 1, 2
@@ -199,7 +199,9 @@ def length_limits(read: DataFrame, neighbours: int = 25, rate: float = 0.01, lea
     """``(source, length, ending, reached, p)``: lengths whose hazard stands out among their neighbours.
 
     Equal answers of a source count once.  The hazard of a length is tested, one-sided, against
-    the pooled hazard of the lengths within ``neighbours`` of it; within each source the false
+    the pooled hazard of the lengths within ``neighbours`` of it, those without endings included.
+    Hazards rise by themselves where all lengths end, so that the endings have to stand out among
+    those of the same lengths too, as far as any answer reaches; ``p`` is the larger chance.  Within each source the false
     discovery rate is held at ``rate`` (step-up rule).  A source without a name is one source.
     """
     counts = read.where("state is not null").groupBy("source", "length").agg(F.countDistinct("body").alias("ending"))
@@ -207,10 +209,20 @@ def length_limits(read: DataFrame, neighbours: int = 25, rate: float = 0.01, lea
     near = order.rangeBetween(-neighbours, neighbours)
     hazards = (
         counts.withColumn("reached", F.sum("ending").over(Window.partitionBy("source").orderBy(F.col("length").desc()).rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("at_least", F.min("length").over(Window.partitionBy("source")))
+        .withColumn("at_most", F.max("length").over(Window.partitionBy("source")))
         .withColumn("other", F.sum("ending").over(near) - F.col("ending"))
     )
 
+    def exposure(offset: int) -> Column:
+        """Answers that reach a length, summed over all lengths up to this one and ``offset``."""
+        shorter = F.sum(F.col("length").cast("bigint") * F.col("ending")).over(order.rangeBetween(Window.unboundedPreceding, offset))
+        longer = F.sum("ending").over(order.rangeBetween(offset + 1, Window.unboundedFollowing))
+        return F.coalesce(shorter, F.lit(0)) + F.greatest(F.col("length") + offset, F.lit(0)) * F.coalesce(longer, F.lit(0))
+
+    hazards = hazards.withColumn("exposed", exposure(neighbours) - exposure(-neighbours - 1) - F.col("reached")).withColumn(
+        "slots", F.least(F.col("length") + neighbours, F.col("at_most")) - F.greatest(F.col("length") - neighbours, F.lit(1))
+    )
+
     @F.pandas_udf("double")
     def tail(ending: pd.Series, expected: pd.Series) -> pd.Series:
         """Chance of so many or more where so many are expected."""
@@ -223,8 +235,11 @@ def length_limits(read: DataFrame, neighbours: int = 25, rate: float = 0.01, lea
 
         return pd.Series([one(int(k), float(m)) for k, m in zip(ending, expected, strict=True)])
 
-    # neighbours share what else ended within their reach evenly; half an event stands for what was not seen
-    tested = hazards.withColumn("p", tail("ending", (F.col("other") + 0.5) / (2 * neighbours)))
+    # half an event stands for what was not seen; where nothing is near, nothing stands out
+    by_hazard = F.when(F.col("exposed") > 0, F.col("reached") * (F.col("other") + 0.5) / F.col("exposed")).otherwise(F.col("reached"))
+    by_count = F.when(F.col("slots") > 0, (F.col("other") + 0.5) / F.col("slots")).otherwise(F.col("reached"))
+    # the chance falls with what is expected
+    tested = hazards.withColumn("p", tail("ending", F.greatest(by_hazard.cast("double"), by_count.cast("double"))))
     ranked = tested.withColumn("rank", F.row_number().over(Window.partitionBy("source").orderBy("p", "length"))).withColumn(
         "tests", F.count("*").over(Window.partitionBy("source"))
     )

@@ -355,6 +355,19 @@ def test_find_truncated(spark):
     assert truncation.find_truncated(table.limit(0)).count() == 0
 
 
+def test_limits_stand_out_by_hazard_as_far_as_answers_reach(spark):
+    """Even lengths that end at 300 have no limit there; with many more at 300, or a little more in a thin end, they have."""
+
+    def found(endings):
+        rows = [("a", length, 1000 * length + k, 0) for length, n in endings.items() for k in range(n)]
+        return [r.length for r in truncation.length_limits(spark.createDataFrame(rows, "source string, length int, body bigint, state int")).collect()]
+
+    even = dict.fromkeys(range(275, 301), 40)
+    assert found(even) == []
+    assert found(even | {300: 200}) == [300] == found(dict.fromkeys(range(100, 400), 2) | {300: 40})
+    assert found({1: 50}) == [] == found({7: 1})
+
+
 def test_hostile_texts_take_linear_time():
     import time
 
