@@ -29,13 +29,14 @@ WHOLE, BROKEN, OPEN = 0, 1, 2
 _REPLACED = "�"
 #: What can stand behind a text without belonging to it: cut marks and closing notes.
 _CUT_MARK = re.compile(r"(?:\s|�|\[\s*(?:\.{3}|…)\s*\]|\(\s*(?:\.{3}|…)\s*\)|\[(?:truncated|cut|còn tiếp|未完)\]|```)+$", re.I)
-_NOTE = re.compile(r"\n\s*(?:[-–—~=*_#•\s]{3,}|[-–—~=*]+\s*[^\n.!?。！？]{1,24}\s*[-–—~=*]+|[^\W\d_][^\n:：.!?。！？]{1,20}[:：]\s*\d+)\s*$")
+_RULE = re.compile(r"[-–—~=*_#•\s]")
+_NOTE = re.compile(r"[-–—~=*]++\s*+[^\n.!?。！？]{1,24}\s*[-–—~=*]+|[^\W\d_][^\n:：.!?。！？]{1,20}[:：]\s*\d+")
 _TICKS = re.compile(r"[\s✔✅☑✓■□◆◇●○★☆※]+$")
 _FENCE = re.compile(r"^\s*```[\w-]*[ \t]*\n?|\n?```\s*$")
 _SENTENCE_END = re.compile(r"[.!?…。！？]+[\"”’」』）)\]]*$|[\"”’」』][.!?…。！？]*$")
 _TERM = re.compile(r"^\s*(\S.*?)\s*=\s*(.*\S)?\s*$")
 _HAN = re.compile("[㐀-鿿豈-﫿]")
-#: The longest mark or note behind a text; longer endings are text.
+#: The longest single mark behind a text; longer endings are text.
 LONGEST_MARK = 120
 _PASS = re.compile(r"^\W*PASS\W*$")
 
@@ -48,17 +49,34 @@ FIELDS = {
 READ_SCHEMA = "result_id bigint, source string, length int, body bigint, state int, kind string, key string, value string, final boolean"
 
 
+def strip_note(text: str) -> str:
+    """The text without the rules, or the note on its last lines, behind it; both may be of any length."""
+    starts, end = [], len(text.rstrip())
+    while len(starts) < 3 and (line_feed := text.rfind("\n", 0, end)) >= 0:  # a note may have a rule on a line before it and one behind
+        starts.append(line_feed)
+        end = len(text[:line_feed].rstrip())
+    for line_feed in reversed(starts):
+        if _NOTE.fullmatch(text[line_feed:].strip()):
+            return text[:line_feed]
+    end = len(text)
+    while end and _RULE.match(text[end - 1]):
+        end -= 1
+    line_feed = text.find("\n", end)
+    return text[:line_feed] if 0 <= line_feed < len(text) - 3 else text
+
+
 def strip_marks(text: str) -> str:
     """The text without blanks, fences, cut marks and closing notes behind it."""
     text = _FENCE.sub("", text.strip())
     while True:
         text = text.rstrip()
-        # marks and notes are short, so that only the end is searched
-        head, tail = text[:-LONGEST_MARK], text[-LONGEST_MARK:]
-        shorter = _TICKS.sub("", _NOTE.sub("", _CUT_MARK.sub("", tail)))
-        if shorter == tail:
+        # a single mark is short, so that only the end is searched
+        shorter = text[:-LONGEST_MARK] + _CUT_MARK.sub("", text[-LONGEST_MARK:])
+        shorter = strip_note(shorter)
+        shorter = shorter[:-LONGEST_MARK] + _TICKS.sub("", shorter[-LONGEST_MARK:])
+        if shorter == text:
             return text
-        text = head + shorter
+        text = shorter
 
 
 def ends_sentence(text: str) -> bool:

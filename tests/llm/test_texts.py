@@ -355,6 +355,13 @@ def test_find_truncated(spark):
     assert truncation.find_truncated(table.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("behind", ["\n" + "-" * 130, "\n\n" + "* " * 400 + "\n", "\n" + "=" * 150 + " Hết chương " + "=" * 150, "\n" + "-" * 90 + "\n" + "-" * 90, "\n" + "-" * 90 + "\nHết chương\n" + "-" * 90])
+def test_rules_and_notes_may_be_long(behind):
+    assert truncation.read_text("Anh đi. Em ở lại." + behind) == 0
+    assert truncation.read_text("Anh đi. Em ở l" + behind) == 1
+    assert truncation.strip_marks("Anh đi." + behind) == "Anh đi."
+
+
 def test_limits_stand_out_by_hazard_as_far_as_answers_reach(spark):
     """Even lengths that end at 300 have no limit there; with many more at 300, or a little more in a thin end, they have."""
 
