@@ -30,6 +30,8 @@ LAYERED = 8
 CELLS = 150
 #: Weight of a missing or excess share of the wanted overlap when its start is chosen.
 OVERLAP_MISS = 2.0
+#: Charge for each eighth by which an overlap is shorter at a cut, where there is no chain of pieces otherwise.
+SHORTER = 1000.0
 
 _CLOSERS = "”’」』】》）)\"'\\]"
 _NATURAL = re.compile(
@@ -121,10 +123,11 @@ class Splitter:
         keep = np.sort(order[first])
         return pos[keep], cost[keep]
 
-    def begin_after(self, cuts: np.ndarray, overlap: int) -> np.ndarray:
-        """For each cut, where the next piece begins: the boundary that comes nearest to the overlap."""
+    def begin_after(self, cuts: np.ndarray, overlap: int, aside: int | None = None) -> np.ndarray:
+        """For each cut, where the next piece begins: the boundary that comes nearest to the overlap, at most ``aside`` from it (else the overlap)."""
         if overlap <= 0:
             return cuts.copy()
+        aside = overlap if aside is None else aside
         want = np.maximum(cuts - overlap, 0)
         best = np.full(len(cuts), -1, dtype=np.int64)
         score = np.full(len(cuts), np.inf)
@@ -136,14 +139,14 @@ class Splitter:
             for near in (np.maximum(right - 1, 0), np.minimum(right, len(p) - 1)):
                 found = p[near]
                 s = OVERLAP_MISS * np.abs(found - want) / overlap + kind
-                better = (s < score) & (found < cuts) & (np.abs(found - want) <= overlap)
+                better = (s < score) & (found < cuts) & (np.abs(found - want) <= aside)
                 best = np.where(better, found, best)
                 score = np.where(better, s, score)
         for i in np.flatnonzero(best < 0):  # no boundary near: the exact overlap, at the edge of a visible character
             p = int(want[i])
             while self.visible is not None and 0 < p and not self.visible[p]:
                 p -= 1
-            best[i] = p if cuts[i] - p <= 2 * overlap else cuts[i]
+            best[i] = p if cuts[i] - p <= overlap + aside else cuts[i]
         return np.minimum(best, cuts)
 
     def split(self, limit: int, overlap: int) -> list[tuple[int, int]]:
@@ -151,20 +154,38 @@ class Splitter:
         n = self.n
         if n <= limit or limit < 1:
             return [(0, n)]
-        overlap = max(0, min(overlap, limit // 4))  # an overlap of more would leave little to advance
-        reach = max(1, (limit - 2 * overlap) * (CELLS - 4) // CELLS)
+        overlap = max(0, min(overlap, limit - 1))
+        aside = min(overlap, (limit - overlap) // 2)  # an overlap larger still would leave little to advance
+        # visible characters are not cut for the sake of an overlap
+        reach = max(1, (limit - overlap - aside) * (CELLS - 4) // CELLS, limit // 2 * (CELLS - 4) // CELLS)
         pos, penalty = self.candidates(reach)
-        begin = self.begin_after(pos, overlap)
+        begin = self.begin_after(pos, overlap, aside)
         pieces = max(2, -(-(n - overlap) // max(1, limit - overlap)))
         if pieces <= LAYERED:
             found = [c for p in sorted({max(2, -(-n // limit)), pieces, pieces + 1}) if (c := self._layers(p, pos, penalty, begin, limit, overlap))]
             if found:
                 return min(found)[1]
+        ideal = (n + (pieces - 1) * overlap) / pieces
+        chain = self._chain(pos, penalty, begin, limit, ideal)
+        if chain is None and overlap:
+            # only overlaps can stand in the way: at the cuts where they do, they may be shorter
+            shorter = [(overlap * (8 - k) // 8, SHORTER * k) for k in range(1, 9)]
+            begins = np.concatenate([begin, *(self.begin_after(pos, o, min(o, aside)) for o, _ in shorter)])
+            charged = np.concatenate([penalty, *(penalty + charge for _, charge in shorter)])
+            cuts = np.tile(pos, len(shorter) + 1)
+            order = np.argsort(cuts, kind="stable")
+            chain = self._chain(cuts[order], charged[order], begins[order], limit, ideal)
+        if chain is None:
+            raise AssertionError("no chain of pieces")
+        return chain
+
+    def _chain(self, pos: np.ndarray, penalty: np.ndarray, begin: np.ndarray, limit: int, ideal: float) -> list[tuple[int, int]] | None:
+        """The best chain of any number of pieces, in one pass over all cuts; a cut may stand there with several begins."""
+        n = self.n
         # node 0 is the start of the text, node k the cut pos[k-1], the last node its end
         ends = np.concatenate(([0], pos, [n]))
         starts = np.concatenate(([0], begin, [n]))
         penalty = np.concatenate(([0.0], penalty, [0.0]))
-        ideal = (n + (pieces - 1) * overlap) / pieces
         count = len(ends)
         best = np.full(count, np.inf)
         best[0] = 0.0
@@ -172,16 +193,16 @@ class Splitter:
         longest = np.maximum.accumulate(starts)  # starts never run far backwards
         for j in range(1, count):
             low = int(np.searchsorted(longest[:j], ends[j] - limit, "left"))
+            if low == j:
+                continue
             size = ends[j] - starts[low:j]
             cost = best[low:j] + IMBALANCE * ((size - ideal) / ideal) ** 2
-            cost[(size > limit) | (starts[j] <= starts[low:j])] = np.inf
+            cost[(size > limit) | (starts[j] <= starts[low:j]) | (ends[j] <= ends[low:j])] = np.inf
             k = int(np.argmin(cost))
             best[j] = cost[k] + penalty[j] + PIECE_CHARGE
             previous[j] = low + k
         if not np.isfinite(best[-1]):
-            if overlap:  # only overlaps can stand in the way
-                return self.split(limit, 0)
-            raise AssertionError("no chain of pieces")
+            return None
         chain, j = [], count - 1
         while j > 0:
             i = int(previous[j])

@@ -119,6 +119,16 @@ def test_split_texts(spark):
     assert splitting.split_texts(rows.limit(0), caps).count() == 0 and splitting.split_texts(rows, caps.limit(0)).count() == 0
 
 
+def test_large_overlaps_are_kept():
+    rng = random.Random(6)
+    text = "".join(rng.choice(["Anh đi. ", "Em ở lại, ", "trời mưa to ", "Xong!\n"]) for _ in range(1500))
+    for limit, overlap in ((1000, 400), (1000, 600), (300, 200), (100, 60)):
+        pieces = splitting.Splitter(text).split(limit, overlap)
+        valid(text, pieces, limit)
+        shared = [a[1] - b[0] for a, b in itertools.pairwise(pieces)]
+        assert sum(abs(x - overlap) <= 0.2 * overlap for x in shared) > 0.8 * len(shared)
+
+
 # boilerplate
 
 
