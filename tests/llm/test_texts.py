@@ -201,11 +201,84 @@ def leak_rows():
 def test_find_leaks(spark):
     docs = spark.createDataFrame([(i, t, 5) for i, t in leak_rows()], "doc_id bigint, text string, item_id int")
     items = spark.createDataFrame([(7, ITEM), (8, None), (9, ""), (10, "two words"), (7, "short"), (None, ITEM)], "item_id bigint, text string")
-    got = leakage.find_leaks(docs, items, block=1).collect()
+    got = leakage.find_leaks(docs, items).collect()
     assert sorted((r.doc_id, r.item_id) for r in got) == [(1, 7), (1, 7), (2, 7), (3, 7), (5, 7), (10, 7), (11, 7), (12, 7)]
     assert leakage.find_leaks(docs.limit(0), items).count() == 0 and leakage.find_leaks(docs, items.limit(0)).count() == 0
-    with pytest.raises(ValueError):
-        leakage.find_leaks(docs, items, max_items=1)
+
+
+DOCS, ITEMS = "doc_id bigint, text string", "item_id bigint, text string"
+
+
+def leaks(spark, docs, items):
+    return {(r.doc_id, r.item_id) for r in leakage.find_leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)).collect()}
+
+
+@pytest.mark.parametrize("copies", [30, 60, 600, 1000])
+def test_frequent_leaks_are_found(spark, copies):
+    """However many of a thousand texts hold an item, whole or changed at random, all are found."""
+    rng = random.Random(copies)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    item, short = rng.sample(vocabulary, 40), rng.sample(vocabulary, 5)
+    docs, want = [], set()
+    for d in range(1000):
+        text = rng.choices(vocabulary, k=20)
+        if d < copies:
+            copy = [w if rng.random() > 0.08 or d % 2 else rng.choice(vocabulary) for w in item]
+            text = text[:10] + copy + text[10:] + short
+            want |= {(d, 1), (d, 2)}
+        docs.append((d, " ".join(text)))
+    assert leaks(spark, docs, [(1, " ".join(item)), (2, " ".join(short))]) == want
+
+
+@pytest.mark.parametrize("size", range(1, 9))
+def test_short_items_are_found_whole(spark, size):
+    """Against a search for the words: items of one to eight words or characters, the longer ones with one word changed too."""
+    rng = random.Random(size)
+    word = [f"q{i}" for i in range(400)]
+    han = [chr(0x4E00 + i) for i in range(400)]
+    for vocabulary, joint in ((word, " "), (han, "")):
+        items = [rng.sample(vocabulary, size) for _ in range(3)]
+        docs, want = [], set()
+        for d in range(60):
+            text, i = rng.choices(vocabulary, k=30), d % 4
+            if i < 3:
+                text = text[: d % 20] + items[i] + text[d % 20 :]
+            docs.append((d, joint.join(text)))
+            want |= {(d, k) for k, x in enumerate(items) if any(text[j : j + size] == x for j in range(len(text)))}
+        assert want <= (got := leaks(spark, docs, [(k, joint.join(x)) for k, x in enumerate(items)]))
+        assert size > 3 or got == want
+
+
+def test_many_items(spark):
+    """Fifty thousand items against a comparison of every text with every item that shares a shingle."""
+    rng = random.Random(6)
+    vocabulary = [f"w{i}" for i in range(2000)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=12 + i % 5))) for i in range(50_000)]
+    docs = [(d, " ".join([*rng.choices(vocabulary, k=15), *(items[rng.randrange(50_000)][1].split()[: rng.choice((4, 8, 16))]), *rng.choices(vocabulary, k=15)])) for d in range(40)]
+    grams = {d: list(zip(s := t.split(), s[1:], s[2:], strict=False)) for d, t in docs}
+    sets = {d: set(g) for d, g in grams.items()}
+    want = set()
+    for key, text in items:
+        item = leakage.Item(key, text)
+        for d in grams:
+            if not sets[d].isdisjoint(item.at):
+                hits = [(i, j) for j, g in enumerate(grams[d]) if g in item.at for i in item.at[g]]
+                if leakage.covered(item, hits, set(range(item.n))) / item.n >= 0.46:
+                    want.add((d, key))
+    assert leaks(spark, docs, items) == want and len(want) > 15
+
+
+def test_hashes_tell_places_and_sizes():
+    hashes = leakage.WordHashes()
+    ids = hashes.of("a b c a b d".split())
+    three, two = leakage.shingle_hashes(ids, 3).tolist(), leakage.shingle_hashes(ids, 2).tolist()
+    assert len(three) == 4 and len(set(three)) == 4 and two[0] == two[3] and not set(two) & set(three) and not len(leakage.shingle_hashes(ids[:1], 2))
+
+
+def test_windows_hold_what_one_run_can_reach():
+    item = leakage.Item(1, " ".join(f"w{i}" for i in range(20)))
+    hits = [(i, i + 5) for i in range(6)] + [(i, i + 200) for i in range(6, 18)]
+    assert [len(w) for w in leakage.item_windows(item, hits)] == [6, 12] and leakage.covered(item, hits, set(range(20))) == 20
 
 
 def test_prefix_filter_loses_nothing(spark):
