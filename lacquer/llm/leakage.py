@@ -405,8 +405,6 @@ def _verify(share: float):
                 h, at = batch.column(2)[r].as_py(), batch.column(3)[r].as_py()
                 item = Item.of_sizes(item_n, k, run_, bridge)
                 hits = [(i, j) for g, j in zip(h, at, strict=True) if g in places for i in places[g]]
-                if len({i for i, _ in hits}) < needed(len(places)):
-                    continue
                 # length bound, with room for words left out
                 whole = n >= share * item_n * 0.7 and covered(item, hits, range(item_n)) / item_n >= share
                 own = quoted(item, hits)
@@ -423,11 +421,6 @@ def _verify(share: float):
     return run
 
 
-def needed(shingles: int) -> int:
-    """How many of an item's shingles a text has to share."""
-    return max(1, int(SHINGLE_SHARE * shingles))
-
-
 def find_leaks(docs: DataFrame, items: DataFrame, share: float = 0.46, id_col: str = "doc_id", text_col: str = "text", rare_share: float = 0.002) -> DataFrame:
     """``(doc_id, item_id, share)``: texts that reproduce at least half of an item's wording.
 
@@ -465,6 +458,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, share: float = 0.46, id_col: s
     met = texts.select("row", F.explode(F.array_distinct("h")).alias("h")).join(prefix, "h")
     pairs = met.groupBy("row", "item_id").agg(F.count("*").alias("shared"), F.first("least").alias("least")).where("shared >= least").select("row", "item_id")
     candidates = pairs.join(texts.select("row", "doc_id", F.col("n").alias("words"), "h", "at"), "row").join(known, "item_id")
+    candidates = candidates.where(F.size(F.array_intersect("h", F.transform("shingles", lambda s: s["h"]))) >= F.greatest(F.lit(1), F.floor(F.size("shingles") * SHINGLE_SHARE)))
     verified = candidates.select("doc_id", "words", "h", "at", "item_id", "n", "k", "run", "bridge", "shingles").mapInArrow(_verify(share), _VERIFIED)
     verified = materialise(verified, "leak-candidates")
 

@@ -1,15 +1,19 @@
 """Keyword-stuffed and link-list pages.
 
-Each text is cut into units (sentences, list entries, lines); a unit that is a link, an entry
-of a list or a sentence stuffed with one keyword is *made for engines*.  The shares of such
-characters and some counts are the content and link features of bagged decision trees, trained
-here on a bounded sample (``train_rows``) of weakly labelled texts: those where the shares leave
-no doubt.  The votes of the trees are then smoothed with the spam rate of their host, which is
-counted over all texts.
+Each text is cut into units: sentences, list entries, lines.  Content features say how much of the
+text stands in entries of lists, in lines with links, in sentences stuffed with one keyword and in
+sentences that end as such, how its words repeat and how its entries take up each other's words;
+link features say how many links there are, to how many hosts, and how much of the text is their
+anchors.  Bagged decision trees, each split choosing among a few features only, are trained here
+on a bounded sample (``train_rows``) of weakly labelled texts.  Labels come from several rules
+about different features (``RULES``); where rules disagree or say nothing, there is no label.
+The votes of the trees are then smoothed with the spam rate of their host, which is counted over
+all texts.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections import Counter
@@ -20,10 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FEATURES = ("engine", "listed", "linked", "stuffed", "distinct", "top", "digits", "marks", "entries")
+FEATURES = (
+    "listed", "linked", "stuffed", "sentences", "distinct", "top", "recurring", "taken_up", "entries", "entry_words", "units", "everywhere", "digits", "marks", "unended",
+    "han", "links", "hosts", "anchored", "repeated_hosts",
+)
 
 _INVISIBLE = re.compile("[​-‏‪-‮⁠-⁤﻿­]")
 _URL = re.compile(r"(?:(?:https?://|www\.)[^\s)\]】》]+|\b[a-z0-9][a-z0-9-]{0,62}(?:\.[a-z0-9-]{1,63}){0,8}\.[a-z]{2,63}(?:/[^\s)\]】》]*)?)", re.I)
+_HOST = re.compile(r"^(?:https?://)?(?:www\.)?")
 _GAPS = re.compile(r"[^\S\n]{3,}")
 _QUOTE_PREFIX = re.compile(r"^\s*[|>]\s(?=\S)")
 #: One sentence with its closing quotes, or the unterminated rest of a line.
@@ -93,22 +101,21 @@ def is_stuffed(sentence: str) -> bool:
     return covered >= STUFFED_SHARE * whole
 
 
-def listed_share(unit: str, terminated: bool) -> tuple[float, int]:
-    """The share of a unit that is short entries of a list, and how many entries it has.
+def listed_share(unit: str, entries: list[str], terminated: bool) -> float:
+    """The share of a unit that is short entries of a list.
 
     Clauses of a sentence can be as short as entries; what ends like a sentence is only a list
     if its words come back.
     """
-    entries = [e for e in _SEPARATOR.split(unit) if e and _WORD.search(e)]
     sizes = [words_in(e) for e in entries]
     short = [s for s in sizes if s <= ENTRY_TOKENS]
     if len(short) < LIST_ENTRIES:
-        return 0.0, len(entries)
+        return 0.0
     if terminated:
         toks = tokens(unit)
         repeats = len(set(toks)) < 0.7 * len(toks) and sum(short) >= 0.7 * sum(sizes)
-        return float(repeats), len(entries)
-    return sum(short) / sum(sizes), len(entries)
+        return float(repeats)
+    return sum(short) / sum(sizes)
 
 
 def bare_lines(lines: list[str]) -> set[int]:
@@ -131,68 +138,107 @@ def page_features(text: str) -> tuple[float, ...]:
     """The features of one text, in the order of ``FEATURES``."""
     text = unicodedata.normalize("NFKC", _INVISIBLE.sub("", text))
     text = _GAPS.sub("  ", text)
-    told = listed = linked = stuffed = entries = 0
+    told = listed = linked = stuffed = ended = anchored = 0
+    entries: list[str] = []
+    units = 0
+    holding: Counter = Counter()  # units that hold a word
+    hosts: Counter = Counter()
     lines = [_QUOTE_PREFIX.sub("", line) for line in text.split("\n")]
     bare = bare_lines(lines)
     for i, line in enumerate(lines):
-        if _URL.search(line):
+        targets = [m.group() for m in _URL.finditer(line)]
+        if targets:
             linked += extent(line) or 1
+            anchored += extent(_URL.sub(" ", line))
+            hosts.update(_HOST.sub("", t.lower()).split("/")[0] for t in targets)
+            units += 1
             continue
         for m in _SENTENCE.finditer(line):
             unit = m.group().strip()
             long = extent(unit)
             if not long:
                 continue
+            units += 1
+            holding.update({t for t in tokens(unit) if len(t) > 1 and t not in STOPWORDS})
             terminated = bool(_TERMINAL.search(unit))
-            share, count = (1.0, 1) if i in bare else listed_share(unit, terminated)
+            parts = [e for e in _SEPARATOR.split(unit) if e and _WORD.search(e)]
+            share = 1.0 if i in bare else listed_share(unit, parts, terminated)
             if share:
                 listed += share * long
                 told += (1 - share) * long
-                entries += max(1, count)
+                entries += parts
             elif is_stuffed(unit):
                 stuffed += long
             elif not terminated and m.start() == 0 and words_in(unit) <= ENTRY_TOKENS:
                 listed += long
-                entries += 1
+                entries.append(unit)
             else:
                 told += long
+                ended += long * terminated
     whole = told + listed + linked + stuffed or 1
     toks = [t for t in tokens(_URL.sub(" ", text)) if t not in STOPWORDS]
     count = len(toks) or 1
     seen = Counter(toks)
-    top = sum(c for _, c in seen.most_common(3))
+    links = sum(hosts.values())
     return (
-        (listed + linked + stuffed) / whole,
         listed / whole,
         linked / whole,
         stuffed / whole,
+        ended / whole,
         len(seen) / count,
-        top / count,
+        sum(c for _, c in seen.most_common(3)) / count,
+        sum(c for c in seen.values() if c >= 3) / count,
+        taken_up(entries),
+        math.log1p(len(entries)),
+        sum(map(words_in, entries)) / max(1, len(entries)),
+        math.log1p(units),
+        max(holding.values(), default=0) / units if units > 2 else 0.0,
         sum(c.isdigit() for c in text) / (len(text) or 1),
         sum(len(_SEPARATOR.findall(line)) for line in lines) / (len(text) or 1),
-        entries / count,
+        sum(1 for line in lines if _WORD.search(line) and not _ENDS.search(line)) / len(lines),
+        len(_HAN.findall(text)) / (len(text) or 1),
+        math.log1p(links),
+        len(hosts) / max(1, links),
+        anchored / whole,
+        max(hosts.values(), default=0) / max(1, links),
     )
 
 
+def taken_up(entries: list[str]) -> float:
+    """The share of entries whose first or last word other entries begin or end with too."""
+    if len(entries) < 2:
+        return 0.0
+    sides = []
+    for e in entries:
+        found = tokens(e)
+        sides.append((found[0], found[-1]) if found else ("", ""))
+    first, last = Counter(a for a, _ in sides), Counter(b for _, b in sides)
+    return sum(first[a] > 1 or last[b] > 1 for a, b in sides) / len(entries)
+
+
 class BaggedTrees:
-    """Decision trees (Gini), each grown on a bootstrap sample; the vote is the mean of their leaves."""
+    """Decision trees (Gini), each grown on a bootstrap sample and splitting on the best of a few features drawn for each node; the vote is the mean of their leaves."""
 
-    def __init__(self, trees: int = 15, depth: int = 5, least: int = 5, seed: int = 7):
+    def __init__(self, trees: int = 25, depth: int = 7, least: int = 4, seed: int = 7):
         self.count, self.depth, self.least, self.seed = trees, depth, least, seed
         self.trees: list = []
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> BaggedTrees:
         rng = np.random.default_rng(self.seed)
-        self.trees = [self._grow(x[pick], y[pick], self.depth) for pick in (rng.integers(0, len(y), len(y)) for _ in range(self.count))]
+        self.trees = [self._grow(x[pick], y[pick], self.depth, rng) for pick in (rng.integers(0, len(y), len(y)) for _ in range(self.count))]
         return self
 
-    def _grow(self, x: np.ndarray, y: np.ndarray, depth: int):
+    def _grow(self, x: np.ndarray, y: np.ndarray, depth: int, rng: np.random.Generator):
         rate = float(y.mean())
         if depth == 0 or len(y) < 2 * self.least or rate in (0.0, 1.0):
             return rate
         best = (1e-9, None, None)
         whole = rate * (1 - rate)
-        for f in range(x.shape[1]):
+        few = math.ceil(math.sqrt(x.shape[1]))
+        drawn = rng.permutation(x.shape[1])
+        for k, f in enumerate(drawn.tolist()):
+            if k >= few and best[1] is not None:
+                break
             order = np.argsort(x[:, f], kind="stable")
             v, ones = x[order, f], np.cumsum(y[order])
             left = np.arange(1, len(y))
@@ -200,13 +246,13 @@ class BaggedTrees:
             a, b = ones[:-1] / left, (ones[-1] - ones[:-1]) / right
             gain = whole - (left * a * (1 - a) + right * b * (1 - b)) / len(y)
             gain[(v[1:] <= v[:-1]) | (left < self.least) | (right < self.least)] = -1
-            k = int(np.argmax(gain))
-            if gain[k] > best[0]:
-                best = (float(gain[k]), f, float((v[k] + v[k + 1]) / 2))
+            at = int(np.argmax(gain))
+            if gain[at] > best[0]:
+                best = (float(gain[at]), f, float((v[at] + v[at + 1]) / 2))
         if best[1] is None:
             return rate
         low = x[:, best[1]] <= best[2]
-        return best[1], best[2], self._grow(x[low], y[low], depth - 1), self._grow(x[~low], y[~low], depth - 1)
+        return best[1], best[2], self._grow(x[low], y[low], depth - 1, rng), self._grow(x[~low], y[~low], depth - 1, rng)
 
     def vote(self, x: np.ndarray) -> np.ndarray:
         out = np.zeros(len(x))
@@ -224,27 +270,62 @@ class BaggedTrees:
         self._walk(right, x, rows[~low], out)
 
 
+def _rules() -> tuple[tuple[int, object], ...]:
+    at = {name: i for i, name in enumerate(FEATURES)}
+    f = lambda name: lambda x: x[:, at[name]]
+    listed, linked, stuffed, sentences, distinct, recurring, taken, entries, units, everywhere, links = (
+        f(n) for n in ("listed", "linked", "stuffed", "sentences", "distinct", "recurring", "taken_up", "entries", "units", "everywhere", "links")
+    )
+    many, few = math.log1p(5), math.log1p(3)
+    return (
+        # many links, and hardly a sentence beside them
+        (1, lambda x: (links(x) >= few) & (linked(x) > 0.6) & (sentences(x) < 0.35)),
+        # a list without sentences: many entries that take up each other's words
+        (1, lambda x: (entries(x) >= many) & (listed(x) > 0.6) & (sentences(x) < 0.35)),
+        # entries of one keyword, however long
+        (1, lambda x: (taken(x) >= 0.6) & (entries(x) >= many) & (sentences(x) < 0.35)),
+        # sentences about one keyword over and over
+        (1, lambda x: (recurring(x) > 0.5) & (distinct(x) < 0.5) & (stuffed(x) > 0.4)),
+        # one keyword in nearly every unit, several times in some
+        (1, lambda x: (everywhere(x) >= 0.8) & (distinct(x) < 0.5) & (stuffed(x) > 0.25)),
+        # sentences that end, without links, whatever they say
+        (0, lambda x: (sentences(x) >= 0.6) & (linked(x) < 0.3)),
+        # told for the most part, if not in lines that end, and nothing over and over
+        (0, lambda x: (listed(x) + linked(x) + stuffed(x) < 0.4) & (taken(x) < 0.7) & (distinct(x) > 0.6) & (links(x) == 0)),
+        # one or two units that say something once: a remark, or a fragment
+        (0, lambda x: (units(x) <= math.log1p(2)) & (entries(x) <= math.log1p(2)) & (links(x) == 0) & (distinct(x) > 0.6)),
+        # different words throughout and no list
+        (0, lambda x: (distinct(x) > 0.85) & (listed(x) < 0.5) & (entries(x) <= math.log1p(12)) & (links(x) == 0)),
+    )
+
+
+#: Weak labelling: (label, which rows the rule speaks of).
+RULES = _rules()
+
+
 def weak_labels(x: np.ndarray) -> np.ndarray:
-    """1 and 0 where the shares leave no doubt, -1 elsewhere."""
-    engine, distinct = x[:, 0], x[:, 4]
-    label = np.full(len(x), -1)
-    label[(engine >= 0.55) & ((distinct < 0.8) | (x[:, 2] > 0.4) | (x[:, 1] > 0.8))] = 1
-    label[engine <= 0.45] = 0
-    return label
+    """1 and 0 where rules for one label speak and none for the other, -1 elsewhere."""
+    said = {label: np.zeros(len(x), dtype=bool) for label in (0, 1)}
+    for label, rule in RULES:
+        said[label] |= rule(x)
+    return np.where(said[1] & ~said[0], 1, np.where(said[0] & ~said[1], 0, -1))
+
+
+#: Stand in for a kind of text of which a table has no example.
+CLEAR = ("Nobody came that evening. The lamps were lit one after another, and the keeper closed the gate!", "lamp sale | lamp cheap | lamp new | lamp best | kite sale | kite cheap | kite new | kite best")
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_rows: int = 8000) -> BaggedTrees:
     """Fit on at most ``train_rows`` texts, chosen by the hash of their id."""
     from lacquer.llm.sampling import bounded_texts
 
-    texts = bounded_texts(docs.where(F.col(text_col).rlike(r"\S")), id_col, text_col, train_rows, "spam")
+    texts = bounded_texts(docs.where(F.col(text_col).rlike(r"(?U)[\w\p{P}\p{S}]")), id_col, text_col, train_rows, "spam")
     x = np.array([page_features(t) for t in texts]).reshape(-1, len(FEATURES))
     y = weak_labels(x)
     x, y = x[y >= 0], y[y >= 0]
     if not len(y) or y.min() == y.max():  # no example of one kind: two clear ones stand for it
-        clear = np.zeros((2 * 10, len(FEATURES)))
-        clear[10:, 0] = clear[10:, 1] = 1.0
-        x, y = np.vstack([x, clear]), np.concatenate([y, np.repeat([0, 1], 10)])
+        clear = np.array([page_features(t) for t in CLEAR * 10])
+        x, y = np.vstack([x, clear]), np.concatenate([y, np.tile([0, 1], 10)])
     return BaggedTrees().fit(x, y)
 
 
@@ -257,7 +338,7 @@ def score_pages(docs: DataFrame, model: BaggedTrees, id_col: str = "doc_id", tex
             x = np.array([page_features(t) for t in batch.column(2).to_pylist()]).reshape(-1, len(FEATURES))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(model.vote(x))], ["doc_id", "host", "vote"])
 
-    rows = docs.where(F.col(text_col).rlike(r"\S")).select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(host_col).alias("host"), F.col(text_col).alias("text"))
+    rows = docs.where(F.col(text_col).rlike(r"(?U)[\w\p{P}\p{S}]")).select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(host_col).alias("host"), F.col(text_col).alias("text"))
     return spread(rows).mapInArrow(score, "doc_id bigint, host string, vote double")
 
 

