@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lacquer.functions.text import blank, clean_list, name_id, slug, trim_u
-from lacquer.operators.merge import evidence_list, evidence_rows, first_filled, ordered_union
+from lacquer.operators.merge import evidence_list, evidence_rows, first_filled, ordered_unions
 
 
 def quality(evidences: Column | str) -> Column:
@@ -66,9 +66,10 @@ def merge_entries(entries: DataFrame, keys: list[str], order: Column) -> DataFra
     """One entry per key: names and aliases united in order, evidences distinct, the first kind that is not blank."""
     rows = entries.withColumn("_order", order)
     out = rows.groupBy(*keys).agg(first_filled("kind", "_order").alias("kind"), F.count("*").alias("merged_rows"))
-    for name, column in (("names_zh", F.col("names_zh")), ("names_vi", F.col("names_vi")), ("alias_zh", F.col("aliases.zh")), ("alias_vi", F.col("aliases.vi"))):
-        filled = F.coalesce(column, F.array().cast("array<string>"))
-        out = out.join(ordered_union(rows, keys, filled, F.col("_order"), name), keys, "left").withColumn(name, F.coalesce(name, F.array().cast("array<string>")))
+    lists = {"names_zh": F.col("names_zh"), "names_vi": F.col("names_vi"), "alias_zh": F.col("aliases.zh"), "alias_vi": F.col("aliases.vi")}
+    out = out.join(ordered_unions(rows, keys, lists, F.col("_order")), keys, "left")
+    for name in lists:
+        out = out.withColumn(name, F.coalesce(name, F.array().cast("array<string>")))
     found = evidence_list(evidence_rows(rows, keys, "evidences", F.col("_order"), "evidence", [], need_file=False), keys, ["source_file", "evidence"])
     out = out.join(found, keys, "left")
     return out.withColumn("aliases", F.struct(F.col("alias_zh").alias("zh"), F.col("alias_vi").alias("vi"))).drop("alias_zh", "alias_vi")

@@ -28,9 +28,15 @@ def pair_by_position(texts: DataFrame, keys: list[str], source: str, target: str
     return texts.select(*keys, F.posexplode(zipped).alias("line", "_z")).select(*keys, "line", or_empty(F.col("_z.s")).alias(source), or_empty(F.col("_z.t")).alias(target))
 
 
-def apply_patches(lines: DataFrame, patches: DataFrame, keys: list[str], line: str, target: str, order: str, fix: str) -> DataFrame:
-    """Lines with the last patch of their place; patches for places that do not exist add lines."""
-    last = patches.where(F.col(fix).isNotNull() & F.col(line).isNotNull()).groupBy(*keys, line).agg(F.max_by(fix, order).alias("_fix"))
+def apply_patches(lines: DataFrame, patches: DataFrame, keys: list[str], line: str, target: str, order: str, fix: str, allowed: DataFrame | None = None) -> DataFrame:
+    """Lines with the last patch of their place; patches for places that do not exist add lines.
+
+    With ``allowed`` (keys, line) patches of all other places are left aside.
+    """
+    known = patches.where(F.col(fix).isNotNull() & F.col(line).isNotNull())
+    if allowed is not None:
+        known = known.join(allowed.select(*keys, line).distinct(), [*keys, line], "left_semi")
+    last = known.groupBy(*keys, line).agg(F.max_by(fix, order).alias("_fix"))
     out = lines.join(last, [*keys, line], "full_outer")
     return out.withColumn("patched", F.col("_fix").isNotNull()).withColumn(target, F.coalesce("_fix", target)).drop("_fix")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import time
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
@@ -9,17 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lacquer.functions import text as t
-from lacquer.operators.chunking import line_chunks
 from lacquer.operators.context import context_block, in_scope
 from lacquer.operators.entities import best_by_name, default_file, incoming_ids, merge_entries, resolve
 from lacquer.operators.matching import name_hits
 from lacquer.operators.merge import evidence_list, evidence_rows, fill_missing_map, merge_by_key
-from lacquer.plans.pipeline import PROMPTS, Passes, extract_events, glossary_blocks, run_stage, translate
+from lacquer.plans.pipeline import NO_BLOCK, PROMPTS, Passes, chapter_blocks, extract_events, run_stage, translate
 from lacquer.plans.provider import ask
 from lacquer.session import materialise
 from lacquer.sources.jsonl import answer_objects, object_lines
 
-_EVIDENCE = "array<struct<source_file:string,evidence_zh:string,evidence_vi:string>>"
+_EVIDENCE = "array<struct<source_file:string,evidence_zh:string,evidence_vi:string,evidence:string>>"
 PLACE = ["chapter_number", "chunk_id", "chunk_no", "object_no"]
 
 PROMPTS |= {
@@ -44,24 +45,48 @@ class Stores:
 
 def stage_objects(chapters: DataFrame, blocks: DataFrame, passes: Passes, stage: str, schema: str, temperature: float = 0.2) -> DataFrame:
     """Objects of a stage with their place; a missing chapter number is that of the chapter, an unreadable one rejects the row."""
-    chunks = line_chunks(chapters, "source_chunk", passes.chunk_chars, ["chunk_id", "book_id", "chapter_number", "source_file"]).withColumnRenamed("chapter_number", "own_number")
-    answered = run_stage(chunks, blocks, passes, stage, temperature, "chunk_id")
-    objects = answer_objects(answered.where("error is null"), "content", ["chunk_id", "book_id", "chunk_no", "own_number", "source_file"])
+    own = chapters.withColumnRenamed("chapter_number", "own_number")
+    answers = run_stage(own, blocks, passes, stage, temperature, ["chunk_id", "book_id", "own_number", "source_file"])
+    objects = answer_objects(answers.where("error is null"), "content", ["chunk_id", "book_id", "chunk_no", "own_number", "source_file"])
     parsed = objects.withColumn("said_number", F.get_json_object("object", "$.chapter_number")).withColumn("o", F.from_json("object", schema))
     rows = parsed.select("*", "o.*").drop("o")
     number = F.when(F.col("said_number").isNull(), F.coalesce("own_number", F.lit(0))).otherwise(F.col("said_number").try_cast("int"))
     return rows.withColumn("chapter_number", number).where("chapter_number is not null")
 
 
-def with_context(blocks: DataFrame, chapters: DataFrame, context: DataFrame) -> DataFrame:
-    """Glossary blocks followed by a context block of the same chapter."""
-    own = chapters.select("chunk_id", "chapter_number").join(context, "chapter_number", "left").join(blocks, "chunk_id", "left")
-    return own.select("chunk_id", F.concat_ws("\n", "glossary_block", "block").alias("glossary_block"))
+#: Chapters are told apart by book and number; a chapter without a number counts as number 0 of its book.
+CHAPTER = ["book_id", "chapter_number"]
+
+
+def numbered(chapters: DataFrame) -> DataFrame:
+    return chapters.select("chunk_id", "book_id", F.coalesce("chapter_number", F.lit(0)).alias("chapter_number"))
+
+
+def with_context(blocks: DataFrame, chapters: DataFrame, *contexts: DataFrame) -> DataFrame:
+    """Glossary blocks followed by context blocks of the same chapter of the same book."""
+    own = numbered(chapters)
+    names = []
+    for i, context in enumerate(contexts):
+        names.append(f"block_{i}")
+        own = own.join(context.select(*CHAPTER, F.col("block").alias(names[-1])), CHAPTER, "left")
+    own = own.join(blocks, "chunk_id", "left")
+    return own.select("chunk_id", F.concat_ws("\n", F.coalesce("glossary_block", F.lit(NO_BLOCK)), *names).alias("glossary_block"))
+
+
+def event_context(events: DataFrame, most: int) -> DataFrame:
+    """The first events of each chapter of each book."""
+    return context_block(events, CHAPTER, [F.col("first_seen"), F.col("event_id")], most, F.to_json(F.struct("event_title_zh", "event_summary_zh", "entities")))
+
+
+def fact_context(facts: DataFrame, scope: DataFrame, most: int = 30) -> DataFrame:
+    """Facts of each chapter of each book, about the entities ``scope`` (book, chapter, entity) finds in it."""
+    known = in_scope(facts, scope, [*CHAPTER, "entity_id"])
+    return context_block(known, CHAPTER, [F.col("first_seen"), F.col("fact_id")], most, F.to_json(F.struct("entity_id", "facts", "evidences")))
 
 
 def extract_entries(chapters: DataFrame, glossary: DataFrame, passes: Passes) -> DataFrame:
     """The glossary with what the chapters add: ids by surface form, entries merged, resolved one hop."""
-    blocks = glossary_blocks(chapters, glossary, "book_id", "chunk_id", "source_chunk", passes.glossary_entries, passes.glossary_tokens)
+    blocks = chapter_blocks(chapters, glossary, passes)
     schema = "canonical_id string, kind string, names_zh array<string>, names_vi array<string>, aliases struct<zh:array<string>,vi:array<string>>, evidences array<struct<source_file:string,evidence:string>>"
     new = stage_objects(chapters, blocks, passes, "entries", schema, 0.1).withColumn("row", F.concat_ws("#", "chunk_id", "chunk_no", "object_no"))
     new = new.where(F.size(t.clean_list("names_zh")) > 0)
@@ -78,52 +103,58 @@ def extract_entries(chapters: DataFrame, glossary: DataFrame, passes: Passes) ->
 
 
 def extract_facts(chapters: DataFrame, stores: Stores, passes: Passes) -> DataFrame:
-    """Facts of entities, merged by their id: gaps filled, evidences united."""
-    blocks = glossary_blocks(chapters, stores.glossary, "book_id", "chunk_id", "source_chunk", passes.glossary_entries, passes.glossary_tokens)
+    """Facts of entities, merged by book and id: gaps filled, evidences united."""
+    blocks = chapter_blocks(chapters, stores.glossary, passes)
+    if stores.events is not None:
+        blocks = with_context(blocks, chapters, event_context(stores.events, 10))
     rows = stage_objects(chapters, blocks, passes, "facts", f"entity_id string, facts map<string,string>, evidences {_EVIDENCE}").where(~t.blank("entity_id")).withColumn("facts", F.coalesce("facts", F.create_map().cast("map<string,string>")))
     rows = rows.withColumn("fact_key", t.fact_key("facts")).withColumn("fact_id", t.fact_id("chapter_number", "entity_id", "facts"))
-    order = F.struct(*PLACE)
-    merged = merge_by_key(rows, ["fact_id"], order, {"chapter_number": "first", "entity_id": "first", "fact_key": "first"})
-    facts = fill_missing_map(rows, ["fact_id"], "facts", order)
-    return merged.join(facts, "fact_id", "left").join(_evidences(rows, "fact_id", order), "fact_id", "left")
+    order, keys = F.struct(*PLACE), ["book_id", "fact_id"]
+    merged = merge_by_key(rows, keys, order, {"chapter_number": "first", "entity_id": "first", "fact_key": "first"})
+    facts = fill_missing_map(rows, keys, "facts", order)
+    return merged.join(facts, keys, "left").join(_evidences(rows, keys, order), keys, "left")
+
+
+def entities_found(chapters: DataFrame, glossary: DataFrame) -> DataFrame:
+    """``(book_id, chapter_number, entity_id)``: the entries whose names stand in a chapter."""
+    named = glossary.select("book_id", "canonical_id", F.explode(t.clean_list("names_zh")).alias("name")).distinct()
+    found = name_hits(chapters, named, "book_id", "chunk_id", "source_chunk").join(named.withColumnRenamed("canonical_id", "entity_id"), ["book_id", "name"])
+    return found.join(numbered(chapters).drop("book_id"), "chunk_id").select(*CHAPTER, "entity_id").distinct()
 
 
 def extract_edges(chapters: DataFrame, stores: Stores, passes: Passes) -> DataFrame:
-    """Relations between entities, merged by their id: summaries longest, evidences united."""
-    blocks = glossary_blocks(chapters, stores.glossary, "book_id", "chunk_id", "source_chunk", passes.glossary_entries, passes.glossary_tokens)
+    """Relations between entities, merged by book and id: summaries longest, evidences united."""
+    blocks = chapter_blocks(chapters, stores.glossary, passes)
+    contexts = []
+    if stores.events is not None:
+        contexts.append(event_context(stores.events, 8))
     if stores.facts is not None:
-        # facts of the chapter about entities found in it
-        found = name_hits(chapters, stores.glossary.select("book_id", F.explode(t.clean_list("names_zh")).alias("name")), "book_id", "chunk_id", "source_chunk").join(
-            stores.glossary.select("book_id", F.col("canonical_id").alias("entity_id"), F.explode(t.clean_list("names_zh")).alias("name")), ["book_id", "name"]
-        )
-        scope = found.join(chapters.select("chunk_id", "chapter_number"), "chunk_id").select("chapter_number", "entity_id").distinct()
-        facts = in_scope(stores.facts, scope, ["chapter_number", "entity_id"])
-        context = context_block(facts, ["chapter_number"], [F.col("fact_id")], 30, F.to_json(F.struct("entity_id", "facts")))
-        blocks = with_context(blocks, chapters, context)
+        contexts.append(fact_context(stores.facts, entities_found(chapters, stores.glossary)))
+    if contexts:
+        blocks = with_context(blocks, chapters, *contexts)
     schema = f"source_entity string, relation_type string, target_entity string, summary_zh string, summary_vi string, evidences {_EVIDENCE}"
     rows = stage_objects(chapters, blocks, passes, "relations", schema).where(~t.blank("source_entity") & ~t.blank("relation_type") & ~t.blank("target_entity"))
     rows = rows.withColumn("edge_id", t.edge_id("chapter_number", "source_entity", "relation_type", "target_entity"))
-    order = F.struct(*PLACE)
+    order, keys = F.struct(*PLACE), ["book_id", "edge_id"]
     policies = {"chapter_number": "first", "source_entity": "first", "relation_type": "first", "target_entity": "first", "summary_zh": "longest", "summary_vi": "longest"}
-    return merge_by_key(rows, ["edge_id"], order, policies).join(_evidences(rows, "edge_id", order), "edge_id", "left")
+    return merge_by_key(rows, keys, order, policies).join(_evidences(rows, keys, order), keys, "left")
 
 
 def extract_scenes(chapters: DataFrame, stores: Stores, passes: Passes) -> DataFrame:
-    """Scenes, merged by their id: entities united, summaries longest, evidences united."""
-    blocks = glossary_blocks(chapters, stores.glossary, "book_id", "chunk_id", "source_chunk", passes.glossary_entries, passes.glossary_tokens)
+    """Scenes, merged by book and id: entities united, summaries longest, evidences united."""
+    blocks = chapter_blocks(chapters, stores.glossary, passes)
     if stores.events is not None:
-        context = context_block(stores.events, ["chapter_number"], [F.col("first_seen")], 8, F.to_json(F.struct("event_title_zh", "event_summary_zh")))
-        blocks = with_context(blocks, chapters, context)
+        blocks = with_context(blocks, chapters, event_context(stores.events, 8))
     rows = stage_objects(chapters, blocks, passes, "scenes", f"scene_title_zh string, scene_title_vi string, scene_summary_zh string, scene_summary_vi string, entities array<string>, evidences {_EVIDENCE}")
     rows = rows.where(~t.blank("scene_title_zh")).withColumn("entities", t.clean_list("entities")).withColumn("scene_id", t.scene_id("chapter_number", "scene_title_zh"))
-    order = F.struct(*PLACE)
+    order, keys = F.struct(*PLACE), ["book_id", "scene_id"]
     policies = {"chapter_number": "first", "scene_title_zh": "first", "scene_title_vi": "first", "scene_summary_zh": "longest", "scene_summary_vi": "longest", "entities": "union"}
-    return merge_by_key(rows, ["scene_id"], order, policies).join(_evidences(rows, "scene_id", order), "scene_id", "left")
+    return merge_by_key(rows, keys, order, policies).join(_evidences(rows, keys, order), keys, "left")
 
 
-def _evidences(rows: DataFrame, key: str, order) -> DataFrame:
+def _evidences(rows: DataFrame, keys: list[str], order) -> DataFrame:
     known = rows.where("evidences is not null")
-    return evidence_list(evidence_rows(known, [key], "evidences", order, "evidence_zh", ["evidence_vi"], need_file=True), [key], ["source_file", "evidence_zh", "evidence_vi"])
+    return evidence_list(evidence_rows(known, keys, "evidences", order, "evidence_zh", ["evidence_vi"], need_file=True, fallback="evidence"), keys, ["source_file", "evidence_zh", "evidence_vi"])
 
 
 def run_all(chapters: DataFrame, glossary: DataFrame, passes: Passes, stages: tuple[str, ...] = ("entries", "events", "facts", "relations", "scenes", "translate"), validator: object | None = None) -> tuple[Stores, DataFrame | None]:
@@ -156,17 +187,26 @@ def append_log(spark: SparkSession, stores: Stores, path: str, run: str) -> None
 
 
 def prompt_report(chunk: DataFrame, providers: dict[str, object], only: tuple[str, ...] = (), max_tokens: int = 1000) -> DataFrame:
-    """One call per stage on one chunk, with what shows that its form was kept: objects, verdict, lines, header."""
+    """One call per stage on one chunk: its time, its raw answer, and what shows that the form was kept (objects, verdict, lines, header)."""
     parts = None
+    first = chunk.select("chunk").limit(1)  # one row
     for stage, provider in providers.items():
         if only and stage not in only:
             continue
-        asked = chunk.select("chunk", t.fill_template(PROMPTS[stage], glossary_block=F.lit(""), user_input="chunk").alias("prompt"))
-        got = ask(asked, provider, max_tokens).crossJoin(F.broadcast(chunk.select("chunk").limit(1)))  # one row
+        values = {"glossary_block": F.lit(NO_BLOCK), "user_input": F.col("chunk"), "zh_chunk": F.col("chunk"), "vi_chunk": F.col("chunk")}
+        values["bad_lines"] = F.to_json(F.struct(F.lit(0).alias("line"), F.col("chunk").alias("zh"), F.col("chunk").alias("vi")))
+        places = {p: values[p] for p in re.findall(r"\{([a-z_]+)\}", PROMPTS[stage])}
+        asked = first.withColumn("prompt", t.fill_template(PROMPTS[stage], **places))
+        began = time.perf_counter()
+        answer = materialise(ask(asked, provider, max_tokens), f"report-{stage}")
+        elapsed = time.perf_counter() - began
+        got = answer.crossJoin(F.broadcast(first))  # one row and one row
         body = t.or_empty("content")
+        objects = F.size(object_lines("content"))
         row = got.select(
-            F.lit(stage).alias("stage"), F.size(object_lines("content")).alias("objects"), t.validation(body, F.lit(""))["ok"].alias("verdict"), (F.size(t.split_nl(body)) == F.size(t.split_nl("chunk"))).alias("same_lines"),
-            F.lower(t.or_empty(t.first_text_line(body))).startswith("chapter ").alias("header"), F.col("error").isNull().alias("answered"),
+            F.lit(stage).alias("stage"), F.coalesce(objects, F.lit(0)).alias("objects"), (F.coalesce(objects, F.lit(0)) > 0).alias("parse_ok_nonempty"), t.validation(body, F.lit(""))["ok"].alias("verdict"),
+            (F.size(t.split_nl(body)) == F.size(t.split_nl("chunk"))).alias("same_lines"), F.lower(t.or_empty(t.first_text_line(body))).startswith("chapter ").alias("header"), t.has_cjk(body).alias("leaks"),
+            F.col("error").isNull().alias("answered"), "finish_reason", F.lit(round(elapsed, 3)).alias("elapsed_s"), F.lit(max_tokens).alias("max_tokens"), F.col("content").alias("raw"),
         )
         parts = row if parts is None else parts.unionByName(row)
     return parts

@@ -9,7 +9,7 @@ from lacquer.functions import text as t
 from lacquer.operators.chunking import Budget, chunk_limits, line_chunks, stage_limit
 from lacquer.plans.duck import blank, clean_list, trim
 from lacquer.session import table
-from lacquer.sources.jsonl import answer_objects, recovered_objects
+from lacquer.sources.jsonl import answer_objects, object_lines, recovered_objects
 from lacquer.sources.texts import header_status
 
 LIMIT = 2000
@@ -20,16 +20,24 @@ def line_chunk_stats(spark: SparkSession, d: str) -> DataFrame:
     return chunks.select("chunk_id", "chunk_no", F.length("chunk").alias("chars"), t.estimate_tokens("chunk").alias("tokens"), F.sha1(F.col("chunk").cast("binary")).alias("digest"))
 
 
-_LINE_CHUNKS = f"""
-with packed as (
+
+
+def packed_sql(limit: int) -> str:
+    """The chunks of chapters as common table expressions, the last ``numbered`` (chunk_id, chunk, chunk_no)."""
+    return f"""packed as (
   select chunk_id, list_reduce(string_split(source_chunk, chr(10)),
-    lambda acc, l: case when acc.open is not null and length(acc.open) + 1 + length(l) > {LIMIT}
+    lambda acc, l: case when acc.open is not null and length(acc.open) + 1 + length(l) > {limit}
                   then {{'done': list_append(acc.done, acc.open), 'open': l}}
                   else {{'done': acc.done, 'open': case when acc.open is null then l else acc.open || chr(10) || l end}} end,
     {{'done': []::varchar[], 'open': null::varchar}}) as p
   from chapters where source_chunk is not null),
 pieces as (select chunk_id, list_append(p.done, p.open) as c from packed),
 numbered as (select chunk_id, unnest(c) as chunk, generate_subscripts(c, 1) - 1 as chunk_no from pieces)
+"""
+
+
+_LINE_CHUNKS = f"""
+with {packed_sql(LIMIT)}
 select chunk_id, chunk_no::int as chunk_no, length(chunk)::int as chars,
   (case when length(chunk) = 0 then 0 else greatest(1, (length(chunk) + 2) // 3) end)::int as tokens, sha1(chunk) as digest from numbered
 """
@@ -199,19 +207,19 @@ _TEMPLATE = "select item_id, '[' || coalesce(lang, '') || '] ' || coalesce(text,
 
 def jsonl_objects(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "chat_results").where("stage in ('glossary', 'timeline')")
-    lined = c.select("result_id", F.posexplode(t.split_lines(t.strip_fence("content"))).alias("line_no", "line"))
-    good = lined.withColumn("line", t.trim_u("line")).where(F.col("line").startswith("{") & F.try_parse_json("line").isNotNull())
-    return good.select("result_id", "line_no", F.get_json_object("line", "$.canonical_id").alias("canonical_id"), F.get_json_object("line", "$.event_title_zh").alias("event_title_zh"))
+    good = c.select("result_id", F.posexplode(object_lines("content", sanitise=False)).alias("object_no", "line"))
+    return good.select("result_id", "object_no", F.get_json_object("line", "$.canonical_id").alias("canonical_id"), F.get_json_object("line", "$.event_title_zh").alias("event_title_zh"))
 
 
-_JSONL = f"""
-with c as (select result_id, {trim("content")} as x from chat_results where stage in ('glossary', 'timeline') and content is not null),
-u as (select result_id, case when starts_with(x, '```') then {trim("regexp_replace(regexp_replace(x, '^```[a-zA-Z0-9]*\\s*', ''), '\\s*```$', '')")} else x end as x from c),
-l as (select result_id, unnest(string_split(x, chr(10))) as line, generate_subscripts(string_split(x, chr(10)), 1) - 1 as line_no from u),
-g as (select result_id, line_no, {trim("line")} as line from l)
-select result_id, line_no::int as line_no, json_extract_string(line, '$.canonical_id') as canonical_id, json_extract_string(line, '$.event_title_zh') as event_title_zh
-from g where starts_with(line, '{{') and json_valid(line)
+_OBJECT_LINES = f"""
+c as (select result_id, stage, {trim("content")} as x from chat_results where stage in ('glossary', 'timeline') and content is not null),
+u as (select result_id, stage, case when starts_with(x, '```') then {trim("regexp_replace(regexp_replace(x, '^```[a-zA-Z0-9]*\\s*', ''), '\\s*```$', '')")} else x end as x from c),
+l as (select result_id, stage, unnest(string_split(x, chr(10))) as line, generate_subscripts(string_split(x, chr(10)), 1) as line_no from u),
+g as (select result_id, stage, line_no, {trim("line")} as line from l),
+objects as (select result_id, stage, line, (row_number() over (partition by result_id order by line_no) - 1)::int as object_no from g where starts_with(line, '{{') and json_valid(line))
 """
+_JSONL = f"with {_OBJECT_LINES} select result_id, object_no, json_extract_string(line, '$.canonical_id') as canonical_id, json_extract_string(line, '$.event_title_zh') as event_title_zh from objects"
+_ANSWER_OBJECTS = f"with {_OBJECT_LINES} select result_id, stage, object_no, line as object from objects"
 
 
 def json_recovery(spark: SparkSession, d: str) -> DataFrame:
@@ -221,7 +229,7 @@ def json_recovery(spark: SparkSession, d: str) -> DataFrame:
 
 
 def answer_objects_query(spark: SparkSession, d: str) -> DataFrame:
-    """Objects of answers, line by line or recovered; rows only."""
+    """Objects of answers, line by line or recovered (in the test tables no answer without object lines holds a whole object)."""
     c = table(spark, d, "chat_results").where("stage in ('glossary', 'timeline') and content is not null")
     return answer_objects(c, "content", ["result_id", "stage"])
 
@@ -291,7 +299,7 @@ QUERIES = {
 }
 SQL = {
     "line_chunks": _LINE_CHUNKS, "header_fields": _HEADER_FIELDS, "header_rewrite": _HEADER_REWRITE, "canonical_slug": _CANONICAL_SLUG, "content_ids": _CONTENT_IDS, "fact_ids": _FACT_IDS,
-    "answer_cleanup": _ANSWER_CLEANUP, "validate_marker": _VALIDATE, "file_names": _FILE_NAMES, "page_body": _PAGE_BODY, "template_fill": _TEMPLATE, "jsonl_objects": _JSONL, "text_lines": _TEXT_LINES,
+    "answer_cleanup": _ANSWER_CLEANUP, "validate_marker": _VALIDATE, "file_names": _FILE_NAMES, "page_body": _PAGE_BODY, "template_fill": _TEMPLATE, "jsonl_objects": _JSONL, "answer_objects": _ANSWER_OBJECTS, "text_lines": _TEXT_LINES,
     "first_text_line": _FIRST_LINE, "suffix_kept": _SUFFIX, "budget_limits": _BUDGET, "required_fields": _REQUIRED,
     "token_estimate": "select doc_id, (case when coalesce(length(text), 0) = 0 then 0 else greatest(1, (length(text) + 2) // 3) end)::int as tokens, (case when coalesce(length(target_text), 0) = 0 then 0 else greatest(1, (length(target_text) + 2) // 3) end)::int as target_tokens from documents",
 }

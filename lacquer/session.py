@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -48,10 +49,14 @@ def spread(df: DataFrame) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where it is unset (tests, single machine) a temporary folder is made.
+    Where it is unset, a session on one machine (a local master) gets a temporary folder; any
+    other fails, since executors would write to disks of their own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir is not set, and executors of {master or 'this master'} share no folder")
         made = getattr(shared_dir, "_made", None)
         if made is None:
             folder = tempfile.mkdtemp(prefix="lacquer-")
@@ -62,16 +67,35 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialise(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost executors."""
+    """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost executors.
+
+    What is written goes when the driver ends, or with ``clear_work``.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/lacquer-{label}-{uuid.uuid4().hex}"
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Folders of ``materialise`` that still stand.
+_written: list[str] = []
+
+
+def clear_work(spark: SparkSession) -> int:
+    """Remove what ``materialise`` wrote in this process; tables that read it can be used no more.  Returns how many folders."""
+    count = 0
+    while _written:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        count += bool(folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True))
+    return count
+
+
 def small_rows(df: DataFrame, bound: int, what: str) -> list:
     """Rows of a table whose size is bounded by its nature; fails above ``bound`` instead of collecting more."""
     rows = df.limit(bound + 1).collect()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -15,11 +16,24 @@ from lacquer.functions.text import split_lines, strip_fence, strip_reasoning, tr
 
 def read_jsonl(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
     """Objects of a JSON-lines file; broken lines, arrays and scalars go."""
-    lines = spark.read.text(path)
-    lines = lines.where(F.ltrim("value").startswith("{"))
-    parsed = lines.select(F.from_json("value", schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(f"{schema}, _corrupt STRING"), {"columnNameOfCorruptRecord": "_corrupt"}).alias("o"))
-    out = parsed.select("o.*")
-    return out.where("_corrupt is null").drop("_corrupt") if "_corrupt" in out.columns else out
+    fields = list((schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)).fields)
+    mark = "_corrupt"
+    while any(f.name == mark for f in fields):
+        mark += "_"
+    lines = spark.read.text(path).where(F.ltrim("value").startswith("{"))
+    parsed = lines.select(F.from_json("value", T.StructType([*fields, T.StructField(mark, T.StringType())]), {"columnNameOfCorruptRecord": mark}).alias("o")).select("o.*")
+    return parsed.where(F.col(mark).isNull()).drop(mark)
+
+
+def read_answer_files(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
+    """``(source_path, object_no, ...)``: objects of files as models write them.
+
+    Each file is one answer, read whole: fences and blocks of reasoning go, and where no line is an
+    object, objects are found by their braces.
+    """
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("source_path"), "value")
+    objects = answer_objects(files, "value", ["source_path"])
+    return objects.select("source_path", "object_no", F.from_json("object", schema).alias("o")).select("source_path", "object_no", "o.*")
 
 
 def write_jsonl(rows: DataFrame, path: str, order: list[str] | None = None, mode: str = "overwrite") -> None:
@@ -52,44 +66,59 @@ def object_lines(text: Column | str, sanitise: bool = True) -> Column:
     return F.filter(lines, lambda x: x.startswith("{") & F.try_parse_json(x).isNotNull())
 
 
+_TOKEN = re.compile(r"[\\\"'{}]")
+
+
 def balanced_objects(text: str | None) -> list[str]:
     """Texts of the JSON objects in a string, found by matching braces outside of quotations.
 
     Both kinds of quotation mark open a string.  Where a candidate does not parse or does not
-    close, the search goes on at the next character.
+    close, the search goes on at the next brace.  One walk settles every brace it meets outside of
+    quotations, so that braces which never close cost one walk and not one each.
     """
     found: list[str] = []
-    if not text:
+    if not text or "{" not in text:
         return found
-    at = text.find("{")
-    while at >= 0:
-        depth, quote, end, i = 0, "", -1, at
-        while i < len(text):
-            c = text[i]
+    tokens = [(m.start(), m.group()) for m in _TOKEN.finditer(text)]
+    ends: dict[int, int] = {}  # token of an opening brace -> end of its object, or -1
+
+    def walk(first: int) -> None:
+        opened, quote, skip = [], "", -1
+        for n in range(first, len(tokens)):
+            at, c = tokens[n]
+            if at == skip:
+                continue
             if quote:
                 if c == "\\":
-                    i += 1
+                    skip = at + 1
                 elif c == quote:
                     quote = ""
             elif c in "\"'":
                 quote = c
             elif c == "{":
-                depth += 1
+                opened.append(n)
             elif c == "}":
-                depth -= 1
-                if not depth:
-                    end = i + 1
-                    break
-            i += 1
-        good = False
-        if end > 0:
-            try:
-                good = isinstance(json.loads(text[at:end]), dict)
-            except ValueError:
-                good = False
-        if good:
+                ends[opened.pop()] = at + 1
+                if not opened:
+                    return
+        ends.update(dict.fromkeys(opened, -1))
+
+    decode = json.JSONDecoder().raw_decode
+    behind = 0
+    for n, (at, c) in enumerate(tokens):
+        if c != "{" or at < behind:
+            continue
+        if n not in ends:
+            walk(n)
+        if ends[n] < 0:
+            continue
+        try:
+            value, end = decode(text, at)
+        except (ValueError, RecursionError):
+            continue
+        if isinstance(value, dict) and end == ends[n]:
             found.append(text[at:end])
-        at = text.find("{", end if good else at + 1)
+            behind = end
     return found
 
 

@@ -1,5 +1,7 @@
 """Sources, sinks, provider, passes and streaming end to end."""
 
+import json
+import os
 import sys
 
 import pytest
@@ -7,13 +9,16 @@ from pyspark import cloudpickle
 
 from pyspark.sql import functions as F
 
-from lacquer.plans.passes import append_log, prompt_report, run_all
-from lacquer.plans.pipeline import Passes, backfill, extract_events, translate
+from pyspark.sql.types import StructType
+
+from lacquer.operators.merge import merge_by_key
+from lacquer.plans.passes import append_log, event_context, fact_context, prompt_report, run_all, with_context
+from lacquer.plans.pipeline import HINT, Passes, backfill, extract_events, translate
 from lacquer.plans.provider import Answer, HttpProvider, Retry, StubProvider, ask
-from lacquer.session import small_rows
-from lacquer.sources.jsonl import append_rejects, read_jsonl, write_if_changed, write_jsonl
-from lacquer.sources.texts import read_chapters
-from lacquer.streaming.incremental import latest_version, upsert_stream
+from lacquer.session import clear_work, materialise, shared_dir, small_rows
+from lacquer.sources.jsonl import append_rejects, read_answer_files, read_jsonl, write_if_changed, write_jsonl
+from lacquer.sources.texts import export_chapters, load_events, load_glossary, read_chapters
+from lacquer.streaming.incremental import latest_version, merge_batch, store_version, upsert_stream
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -21,9 +26,14 @@ CHAPTERS = "chunk_id bigint, book_id bigint, source_file string, chapter_number
 GLOSSARY = "canonical_id string, book_id bigint, kind string, names_zh array<string>, names_vi array<string>"
 
 
-class Leaky(StubProvider):
+class Leaky:
+    """Leaves ideographs; repairs with objects for what was sent, twice, and for what was not."""
+
     def chat(self, prompt, max_tokens, temperature):
-        return Answer("好" if "Translate." in prompt else "tốt")
+        if "Translate." in prompt:
+            return Answer("x\n好")
+        sent = [json.loads(line)["line"] for line in prompt.rsplit("\n---\n", 1)[-1].split("\n") if line.startswith("{")]
+        return Answer("well:\n" + "\n".join(f'{{"line": "{n}", "vi": "{w}"}}' for n in [*sent, 0, 77] for w in ("tệ", " tốt ")))
 
 
 class Broken:
@@ -101,7 +111,7 @@ def test_all_passes(spark, tmp_path):
     assert entries[1, "a"].names_zh == ["陆尘云", "尘云"] and entries[1, "a"].evidences[0].source_file == "C001-a.txt" and (2, "new-one") in entries
     facts = stores.facts.collect()
     assert sorted((r.chapter_number, r.entity_id) for r in facts) == [(0, "a"), (1, "a")] and facts[0].facts == {"state": "here", "state_vi": "x"} and facts[0].evidences[0].evidence_zh == "e"
-    assert [(r.chapter_number, r.summary_zh) for r in stores.edges.collect()] == [(5, "s")]
+    assert sorted((r.book_id, r.chapter_number, r.summary_zh) for r in stores.edges.collect()) == [(1, 5, "s"), (2, 5, "s")]
     assert all(r.entities == ["b", "a"] and r.scene_summary_zh == "" for r in stores.scenes.collect())
     assert stores.events.count() == 2 and {r.chunk_id for r in text.collect()} == {1, 3} and [e["stage"] for e in stores.log] == ["entries", "events", "facts", "relations", "scenes", "translate"]
     append_log(spark, stores, str(tmp_path / "log"), "r1")
@@ -146,7 +156,87 @@ def test_http_provider():
 def test_translation_repairs_leaks(spark):
     chapters, glossary = sample(spark)
     rows = {r.chunk_id: r for r in translate(chapters, glossary, Passes(provider=Leaky())).collect()}
-    assert set(rows) == {1, 3} and all(r.unresolved == 0 for r in rows.values())
+    assert {k: r.text for k, r in rows.items()} == {1: "x\ntốt", 3: "x\ntốt"} and all((r.unresolved, r.failed) == (0, 0) for r in rows.values())
+    unrepaired = translate(chapters, glossary, Passes(provider=Leaky(), repairs=0)).where("chunk_id = 1").first()
+    assert (unrepaired.text, unrepaired.unresolved) == ("x\n好", 1)
+
+
+class Twice:
+    """Translates better when told that the first try did not pass."""
+
+    def chat(self, prompt, max_tokens, temperature):
+        return Answer("second" if prompt.startswith(HINT) and temperature == 0.15 else "first")
+
+
+class Strict:
+    def chat(self, prompt, max_tokens, temperature):
+        return Answer("FIXED_VI\nthird" if prompt.endswith("second") else "no idea")
+
+
+class NeverContent:
+    def chat(self, prompt, max_tokens, temperature):
+        return Answer("what?")
+
+
+def test_what_does_not_pass_is_translated_again(spark):
+    chapters, glossary = sample(spark)
+    text = lambda validator, **how: {r.chunk_id: r.text for r in translate(chapters, glossary, Passes(provider=Twice(), **how), validator).collect()}
+    assert text(Strict()) == {1: "third", 3: "third"}
+    assert text(NeverContent()) == {1: "second", 3: "second"} and text(Strict(), retry_whole=False) == {1: "first", 3: "first"}
+    assert text(StubProvider("validate")) == {1: "first", 3: "first"} and text(Broken()) == {1: "second", 3: "second"}
+
+
+def test_headers_of_translations(spark):
+    _, glossary = sample(spark)
+    source = "Chapter 3 - 门 | SourceFile: C003-门.txt\n\n他来了。"
+    chapters = spark.createDataFrame([(1, 1, "C003-门.txt", 3, source)], CHAPTERS)
+    text = lambda **how: translate(chapters, glossary, Passes(provider=Twice(), repairs=0, **how)).first().text
+    assert text() == "first | SourceFile: C003-门.txt"
+    assert text(translate_header=False) == source.split("\n")[0] + "\n\nfirst"
+    assert text(translate_header=False, dry_run=True) == source.split("\n")[0] + "\n\n[DRY-RUN]他来了。..." and text(dry_run=True).startswith("[DRY-RUN]Chapter 3")
+
+
+def test_failed_chunks_are_counted(spark):
+    chapters, glossary = sample(spark)
+    rows = translate(chapters.where("chunk_id = 1").withColumn("source_chunk", F.lit("bad")), glossary, Passes(provider=Broken(), repairs=0)).collect()
+    assert [(r.text, r.failed) for r in rows] == [("", 1)]
+
+
+def test_chapters_of_two_books_share_no_context(spark):
+    """Equal titles and chapter numbers in two books are two events, and each book sees its own."""
+    events = spark.createDataFrame([(1, "e", 1, "t", "uno", ["a"], 1), (2, "e", 1, "t", "two", ["a"], 1), (1, "f", 1, "u", "more", [], 2)], "book_id bigint, event_id string, chapter_number int, event_title_zh string, event_summary_zh string, entities array<string>, first_seen int")
+    chapters = spark.createDataFrame([(1, 1, 1), (2, 2, 1), (3, 2, None)], "chunk_id bigint, book_id bigint, chapter_number int")
+    blocks = spark.createDataFrame([(1, "names")], "chunk_id bigint, glossary_block string")
+    got = {r.chunk_id: r.glossary_block for r in with_context(blocks, chapters, event_context(events, 10)).collect()}
+    assert got[1].split("\n")[0] == "names" and "uno" in got[1] and "more" in got[1] and "two" not in got[1]
+    assert "two" in got[2] and "uno" not in got[2] and got[2].startswith("(none)") and got[3] == "(none)"
+    facts = spark.createDataFrame([(b, f"k{b}{e}", 1, e, {"x": f"{b}"}, None, 1) for b in (1, 2) for e in ("a", "b")], "book_id bigint, fact_id string, chapter_number int, entity_id string, facts map<string,string>, evidences array<string>, first_seen int")
+    scope = spark.createDataFrame([(1, 1, "a"), (2, 7, "b")], "book_id bigint, chapter_number int, entity_id string")
+    assert [(r.book_id, r.rows_in_block) for r in fact_context(facts, scope).collect()] == [(1, 1)]
+
+
+def test_backfill_of_maps_and_evidences(spark):
+    schema = "i int, facts map<string,string>, evidences array<struct<source_file:string,evidence_zh:string,evidence_vi:string>>"
+    rows = spark.createDataFrame([(1, {"a": "甲", "b": " ", "c": "乙", "c_vi": "có", "d": "丁", "d_vi": " "}, [("f", "甲", None), ("f", "丙", "có"), ("f", " ", None)]), (2, None, None)], schema)
+    got = {r.i: r for r in backfill(rows, ["i"], [], Passes(), maps=["facts"], evidences=["evidences"]).collect()}
+    facts = got[1].facts
+    assert set(facts) == {"a", "a_vi", "b", "c", "c_vi", "d", "d_vi"} and facts["a_vi"].endswith("] 甲") and facts["c_vi"] == "có" and facts["d_vi"].endswith("] 丁")
+    assert [e.evidence_vi for e in got[1].evidences] == [facts["a_vi"], "có", None] and got[2].facts is None and got[2].evidences is None
+    bad = spark.createDataFrame([(1, "bad", None)], "i int, zh string, vi string")
+    assert backfill(bad, ["i"], [("zh", "vi")], Passes(provider=Broken())).first().vi is None
+
+
+def test_backfill_asks_once(spark, tmp_path):
+    class Counting:
+        def chat(self, prompt, max_tokens, temperature):
+            with open(f"{tmp_path}/calls", "a") as f:
+                f.write("x")
+            return Answer("v")
+
+    rows = spark.createDataFrame([(i, "甲" if i % 2 else "乙", None) for i in range(9)], "i int, zh string, vi string")
+    out = backfill(rows, ["i"], [("zh", "vi")], Passes(provider=Counting()))
+    assert out.count() == 9 and {r.vi for r in out.collect()} == {"v"}
+    assert (tmp_path / "calls").read_text() == "xx"
 
 
 def test_backfill(spark):
@@ -157,16 +247,90 @@ def test_backfill(spark):
 
 def test_incremental_upsert(spark, tmp_path):
     source, store = str(tmp_path / "in"), str(tmp_path / "store")
-    rule = {"s": "longest", "l": "union"}
-    schema = "k string, o int, s string, l array<string>"
+    rule = {"s": "longest", "l": "union", "f": "first", "z": "last"}
+    schema = "k string, o int, s string, l array<string>, f string, z string"
+    seen = []
 
-    def run():
+    def run(*rows, checkpoint="cp"):
+        if rows:
+            seen.extend(rows)
+            spark.createDataFrame(list(rows), schema).write.mode("append").parquet(source)
         stream = spark.readStream.schema(schema).parquet(source)
-        upsert_stream(stream, store, ["k"], ["o"], rule, str(tmp_path / "cp")).awaitTermination()
-        return {r.k: (r.s, r.l) for r in latest_version(spark, store)[1].collect()}
-
-    spark.createDataFrame([("a", 1, "x", ["p"])], schema).write.mode("append").parquet(source)
-    assert run() == {"a": ("x", ["p"])}
-    spark.createDataFrame([("a", 2, "xyz", ["q", "p"]), ("b", 1, "y", [])], schema).write.mode("append").parquet(source)
-    assert run() == {"a": ("xyz", ["p", "q"]), "b": ("y", [])}
-    assert run() == {"a": ("xyz", ["p", "q"]), "b": ("y", [])}
+        upsert_stream(stream, store, ["k"], ["o"], rule, str(tmp_path / checkpoint), buckets=4).awaitTermination()
+        got = {r.k: (r.o, r.s, r.l, r.f, r.z) for r in latest_version(spark, store)[1].collect()}
+        whole = merge_by_key(spark.createDataFrame(seen, schema), ["k"], F.col("o"), rule)
+        assert got == {r.k: (r.first_seen, r.s, r.l, r.f, r.z) for r in whole.collect()}
+        return got
+
+    assert run(("a", 1, "x", ["p"], " ", "1"), ("a", 5, "y", [], "five", "5"))["a"] == (1, "x", ["p"], "five", "5")
+    # what comes late finds its place: neither the last value nor the first one of the store is replaced by what lies between
+    assert run(("a", 3, "z", ["q", "p"], "three", "3"), ("b", 1, "y", [], None, None))["a"] == (1, "x", ["p", "q"], "three", "5")
+    assert run() == run()
+    assert run(("a", 7, "longer", ["r"], "seven", "7"), checkpoint="fresh")["a"] == (1, "longer", ["p", "q", "r"], "three", "7")
+    assert len(list((tmp_path / "store" / "manifests").glob("[0-9]*"))) <= 2
+
+
+def test_only_touched_buckets_are_rewritten(spark, tmp_path):
+    store = str(tmp_path / "store")
+    rows = spark.createDataFrame([(f"k{i}", 1, "x") for i in range(40)], "k string, o int, s string")
+    assert merge_batch(rows, store, ["k"], ["o"], {"s": "longest"}, "q", 0, buckets=8)
+    assert merge_batch(rows.where("k = 'k3'").withColumn("s", F.lit("longer")), store, ["k"], ["o"], {"s": "longest"}, "q", 1)
+    assert not merge_batch(rows, store, ["k"], ["o"], {"s": "longest"}, "q", 1)
+    number, manifest = store_version(spark, store)
+    assert number == 1 and sorted(manifest["buckets"].values()) == ["0"] * 7 + ["1"]
+    assert {r.k: r.s for r in latest_version(spark, store)[1].collect()} == {f"k{i}": "longer" if i == 3 else "x" for i in range(40)}
+
+
+def test_shared_folder_is_local_only_on_one_machine(spark):
+    class Conf:
+        def __init__(self, **known):
+            self.known = {k.replace("_", "."): v for k, v in known.items()}
+
+        def get(self, key, default=None):
+            return self.known.get(key, default)
+
+    class Session:
+        def __init__(self, **known):
+            self.conf = Conf(**known)
+
+    with pytest.raises(ValueError):
+        shared_dir(Session(spark_master="spark://host:7077"))
+    with pytest.raises(ValueError):
+        shared_dir(Session(spark_master="local-cluster[2,1,512]"))
+    assert shared_dir(Session(spark_master="yarn", spark_checkpoint_dir="hdfs://x/y/")) == "hdfs://x/y" and shared_dir(Session(spark_master="local[4]")).startswith("file:")
+
+
+def test_work_is_cleared(spark):
+    kept = materialise(spark.range(3), "cleared")
+    path = kept.inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(path) and clear_work(spark) > 0 and not os.path.exists(path)
+
+
+def test_answer_files(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('```json\n{"k": "1"}\nbroken\n```')
+    (tmp_path / "b.jsonl").write_text('<think>{"k": "0"}</think> so {"k": "2"} and {"k":\n"3"}')
+    assert sorted((r.object_no, r.k) for r in read_answer_files(spark, str(tmp_path), "k string").collect()) == [(0, "1"), (0, "2"), (1, "3")]
+    lines = tmp_path / "c.jsonl"
+    lines.write_text('{"k": "1", "_corrupt": "own"}\nnoise {\n{"k": ')
+    for schema in ("k string, _corrupt string", StructType.fromDDL("k string, _corrupt string")):
+        assert [(r.k, r._corrupt) for r in read_jsonl(spark, str(lines), schema).collect()] == [("1", "own")]
+
+
+def test_chapters_are_exported(spark, tmp_path):
+    rows = spark.createDataFrame([("a.txt", "một"), ("b.txt", None), ("../c.txt", "x"), ("..", "x")], "source_file string, text string")
+    assert [tuple(r) for r in export_chapters(rows, str(tmp_path / "out")).collect()] == [("a.txt", 5)]
+    assert [p.name for p in (tmp_path / "out").iterdir()] == ["a.txt"] and (tmp_path / "out" / "a.txt").read_text() == "một"
+
+
+def test_stores_are_read_again(spark, tmp_path):
+    events = spark.createDataFrame(
+        [(1, 1, "t", "a", None, ["x"], [("f", None, "old"), ("f", "", "no")], 1), (1, 1, " t ", "longer", "v", [" x "], [("f", "new", None)], 2), (2, 1, "t", "b", None, ["x"], None, 1), (1, None, " ", "", "", [], None, 1)],
+        "book_id bigint, chapter_number int, event_title_zh string, event_summary_zh string, event_summary_vi string, entities array<string>, evidences array<struct<source_file:string,evidence_zh:string,evidence:string>>, at int",
+    )
+    got = {r.book_id: r for r in load_events(events, F.col("at")).collect()}
+    assert set(got) == {1, 2} and got[1].event_summary_zh == "longer" and got[1].entities == ["x"] and [e.evidence_zh for e in got[1].evidences] == ["old", "new"]
+    path = str(tmp_path / "g.jsonl")
+    assert load_glossary(spark, path).count() == 0
+    (tmp_path / "g.jsonl").write_text('{"book_id": 1, "canonical_id": "A B", "names_zh": ["甲"], "evidence": " old ", "source_file": "f"}\n{"book_id": 1, "canonical_id": "a-b", "kind": "item", "names_zh": ["乙"]}\n{"book_id": 1, "canonical_id": "c", "names_zh": ["乙"]}\n{"book_id": 1, "canonical_id": " "}\n')
+    entries = load_glossary(spark, path).collect()
+    assert [(r.canonical_id, r.kind, sorted(r.names_zh), r.evidences[0].evidence) for r in entries] == [("a-b", "item", ["乙", "甲"], "old")]

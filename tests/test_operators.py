@@ -14,7 +14,7 @@ from lacquer.operators.lines import apply_patches, line_counts, pair_by_position
 from lacquer.operators.matching import name_hits, pick_entries, within_budget
 from lacquer.operators.merge import evidence_list, evidence_rows, fill_missing_map, last_row_wins, longest_text, merge_by_key
 from lacquer.sources.jsonl import answer_objects, balanced_objects
-from lacquer.sources.texts import header_status, read_settings, template_path
+from lacquer.sources.texts import header_status, header_summary, read_settings, template_path
 
 GLOSSARY = "entry_no bigint, canonical_id string, book_id bigint, kind string, names_zh array<string>, names_vi array<string>, aliases struct<zh:array<string>,vi:array<string>>, evidences array<struct<source_file:string,evidence:string>>"
 
@@ -142,6 +142,9 @@ def test_lines(spark):
     patches = spark.createDataFrame([(1, 1, 0, "old"), (1, 1, 1, "new"), (1, 7, 0, "end"), (1, 2, 0, None)], "p int, line int, seq int, fix string")
     got = {x.line: (x.vi, x.patched) for x in apply_patches(rows.dropDuplicates(), patches, ["p"], "line", "vi", "seq", "fix").collect()}
     assert got == {0: ("a", False), 1: ("new", True), 2: ("c", False), 7: ("end", True)}
+    allowed = spark.createDataFrame([(1, 1), (1, 8)], "p int, line int")
+    got = {x.line: (x.vi, x.patched) for x in apply_patches(rows.dropDuplicates(), patches, ["p"], "line", "vi", "seq", "fix", allowed).collect()}
+    assert got == {0: ("a", False), 1: ("new", True), 2: ("c", False)}
     texts = spark.createDataFrame([(1, "a\nb", "x"), (2, None, "")], "i int, s string, t string")
     assert {(x.i, x.line, x.s, x.t) for x in pair_by_position(texts, ["i"], "s", "t").collect()} == {(1, 0, "a", "x"), (1, 1, "b", ""), (2, 0, "", "")}
 
@@ -158,7 +161,43 @@ def test_context(spark):
 def test_balanced_objects_parse(text):
     import json
 
-    assert all(isinstance(json.loads(o), dict) and o in text for o in balanced_objects(text))
+    assert balanced_objects(text) == searched(text)
+
+
+def searched(text):
+    """Objects by a search from every brace anew."""
+    import json
+
+    found, at = [], text.find("{")
+    while at >= 0:
+        depth, quote, end, i = 0, "", -1, at
+        while i < len(text) and end < 0:
+            c = text[i]
+            if quote:
+                i += c == "\\"
+                quote = "" if c == quote else quote
+            elif c in "\"'":
+                quote = c
+            elif c in "{}":
+                depth += 1 if c == "{" else -1
+                end = i + 1 if not depth else -1
+            i += 1
+        try:
+            good = end > 0 and isinstance(json.loads(text[at:end]), dict)
+        except ValueError:
+            good = False
+        if good:
+            found.append(text[at:end])
+        at = text.find("{", end if good else at + 1)
+    return found
+
+
+def test_braces_that_never_close_take_one_walk():
+    import time
+
+    began = time.perf_counter()
+    assert balanced_objects("{" * 200_000) == [] and balanced_objects('{"a' * 60_000) == [] and balanced_objects("{'" * 60_000 + '"}') == []
+    assert balanced_objects("{" * 50_000 + '{"a": 1}' + "}" * 50_000) == ['{"a": 1}'] and time.perf_counter() - began < 5
 
 
 def test_answer_objects(spark):
@@ -176,6 +215,7 @@ def test_header_status(spark):
     rows = spark.createDataFrame(list(zip(names, texts, strict=True)), "f string, t string")
     got = {r.f: r.status for r in header_status(rows, "f", "t").collect()}
     assert list(got.values()) == ["updated", "name", "present", "other header", "error"]
+    assert {r.outcome: r.files for r in header_summary(header_status(rows, "f", "t")).collect()} == {"updated": 1, "skipped": 3, "errors": 1}
     forced = {r.f: r.new_text for r in header_status(rows, "f", "t", force=True).collect()}
     assert forced["C003-c.txt"] == "Chapter 3 - c | SourceFile: C003-c.txt\n\nz"
 
@@ -183,4 +223,5 @@ def test_header_status(spark):
 def test_settings(tmp_path):
     (tmp_path / "e").write_text("# c\nA=1\nB='2'\nbroken\n")
     assert read_settings(str(tmp_path / "e"), {"A": "9", "Z": "0"}) == {"A": "9", "B": "2"}
+    assert read_settings(str(tmp_path / "no"), {"A": "9", "Z": "0"}, ["Z", "Y"]) == {"Z": "0"}
     assert template_path("/r", "/p", "x.txt") == "/p/x.txt" and template_path("/r", "/p", "d/x.txt") == "/r/d/x.txt" and template_path("/r", "/p", "/x") == "/x"
