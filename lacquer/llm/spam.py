@@ -38,6 +38,7 @@ _QUOTE_PREFIX = re.compile(r"^\s*[|>]\s(?=\S)")
 _SENTENCE = re.compile(r"(?:[^。！？!?….\n]|\.(?![\s\"”’」』)]|$))*(?:[。！？!?….]+[\"”’」』)）]*|$)", re.M)
 _SEPARATOR = re.compile(r"\s*[|¦>»#,，、;；/=•◦▪★☆◆※→~～《》【】\[\]{}]+\s*|\s[-–—:·]\s|(?<=\S)[:：](?=\S{2})|(?<=[㐀-鿿])\s+(?=[㐀-鿿])")
 _WORD = re.compile(r"[^\W\d_]+|\d+")
+_DIGIT = re.compile(r"\d")
 _HAN = re.compile("[㐀-鿿豈-﫿]")
 _ENDS = re.compile(r"[。！？!?…]|\.(?=[\s\"”’」』)）]|$)")
 _TERMINAL = re.compile(r"[。！？!?….][\"”’」』)）]*$")
@@ -79,12 +80,15 @@ def words_in(entry: str) -> float:
     return len(_WORD.findall(_HAN.sub(" ", entry))) + han / 2
 
 
-def is_stuffed(sentence: str) -> bool:
-    """Words, or pairs of Han characters, that occur three times and more make up much of the sentence."""
-    runs = _WORD.findall(sentence.lower())
-    counts = Counter(t for t in tokens(sentence) if len(t) > 1 and not t.isdigit() and t not in STOPWORDS)
+def is_stuffed(sentence: str, found: list[str] | None = None) -> bool:
+    """Words, or pairs of Han characters, that occur three times and more make up much of the sentence (whose tokens may be given)."""
+    found = tokens(sentence) if found is None else found
+    if len(found) < 3 or len(set(found)) > len(found) - 2:  # nothing can stand there three times
+        return False
+    counts = Counter(t for t in found if len(t) > 1 and not t.isdigit() and t not in STOPWORDS)
     if not counts or max(counts.values()) < 3:
         return False
+    runs = _WORD.findall(sentence.lower())
     whole = covered = 0.0
     for run in runs:
         if not _HAN.search(run):
@@ -101,19 +105,20 @@ def is_stuffed(sentence: str) -> bool:
     return covered >= STUFFED_SHARE * whole
 
 
-def listed_share(unit: str, entries: list[str], terminated: bool) -> float:
-    """The share of a unit that is short entries of a list.
+def listed_share(found: list[str], entries: list[str], terminated: bool) -> float:
+    """The share of a unit, given by its tokens and entries, that is short entries of a list.
 
     Clauses of a sentence can be as short as entries; what ends like a sentence is only a list
     if its words come back.
     """
+    if len(entries) < LIST_ENTRIES:
+        return 0.0
     sizes = [words_in(e) for e in entries]
     short = [s for s in sizes if s <= ENTRY_TOKENS]
     if len(short) < LIST_ENTRIES:
         return 0.0
     if terminated:
-        toks = tokens(unit)
-        repeats = len(set(toks)) < 0.7 * len(toks) and sum(short) >= 0.7 * sum(sizes)
+        repeats = len(set(found)) < 0.7 * len(found) and sum(short) >= 0.7 * sum(sizes)
         return float(repeats)
     return sum(short) / sum(sizes)
 
@@ -142,6 +147,7 @@ def page_features(text: str) -> tuple[float, ...]:
     entries: list[str] = []
     units = 0
     holding: Counter = Counter()  # units that hold a word
+    toks: list[str] = []
     hosts: Counter = Counter()
     lines = [_QUOTE_PREFIX.sub("", line) for line in text.split("\n")]
     bare = bare_lines(lines)
@@ -149,7 +155,9 @@ def page_features(text: str) -> tuple[float, ...]:
         targets = [m.group() for m in _URL.finditer(line)]
         if targets:
             linked += extent(line) or 1
-            anchored += extent(_URL.sub(" ", line))
+            rest = _URL.sub(" ", line)
+            anchored += extent(rest)
+            toks += tokens(rest)
             hosts.update(_HOST.sub("", t.lower()).split("/")[0] for t in targets)
             units += 1
             continue
@@ -159,15 +167,17 @@ def page_features(text: str) -> tuple[float, ...]:
             if not long:
                 continue
             units += 1
-            holding.update({t for t in tokens(unit) if len(t) > 1 and t not in STOPWORDS})
+            found = tokens(unit)
+            toks += found
+            holding.update({t for t in found if len(t) > 1})
             terminated = bool(_TERMINAL.search(unit))
             parts = [e for e in _SEPARATOR.split(unit) if e and _WORD.search(e)]
-            share = 1.0 if i in bare else listed_share(unit, parts, terminated)
+            share = 1.0 if i in bare else listed_share(found, parts, terminated)
             if share:
                 listed += share * long
                 told += (1 - share) * long
                 entries += parts
-            elif is_stuffed(unit):
+            elif is_stuffed(unit, found):
                 stuffed += long
             elif not terminated and m.start() == 0 and words_in(unit) <= ENTRY_TOKENS:
                 listed += long
@@ -176,9 +186,10 @@ def page_features(text: str) -> tuple[float, ...]:
                 told += long
                 ended += long * terminated
     whole = told + listed + linked + stuffed or 1
-    toks = [t for t in tokens(_URL.sub(" ", text)) if t not in STOPWORDS]
-    count = len(toks) or 1
     seen = Counter(toks)
+    for word in STOPWORDS & seen.keys():
+        del seen[word]
+    count = sum(seen.values()) or 1
     links = sum(hosts.values())
     return (
         listed / whole,
@@ -192,8 +203,8 @@ def page_features(text: str) -> tuple[float, ...]:
         math.log1p(len(entries)),
         sum(map(words_in, entries)) / max(1, len(entries)),
         math.log1p(units),
-        max(holding.values(), default=0) / units if units > 2 else 0.0,
-        sum(c.isdigit() for c in text) / (len(text) or 1),
+        max((n for t, n in holding.items() if t not in STOPWORDS), default=0) / units if units > 2 else 0.0,
+        len(_DIGIT.findall(text)) / (len(text) or 1),
         sum(len(_SEPARATOR.findall(line)) for line in lines) / (len(text) or 1),
         sum(1 for line in lines if _WORD.search(line) and not _ENDS.search(line)) / len(lines),
         len(_HAN.findall(text)) / (len(text) or 1),
