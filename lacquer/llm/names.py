@@ -3,15 +3,17 @@
 Every surface form of an entry becomes keys in three spaces: its characters (simplified, without
 separators, in any order), the words of its reading (Vietnamese readings are learned from the
 table itself, Mandarin ones come from the platform's transliterator), and its joined letters.
-Entries of one book that share a full key are linked.  Typing errors are found by a trie join:
-names are sharded by book and by all their words but one, the differing words of a shard form a
-trie, and Levenshtein automata traverse it for neighbours within a bounded distance; because the
-other words are compared as a set, every order of them is covered.  Short forms (given names,
-nicknames, initials, names without their type) link only where one entity of the book answers
-to them.  Connected components of the links are the entities.
-
-Nothing is grouped by book: keys and shards hold the few spellings of a name, links within a
-key go to its smallest id, and components are found by rounds of joins.
+All keys go through one trie join.  A key of several words goes into a shard for each of its
+words, made of the book and the other words as a set, so that every order of them meets there;
+other keys are shards by themselves.  The words of a shard form a trie whose leaves know the ids
+that have them: ids at one leaf are linked, and Levenshtein automata with transpositions walk the
+trie for leaves within a bounded distance.  Short forms (given names, nicknames, initials, names
+without their type) link only where one entity of the book answers to them.  Connected components
+of the links are the entities.
+
+Nothing is grouped by book.  Ids with one key are linked to the smallest of them before anything is
+shuffled, and only that one goes on, so a spelling that a third of all rows have costs a row per
+task; within a shard only the distinct words are held; components are found by rounds of joins.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Forms of address, which name nobody by themselves.
@@ -415,106 +417,157 @@ def learn_readings(glossary: DataFrame) -> Readings:
             use[r.char][r.what] = r.all
     legit = set(vietnamese.values()) | {r.word for r in frequent.collect()} | {w for _, vi, _e in TYPES.values() for w in vi.split()}
     foreign = {c for c, n in use.items() if n.get("foreign", 0) > n.get("native", 0)}
-    mandarin, simple = {}, {}
-    try:  # the transliterator of the platform's text library; without it Mandarin spellings are not linked
+    mandarin, simple = transliterations(spark)
+    return Readings(vietnamese, pieces, mandarin, simple, legit, foreign)
+
+
+def transliterations(spark: SparkSession) -> tuple[dict[str, str], dict[str, str]]:
+    """Mandarin syllables and simplified forms of characters, by the text library the platform ships; without it this fails."""
+    chars = [chr(c) for c in range(0x4E00, 0xA000)]
+    try:
         icu = spark._jvm.com.ibm.icu.text.Transliterator
-        chars = [chr(c) for c in range(0x4E00, 0xA000)]
         sounds = icu.getInstance("Han-Latin; Latin-ASCII").transliterate(" ".join(chars)).split(" ")
-        if len(sounds) == len(chars):
-            mandarin = dict(zip(chars, sounds, strict=True))
         simplified = icu.getInstance("Traditional-Simplified").transliterate("".join(chars))
-        if len(simplified) == len(chars):
-            simple = {a: b for a, b in zip(chars, simplified, strict=True) if a != b}
-    except Exception:  # noqa: BLE001
-        mandarin = mandarin or {}
-    return Readings(vietnamese, pieces, mandarin, simple, legit, foreign)
+    except Exception as error:
+        raise RuntimeError("no transliterator (com.ibm.icu) on the driver's class path: Mandarin spellings and traditional characters could not be linked") from error
+    if len(sounds) != len(chars) or len(simplified) != len(chars):
+        raise RuntimeError("the transliterator does not keep one form for each character")
+    return dict(zip(chars, sounds, strict=True)), {a: b for a, b in zip(chars, simplified, strict=True) if a != b}
+
+
+#: Entries of a task's memory of keys and links, after which it is handed on.
+KEPT_KEYS = 500_000
+_KEYS = "book_id bigint, id string, kind string, key string, word string, role string"
 
 
 def name_keys(glossary: DataFrame, readings: Readings) -> DataFrame:
-    """``(book_id, id, kind, role, key)``, each once."""
+    """What the rows say, by ``role``.
+
+    ``E`` an id and its kind; ``O`` a short form (``key``) the id answers to and ``A`` one it goes by;
+    ``S`` a ``word`` in the shard ``key`` and the smallest id of the task that has it; ``L`` two ids
+    (``id`` and, as ``key``, a smaller one) with one word in one shard.
+    """
     shared = glossary.sparkSession.sparkContext.broadcast(readings.tables)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Readings(*shared.value)
+        said: set[tuple] = set()
+        smallest: dict[tuple, str] = {}
+
+        def out() -> pa.RecordBatch:
+            rows = [*said, *((book, entry, None, shard, word, "S") for (book, shard, word), entry in smallest.items())]
+            said.clear()
+            smallest.clear()
+            columns = list(zip(*rows, strict=True)) if rows else [()] * 6
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if i == 0 else pa.string()) for i, c in enumerate(columns)], [f.split()[0] for f in _KEYS.split(", ")])
+
         for batch in batches:
-            rows: list[tuple] = []
             for book, entry, kind, zh, vi, alias in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
                 kind = kind if kind in KINDS else None
-                rows += [(book, entry, kind, role, key) for role, key in known.keys(book, entry, kind, *_lists(zh, vi, alias))]
-                rows.append((book, entry, kind, "E", ""))
-            columns = list(zip(*rows, strict=True)) if rows else [()] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.string(), pa.string(), pa.string()), strict=True)], ["book_id", "id", "kind", "role", "key"]
-            )
+                said.add((book, entry, kind, None, None, "E"))
+                if book is None:
+                    continue
+                keys = known.keys(book, entry, kind, *_lists(zh, vi, alias))
+                words = {key for role, key in keys if role == "V"}
+                for role, key in keys:
+                    if role in "OA":
+                        said.add((book, entry, None, key, None, role))
+                    elif role == "V" or key not in words:
+                        for place in shards(key) if role == "V" else ((key, ""),):
+                            other = smallest.setdefault((book, *place), entry)
+                            if other != entry:
+                                low, high = min(other, entry), max(other, entry)
+                                smallest[book, *place] = low
+                                said.add((book, high, None, low, None, "L"))
+            if len(said) + len(smallest) > KEPT_KEYS:
+                yield out()
+        yield out()
 
     rows = glossary.where("canonical_id is not null").select(F.col("book_id").cast("bigint").alias("book_id"), "canonical_id", "kind", "names_zh", "names_vi", "aliases")
-    return rows.mapInArrow(make, "book_id bigint, id string, kind string, role string, key string").distinct()
+    return rows.mapInArrow(make, _KEYS)
+
+
+def shards(key: str) -> list[tuple[str, str]]:
+    """(shard, word) for each word of a key of words: the shard is the space and the other words, which come sorted."""
+    space, words = key[0], key[2:].split(" ")
+    return [(f"{space}~" + " ".join(words[:i] + words[i + 1 :]), w) for i, w in enumerate(words)]
+
+
+def accept(space: str, count: int, a: str, b: str, known: set[str]) -> bool:
+    """Whether two words of a shard may be one, of names with so many words."""
+    if space == "h":
+        return len(a) == len(b) and len(a) > 1 or abs(len(a) - len(b)) == 1
+    if space == "s":
+        return min(len(a), len(b)) >= 4
+    if min(len(a), len(b)) < 2:
+        return False
+    if count >= 3:
+        return not (a in known and b in known)
+    return min(len(a), len(b)) >= 3
+
+
+def trie_links(shard: str, ids: dict[str, str], known: set[str]) -> list[tuple[str, str]]:
+    """Links between the ids of a shard's words that are near each other; ``ids`` has the smallest id of each word."""
+    if len(ids) < 2:
+        return []
+    space, rest = shard[0], shard[2:]
+    count = len(rest.split(" ")) + 1
+    trie, out = Trie(ids), []
+    for w in ids:
+        if count >= 3 and space == "v" and w in known:
+            continue  # two right words are two names; from a wrong one the way leads here
+        most = 1 if space == "h" or len(w) < 6 else 2
+        near = [x for x in trie.near(w, most) if x != w and accept(space, count, w, x, known)]
+        if count >= 3 and space == "v":
+            # a misspelling belongs to the nearest right word, if there is one nearest
+            right = [(osa(w, x, most), x) for x in near if x in known]
+            if right:
+                least = min(right)[0]
+                nearest = [x for d, x in right if d == least]
+                near = nearest if len(nearest) == 1 else []
+        out += [(max(ids[w], ids[x]), min(ids[w], ids[x])) for x in near if ids[w] != ids[x]]
+    return out
 
 
-def spelling_neighbours(words: DataFrame, legit: set[str], parts: int) -> DataFrame:
-    """The trie join: ``(book_id, a, b)`` of word keys that differ by a typing error in one word.
+def trie_join(keys: DataFrame, legit: set[str]) -> DataFrame:
+    """``(book_id, a, b)``: links of ids whose keys are equal, or differ by a typing error in one word.
 
-    ``words`` has one row for each book and key.  A key goes into one shard for each of its
-    words, made of the others; a shard's differing words form a trie.
+    ``keys`` has the rows ``S`` of ``name_keys``.  Rows come sorted, so that a task holds the distinct
+    words of one shard, each with its smallest id.
     """
-    shared = words.sparkSession.sparkContext.broadcast(legit)  # bounded by the syllables of the language
-
-    def accept(space: str, count: int, a: str, b: str, known: set[str]) -> bool:
-        if space == "h":
-            return len(a) == len(b) and len(a) > 1 or abs(len(a) - len(b)) == 1
-        if space == "s":
-            return min(len(a), len(b)) >= 4
-        if min(len(a), len(b)) < 2:
-            return False
-        if count >= 3:
-            return not (a in known and b in known)
-        return min(len(a), len(b)) >= 3
+    shared = keys.sparkSession.sparkContext.broadcast(legit)  # bounded by the syllables of the language
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         held: tuple | None = None
-        group: list[str] = []
-
-        def flush() -> list[tuple]:
-            if len(group) < 2:
-                return []
-            book, space, rest = held
-            count = len(rest.split(" ")) + 1 if rest else 1
-            whole = lambda w: f"{space}:" + " ".join(sorted([*rest.split(" "), w] if rest else [w]))
-            trie, out = Trie(group), []
-            for w in group:
-                most = 1 if space == "h" or len(w) < 6 else 2
-                near = [x for x in trie.near(w, most) if x != w and accept(space, count, w, x, known)]
-                if count >= 3 and space == "v" and w not in known:
-                    # a misspelling belongs to the nearest right word, if there is one nearest
-                    right = [(osa(w, x, most), x) for x in near if x in known]
-                    if right:
-                        least = min(right)[0]
-                        nearest = [x for d, x in right if d == least]
-                        near = nearest if len(nearest) == 1 else []
-                out += [(book, min(whole(w), whole(x)), max(whole(w), whole(x))) for x in near if w not in known or count < 3 or space != "v"]
-            return out
+        ids: dict[str, str] = {}
+        found: set[tuple] = set()
+
+        def flush() -> None:
+            if held is not None and held[1][1] == "~":
+                found.update((held[0], a, b) for a, b in trie_links(held[1], ids, known))
+
+        def out() -> pa.RecordBatch:
+            columns = list(zip(*found, strict=True)) if found else [()] * 3
+            batch = pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.string())], ["book_id", "a", "b"])
+            found.clear()
+            return batch
 
         for batch in batches:
-            rows: list[tuple] = []
-            for book, space, rest, word in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                if held != (book, space, rest):
-                    rows += flush()
-                    held, group = (book, space, rest), []
-                if not group or group[-1] != word:
-                    group.append(word)
-            columns = list(zip(*rows, strict=True)) if rows else [()] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.string()), strict=True)], ["book_id", "a", "b"])
-        rows = flush()
-        if rows:
-            columns = list(zip(*rows, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.string()), strict=True)], ["book_id", "a", "b"])
-
-    split = words.select("book_id", F.substring("key", 1, 1).alias("space"), F.split(F.expr("substring(key, 3)"), " ").alias("words"))
-    shards = split.select("book_id", "space", F.posexplode("words").alias("at", "word"), "words").select(
-        "book_id", "space", F.array_join(F.filter("words", lambda w, i: i != F.col("at")), " ").alias("rest"), "word"
-    )
-    return shards.repartition(parts, "book_id", "space", "rest").sortWithinPartitions("book_id", "space", "rest", "word").mapInArrow(walk, "book_id bigint, a string, b string").distinct()
+            for book, shard, word, entry in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if held != (book, shard):
+                    flush()
+                    held, ids = (book, shard), {}
+                first = ids.setdefault(word, entry)
+                if first != entry:
+                    found.add((book, entry, first))
+            if len(found) > KEPT_KEYS:
+                yield out()
+        flush()
+        yield out()
+
+    rows = keys.select("book_id", "key", "word", "id").repartition("book_id", "key").sortWithinPartitions("book_id", "key", "word", "id")
+    return rows.mapInArrow(walk, "book_id bigint, a string, b string")
 
 
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
@@ -526,15 +579,16 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     from lacquer.session import materialise
 
     both = materialise(edges.select("book_id", "a", "b").union(edges.select("book_id", F.col("b"), F.col("a"))).where("a <> b").distinct(), "links")
-    labels = materialise(both.groupBy("book_id", F.col("a").alias("id")).agg(F.least(F.col("id"), F.min("b")).alias("component")).withColumn("changed", F.lit(True)), "labels")
+    labels = materialise(both.groupBy("book_id", F.col("a").alias("id")).agg(F.least(F.col("id"), F.min("b")).alias("component")), "labels")
     for _ in range(rounds):
         offered = both.join(labels.select("book_id", F.col("id").alias("b"), "component"), ["book_id", "b"]).select("book_id", F.col("a").alias("id"), "component", F.lit(None).cast("string").alias("old"))
         lowest = labels.select("book_id", "id", "component", F.col("component").alias("old")).unionByName(offered).groupBy("book_id", "id").agg(F.min("component").alias("lowest"), F.max("old").alias("old"))
         jump = labels.select("book_id", F.col("id").alias("lowest"), F.col("component").alias("further"))
         new = lowest.join(jump, ["book_id", "lowest"], "left").withColumn("component", F.least("lowest", F.coalesce("further", "lowest")))
-        labels = materialise(new.select("book_id", "id", "component", (F.col("component") < F.col("old")).alias("changed")), "labels")
-        if not labels.where("changed").limit(1).count():
-            return labels.drop("changed")
+        seen = Observation()
+        labels = materialise(new.observe(seen, F.sum((F.col("component") < F.col("old")).cast("bigint")).alias("changed")).select("book_id", "id", "component"), "labels")
+        if not seen.get["changed"]:
+            return labels
     raise RuntimeError("components did not settle")
 
 
@@ -548,35 +602,26 @@ def link_names(glossary: DataFrame) -> DataFrame:
     from lacquer.session import materialise
 
     readings = learn_readings(glossary)
-    keys = materialise(name_keys(glossary, readings), "name-keys")
-    parts = max(8, int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    nodes = keys.where("role = 'E'").groupBy("book_id", "id").agg(F.max("kind").alias("kind"))
-    named = nodes.where("book_id is not null").select("book_id", "id")
-    full = keys.where("role in ('F', 'V') and book_id is not null").select("book_id", "key", "id").distinct()
-    first = materialise(full.groupBy("book_id", "key").agg(F.min("id").alias("first")), "first-ids")
-    same = full.join(first, ["book_id", "key"]).select("book_id", F.col("id").alias("a"), F.col("first").alias("b"))
-    typos = spelling_neighbours(keys.where("role = 'V' and book_id is not null").select("book_id", "key").distinct(), readings.legit, parts)
-    near = (
-        typos.join(first.select("book_id", F.col("key").alias("a"), F.col("first").alias("fa")), ["book_id", "a"])
-        .join(first.select("book_id", F.col("key").alias("b"), F.col("first").alias("fb")), ["book_id", "b"])
-        .select("book_id", F.col("fa").alias("a"), F.col("fb").alias("b"))
-    )
-    strong = materialise(same.unionByName(near).where("a <> b").distinct(), "strong")
-    labels = materialise(named.join(components(strong), ["book_id", "id"], "left").withColumn("component", F.coalesce("component", "id")), "strong-labels")
+    keys = materialise(name_keys(glossary, readings), "name-keys", ["role"])
+    of = lambda role: keys.where(F.col("role") == role)
+    nodes = of("E").groupBy("book_id", "id").agg(F.max("kind").alias("kind"))
+    strong = of("L").select("book_id", F.col("id").alias("a"), F.col("key").alias("b")).unionByName(trie_join(of("S"), readings.legit))
+    labels = nodes.join(components(strong), ["book_id", "id"], "left").withColumn("component", F.coalesce("component", "id"))
+    labels = materialise(labels, "strong-labels")
 
     # short forms: whoever answers to one, if it is one entity - of the asker's kind, where kinds are known
-    # Owners and askers meet in one row per short form and kind, so a form that many have costs no pairs.
-    kinds = labels.join(nodes, ["book_id", "id"]).groupBy("book_id", "component").agg(F.collect_set("kind").alias("kinds"))
-    labelled = labels.join(kinds, ["book_id", "component"])
-    none = F.size("kinds") == 0
-    owners = keys.where("role = 'O'").select("book_id", "key", "id").distinct().join(labelled, ["book_id", "id"])
-    owners = owners.select("book_id", "key", "component", F.explode(F.when(none, F.array(F.lit("?"), F.lit("*"))).otherwise(F.concat("kinds", F.array(F.lit("*"))))).alias("kind"))
-    owned = owners.groupBy("book_id", "key", "kind").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    asking = keys.where("role = 'A'").select("book_id", "key", "id").distinct().join(labelled, ["book_id", "id"])
-    asking = asking.select("book_id", "key", "id", F.col("component").alias("own"), F.explode(F.when(none, F.array(F.lit("*"))).otherwise(F.concat("kinds", F.array(F.lit("?"))))).alias("kind"))
-    met = asking.join(owned, ["book_id", "key", "kind"], "left")
-    answered = materialise(met.groupBy("book_id", "id", "key", "own").agg(F.min("low").alias("low"), F.max("high").alias("high")), "short-forms")
-    # of several short forms of one entry those that point to one entity count, if they agree
+    # Owners and askers meet in one row per short form, so a form that many have costs no pairs.
+    kinds = labels.where("book_id is not null").groupBy("book_id", "component").agg(F.collect_set("kind").alias("kinds"))
+    labelled = labels.select("book_id", "id", "component").join(kinds, ["book_id", "component"])
+    forms = keys.where("role in ('O', 'A')").select("book_id", "id", "key", "role").join(labelled, ["book_id", "id"])
+    forms = materialise(forms.select("book_id", "key", "role", F.col("component").alias("own"), "kinds"), "forms")
+    # of the owners of a form, the smallest and the largest entity: of all, of those of a kind, of those of no known kind
+    ways = {"all": F.lit(True), "none": F.size("kinds") == 0} | {k: F.array_contains("kinds", k) for k in sorted(KINDS)}
+    owned = forms.where("role = 'O'").groupBy("book_id", "key").agg(*[f(F.when(c, F.col("own"))).alias(f"{n}_{w}") for w, c in ways.items() for n, f in (("low", F.min), ("high", F.max))])
+    met = forms.where("role = 'A'").select("book_id", "key", "own", "kinds").distinct().join(owned, ["book_id", "key"], "left")
+    asked = lambda n: [F.when(ways[k], F.col(f"{n}_{k}")) for k in sorted(KINDS)] + [F.when(~ways["none"], F.col(f"{n}_none")), F.when(ways["none"], F.col(f"{n}_all"))]
+    answered = materialise(met.select("book_id", "key", "own", F.least(*asked("low")).alias("low"), F.greatest(*asked("high")).alias("high")), "short-forms")
+    # of several short forms of one entity those that point to one entity count, if they agree
     single = answered.where("low = high and low <> own").groupBy("book_id", "own").agg(F.min("low").alias("low"), F.max("low").alias("high"))
     weak = single.where("low = high").select("book_id", F.col("own").alias("a"), F.col("low").alias("b"))
     # entries with nothing but the same short form
@@ -584,8 +629,8 @@ def link_names(glossary: DataFrame) -> DataFrame:
     lonely_first = lonely.groupBy("book_id", "key").agg(F.min("own").alias("b"))
     alike = lonely.join(lonely_first, ["book_id", "key"]).where("own <> b").select("book_id", F.col("own").alias("a"), "b")
     joined = components(weak.unionByName(alike)).select("book_id", F.col("id").alias("component"), F.col("component").alias("entity"))
-    out = labels.join(joined, ["book_id", "component"], "left").select("book_id", "id", F.coalesce("entity", "component").alias("component"))
-    return out.unionByName(nodes.where("book_id is null").select("book_id", "id", F.col("id").alias("component")))
+    out = labels.where("book_id is not null").join(joined, ["book_id", "component"], "left").select("book_id", "id", F.coalesce("entity", "component").alias("component"))
+    return out.unionByName(labels.where("book_id is null").select("book_id", "id", F.col("id").alias("component")))
 
 
 def linked_pairs(linked: DataFrame) -> DataFrame:
@@ -595,10 +640,17 @@ def linked_pairs(linked: DataFrame) -> DataFrame:
     return a.join(b, ["book_id", "component"]).where("id_a < id_b").select("id_a", "id_b")
 
 
+def p3_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(book_id, id, entity)``: the entity of every id, one row per id, which grows with the ids and not with their pairs."""
+    from lacquer.session import table
+
+    return link_names(table(spark, sf_dir, "glossary")).withColumnRenamed("component", "entity")
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lacquer.session import table
 
     return linked_pairs(link_names(table(spark, sf_dir, "glossary")))
 
 
-__all__ = ["Readings", "Trie", "components", "latin_words", "learn_readings", "link_names", "linked_pairs", "name_keys", "osa", "p3_found", "spelling_neighbours", "telex"]
+__all__ = ["Readings", "Trie", "components", "latin_words", "learn_readings", "link_names", "linked_pairs", "name_keys", "osa", "p3_entities", "p3_found", "telex", "trie_join", "trie_links"]

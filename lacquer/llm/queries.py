@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": splitting.p2_found,
     "p2_pieces": splitting.p2_pieces,
     "p3_found": names.p3_found,
+    "p3_entities": names.p3_entities,
     "p4_found": alignment.p4_found,
     "p5_found": boilerplate.p5_found,
     "p6_ids": tokenize.p6_ids,
