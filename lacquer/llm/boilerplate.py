@@ -2,8 +2,9 @@
 
 Words score positive, tags negative.  Tags are the pieces of wording that mark a line as the
 site's (navigation, counters, notices, remarks ...); their weights are log-odds learned from
-lines of a bounded sample of pages (``train_pages``) that are labelled by the fixed words
-below and by their shape.  One linear scan over the lines finds the contiguous region with the
+lines of a bounded sample of pages (``train_pages``).  No list of words labels those lines, but what
+pages themselves show: wording that a site repeats from page to page, and the shapes of links,
+counters and labels.  One linear scan over the lines finds the contiguous region with the
 largest sum; everything outside is not story, and neither are lines inside whose own sum is
 negative (advertisements between paragraphs).  Tags between quotation marks do not count:
 what somebody says or reads in the story is story.
@@ -20,30 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Words that label a line of the training pages as the site's own.
-SITE_WORDS = {
-    "zh": (
-        "上一页 下一页 上一章 下一章 上一节 下一节 前一回 后一回 上一回 下一回 返回目录 回书页 书架 书库 排行榜 手机版 完本 登录 注册 充值 客户端 留言板 "
-        "帮助中心 作者专区 繁體 繁体 首页 最近更新 字号 字体： 背景： 夜间 点击： 收藏： 字数： 更新时间 类别： 状态：连载 版权所有 备案编号 网站地图 "
-        "隐私政策 Cookie 合作伙伴 浏览数据 阅读进度 推荐票 加更 书签 书友 全部评论 本章说 猜你喜欢 热门推荐 最新章节 强推 同类好书 分享到 分享给朋友 "
-        "转载 全文由 侵权 本站 会员发布 手打中 刷新页面 扫码 书币 免费阅读 无弹窗 求月票 求收藏 加入书架 报错 朗读 更新太慢 前排 沙发 写得真好 那段哭 作者是不是 "
-        "更新最快 点击下载 打赏 小说网 阅读体验 新用户 广告"
-    ).split(),
-    "vi": (
-        "chương trước|chương kế|chương sau|danh sách|mục lục|đăng nhập|đăng ký|tủ sách|bảng xếp hạng|thể loại|truyện full|truyện hot|diễn đàn|ứng dụng|trang chủ|"
-        "trợ giúp|bình luận|ý kiến bạn đọc|bản quyền|điều khoản|bảo mật|bản đồ trang|quảng cáo|cỡ chữ|nền:|báo lỗi|nghe truyện|đánh dấu|chia sẻ:|cookie|hòm thư|"
-        "đọc truyện|có thể bạn thích|hóng chương|ra chương|lượt đọc|lượt xem|yêu thích:|số chữ|cập nhật|tác giả:|vi phạm|hay quá|mới cập nhật|đề cử|tác giả quên|khóc|thành viên đăng|ban quản trị|chịu trách nhiệm|đối tác|trình duyệt"
-    ).split("|"),
-    "en": (
-        "previous chapter|next chapter|contents|« prev|next »|index|sign in|sign up|library|terms of use|privacy|sitemap|rights reserved|cookie|comments|text size|"
-        "theme:|share:|copy link|advertisement|reader app|report error|bookmark|latest|updated|views|author:|genre|you may also like|more like this|newsletter|"
-        "home|great chapter|thanks for the chapter|update faster|first!|made me cry|did everyone forget|posted by members|our partners|your browser|and win|vote for"
-    ).split("|"),
-}
-
 _HAN = re.compile("[㐀-鿿豈-﫿]")
 _LATIN = re.compile(r"[^\W\d_㐀-鿿豈-﫿]+")
 _RUNS = re.compile(r"[㐀-鿿豈-﫿]+|[^\W\d_㐀-鿿豈-﫿]+")
+_TITLED = re.compile("《[^》\n]*》")
+_NUMBERS = re.compile(r"\d+")
 _QUOTED = re.compile("“[^“”\n]*”|「[^「」\n]*」|『[^『』\n]*』|\"[^\"\n]*\"")
 _ENDS = re.compile("[。！？!?…]|\\.(?=\\s|$|[\"”])")
 _PAUSE = re.compile("[，,；;：:]")
@@ -54,6 +36,7 @@ _SHAPES = (
     ("^count", re.compile(r"(?:\d[\d,:.-]*+\D{1,8}){2,}\d|\d{4}-\d{2}-\d{2}|[（(]\d+[)）]\s*$|©|\d+\s*/\s*\D{0,3}\d+")),
     ("^label", re.compile(r"^[^，,。！？!?…]{1,14}[：:]\s*$")),
     ("^mark", re.compile(r"[▶►◀◄★☆※]")),
+    ("^fields", re.compile(r"(?:[^\s：:]{1,8}[：:][ \t]?[^\s：:]{1,20}[\s　]+){2,}[^\s：:]{1,8}[：:][ \t]?[^\s：:]{1,20}\s*$")),
     ("^user", re.compile(r"^\s*(?:#\d+\s+)?[A-Za-z][\w*]{1,14}\s*[：:]|^\s*#\d+\s+\w")),
 )
 
@@ -64,7 +47,7 @@ BLURB_LINE = -12.0
 BARE_LINE = -3.0
 WORD_SCORE, MOST_WORDS = 1.0, 40.0
 #: Shapes that also occur inside a story.
-_SHOWN = frozenset(("^entry", "^label", "^user"))
+_SHOWN = frozenset(("^entry", "^label", "^user", "^fields"))
 #: A sentence of the site between paragraphs (an advertisement) parts the story at most this much.
 AD_FLOOR = -6.0
 #: What wording has to outweigh inside the region, besides the words.
@@ -75,6 +58,14 @@ LONG_WORDS = 25
 LONGEST_SHAPED = 160
 #: Tags below this weight are noise; weights above the other are cut.
 LEAST_WEIGHT, MOST_WEIGHT = 2.0, 7.0
+#: Wording that so many pages of a site have is the site's if chance does not explain it from the other sites.
+FEW_PAGES, REPEATED_CHANCE = 3, 1e-6
+#: Wording that so many pages have is the site's if such a share of it stands outside of the story.
+EDGE_PAGES, EDGE_SHARE = 5, 0.6
+#: Of so many words, so many pages have the same ones only if they are the site's.
+SAME_WORDS, SAME_PAGES = 8, 6
+#: Rounds of learning from the regions found.
+ROUNDS = 1
 
 
 def pieces(line: str) -> set[str]:
@@ -119,21 +110,28 @@ class Weights:
         self.automaton = ahocorasick.Automaton()
         for tag, weight in self.tags.items():
             if not tag.startswith("^"):
-                self.automaton.add_word(tag, (len(tag), weight))
-        self.automaton.add_word("\0", (1, 0.0))
+                self.automaton.add_word(tag, (len(tag), weight, tag))
+        self.automaton.add_word("\0", (1, 0.0, ""))
         self.automaton.make_automaton()
 
     def __getstate__(self):
         return {"tags": self.tags, "automaton": None}
 
-    def tag_score(self, line: str) -> float:
-        """The weights of the tags in the line; of overlapping ones the heaviest counts."""
+    def _matches(self, line: str):
         if self.automaton is None:
             self._build()
         text = line.lower()
         if _LATIN.search(text):
             text = f" {' '.join(_RUNS.findall(text))} "
-        found = [(weight, end - length + 1, end) for end, (length, weight) in self.automaton.iter(text)]
+        return self.automaton.iter(text)
+
+    def found(self, line: str) -> set[str]:
+        """The tags in the line."""
+        return {tag for _, (_, _, tag) in self._matches(line)}
+
+    def tag_score(self, line: str) -> float:
+        """The weights of the tags in the line; of overlapping ones the heaviest counts."""
+        found = [(weight, end - length + 1, end) for end, (length, weight, _) in self._matches(line)]
         if len(found) < 2:
             return found[0][0] if found else 0.0
         found.sort(reverse=True)
@@ -195,75 +193,148 @@ def story_lines(lines: list[str], weights: Weights) -> list[bool]:
     return [i in forced or (best_from <= i <= best_to and inside[i] >= 0) for i in range(len(lines))]
 
 
-def label_line(line: str) -> int:
-    """1 the site's, 0 story, -1 unclear: the labels of the training pages."""
-    low = _QUOTED.sub(" ", line).lower()
+def wording(line: str) -> str:
+    """A line without what changes from page to page: titles and what is quoted, numbers, marks, blanks and case."""
+    return " ".join(_RUNS.findall(_NUMBERS.sub("0", _TITLED.sub(" ", _QUOTED.sub(" ", line)).lower())))
+
+
+def by_chance(count: int, mean: float) -> float:
+    """The chance of so many or more where ``mean`` are expected (Poisson)."""
+    term, below = math.exp(-mean), 0.0
+    for k in range(count):
+        below += term
+        term *= mean / (k + 1)
+    return max(0.0, 1.0 - below)
+
+
+def repeated_lines(pages: list[tuple[str | None, str]]) -> set[str]:
+    """Wording of the site's own among (site, page).
+
+    Only pages that are not the same page count: their longest lines differ.  Wording is the site's if
+    more of its pages have it than the other sites let expect (what stories say, they say on all sites
+    alike), or if it stands outside of the story (see ``edge_lines``).  Only long wording in which
+    nothing changes is the site's on all sites too: no two stories say so much in the same words.
+    """
+    seen: dict[str, dict[str | None, set[str]]] = {}
+    of_site: dict[str | None, set[str]] = {}
+    same: set[str] = set()
+    for site, page in pages:
+        lines = page.split("\n")
+        story = "\n".join(sorted((x for x in lines if not _HEADER.match(x)), key=len)[-3:])
+        of_site.setdefault(site, set()).add(story)
+        for line in lines:
+            if line.strip() and not _HEADER.match(line) and (said := wording(line)):
+                seen.setdefault(said, {}).setdefault(site, set()).add(story)
+                if word_count(line) >= SAME_WORDS and said == " ".join(_RUNS.findall(line.lower())):
+                    same.add(said)
+    total = sum(map(len, of_site.values()))
+    out = set()
+    for said, sites in seen.items():
+        everywhere = sum(map(len, sites.values()))
+        if said in same and everywhere >= SAME_PAGES:
+            out.add(said)
+            continue
+        for site, places in sites.items():
+            here, all_here = len(places), len(of_site[site])
+            elsewhere = (everywhere - here + 0.5) / (total - all_here + 1)
+            if here >= FEW_PAGES and by_chance(here, elsewhere * all_here) < REPEATED_CHANCE:
+                out.add(said)
+                break
+    return out | edge_lines(pages, out, {said for said, sites in seen.items() if sum(map(len, sites.values())) >= EDGE_PAGES})
+
+
+def edge_lines(pages: list[tuple[str | None, str]], known: set[str], repeated: set[str]) -> set[str]:
+    """Of repeated wording, what mostly stands outside of the story's region, or at its very edge."""
+    first = weigh((label_line(line, known), line) for _, page in pages for line in page.split("\n"))
+    outside: Counter = Counter()
+    inside: Counter = Counter()
+    for _, page in pages:
+        lines = page.split("\n")
+        said = [wording(line) if line.strip() and not _HEADER.match(line) else "" for line in lines]
+        told = [i for i, story in enumerate(story_lines(lines, first)) if story and said[i] and said[i] not in repeated]
+        for i, what in enumerate(said):
+            if what in repeated:
+                (inside if told and told[0] < i < told[-1] else outside)[what] += 1
+    return {said for said, n in outside.items() if n >= EDGE_SHARE * (n + inside[said])}
+
+
+def label_line(line: str, repeated: set[str] = frozenset()) -> int:
+    """1 the site's, 0 story, -1 unclear: the labels of the training pages, by what the site repeats and by shape."""
     told = word_count(line)
     if not told or _HEADER.match(line):
         return -1
-    hits = sum(w.lower() in low for words in SITE_WORDS.values() for w in words)
-    if hits and (told < 14 * hits or shapes(line)):
+    if wording(line) in repeated:
         return 1
-    if len(_ENDS.findall(line)) >= 2 and told >= 10 and not hits:
+    if len(_ENDS.findall(line)) >= 2 and told >= 10:
         return 0
-    if shapes(line) and not _ENDS.search(line) and told <= 14:
+    shaped = bool(shapes(line))
+    if shaped and not _ENDS.search(line) and told <= 14:
         return 1
-    if _ENDS.search(line) and _PAUSE.search(line) and told >= 9 and not hits and not shapes(line):
+    if _ENDS.search(line) and _PAUSE.search(line) and told >= 9 and not shaped:
         return 0
     return -1
 
 
-def learn(pages: list[str]) -> Weights:
-    """Weights of the tags from labelled pages: by fixed words and shapes first, then by the regions those find."""
-    first = weigh((label_line(line), line) for page in pages for line in page.split("\n"))
-    return weigh(pair for page in pages for pair in region_labels(page.split("\n"), first))
+def learn(pages: list[tuple[str | None, str]]) -> Weights:
+    """Weights of the tags from (site, page): labelled by what a site repeats and by shapes first, then by the regions those find."""
+    repeated = repeated_lines(pages)
+    weights = weigh((label_line(line, repeated), line) for _, page in pages for line in page.split("\n"))
+    for _ in range(ROUNDS):
+        weights = weigh(pair for _, page in pages for pair in region_labels(page.split("\n"), weights, repeated))
+    return weights
 
 
-def region_labels(lines: list[str], weights: Weights) -> Iterator[tuple[int, str]]:
+def region_labels(lines: list[str], weights: Weights, repeated: set[str]) -> Iterator[tuple[int, str]]:
     """Labels of the lines of a page: what the region leaves out is the site's, titles and announcements of books aside."""
     for line, story in zip(lines, story_lines(lines, weights), strict=True):
         if not line.strip() or _HEADER.match(line):
             continue
+        label = label_line(line, repeated)
         if story:
-            yield (0 if label_line(line) != 1 else -1), line
-        elif label_line(line) == 1 or not _BLURB.match(line) and word_count(line) >= 4 and not shapes(line):
+            yield (0 if label != 1 else -1), line
+        elif label == 1 or not _BLURB.match(line) and word_count(line) >= 4 and not shapes(line):
             yield 1, line
 
 
 def weigh(labelled: Iterable[tuple[int, str]]) -> Weights:
     """Log-odds of pieces of wording between the lines labelled 1 and 0."""
-    count: tuple[Counter, Counter] = (Counter(), Counter())
-    lines = [0, 0]
+    lines: tuple[list[str], list[str]] = ([], [])
     for label, line in labelled:
-        if label < 0:
-            continue
-        lines[label] += 1
-        count[label].update(pieces(_QUOTED.sub(" ", line)) if label else pieces(line))
-        count[label].update(shapes(line))
+        if label >= 0:
+            lines[label].append(line)
+    theirs: Counter = Counter()
+    for line in lines[1]:
+        theirs.update(pieces(_QUOTED.sub(" ", line)))
+    theirs = Counter({piece: n for piece, n in theirs.items() if n >= 3})
+    told: Counter = Counter()
+    if theirs:
+        find = Weights(dict.fromkeys(theirs, 1.0)).found
+        for line in lines[0]:
+            told.update(find(line))
+    for label, count in ((1, theirs), (0, told)):
+        for line in lines[label]:
+            count.update(shapes(line))
     tags = {}
-    for piece, seen in count[1].items():
+    for piece, seen in theirs.items():
         if seen < 3:
             continue
-        weight = math.log((seen + 0.5) / (lines[1] + 1)) - math.log((count[0][piece] + 0.5) / (lines[0] + 1))
+        weight = math.log((seen + 0.5) / (len(lines[1]) + 1)) - math.log((told[piece] + 0.5) / (len(lines[0]) + 1))
         # rare on both sides says little: odds against the chance of an unseen story piece
         weight = min(weight, MOST_WEIGHT, math.log1p(seen) * 2.0)
-        if weight >= LEAST_WEIGHT and count[0][piece] * 8 <= seen:
+        if weight >= LEAST_WEIGHT and told[piece] * 8 <= seen:
             tags[piece] = round(weight, 3)
-    for words in SITE_WORDS.values():
-        for w in words:
-            key = w.lower() if _HAN.search(w) else " " + " ".join(_LATIN.findall(w.lower())) + " "
-            key = key.strip("：: ") if _HAN.search(w) else key
-            tags[key] = max(tags.get(key, 0.0), 5.0)
     for name, _ in _SHAPES:
         tags.setdefault(name, 4.0)
     return Weights(tags)
 
 
-def train(chapters: DataFrame, id_col: str = "chunk_id", text_col: str = "source_chunk", train_pages: int = 800) -> Weights:
-    """Learn from at most ``train_pages`` pages, chosen by the hash of their id."""
-    from lacquer.llm.sampling import bounded_texts
+def train(chapters: DataFrame, id_col: str = "chunk_id", text_col: str = "source_chunk", site_col: str = "site", train_pages: int = 1200) -> Weights:
+    """Learn from at most ``train_pages`` pages, chosen by the hash of their id; a table without sites is one site."""
+    from lacquer.llm.sampling import bounded_rows
 
-    return learn(bounded_texts(chapters.where(F.col(text_col) != ""), id_col, text_col, train_pages, "page"))
+    site = F.col(site_col) if site_col in chapters.columns else F.lit(None).cast("string")
+    pages = bounded_rows(chapters.where(F.col(text_col) != ""), id_col, [site, F.col(text_col)], train_pages, "page")
+    return learn([(r[0], r[1]) for r in pages])
 
 
 def find_boilerplate(chapters: DataFrame, weights: Weights | None = None, id_col: str = "chunk_id", text_col: str = "source_chunk") -> DataFrame:

@@ -148,14 +148,36 @@ Chapter 3 - 第三章 雨 | SourceFile: C003-第三章 雨.txt
 版权所有 © 2024 xx 保留一切权利"""
 
 
+def site_pages(count=24):
+    """Pages of the site of ``PAGE``, each with a story of its own, and of a second site without its material."""
+    rng = random.Random(7)
+    say = lambda: "，".join("".join(rng.choices([chr(c) for c in range(0x5200, 0x5400)], k=rng.randint(5, 9))) for _ in range(3)) + "。" + "".join(rng.choices([chr(c) for c in range(0x5200, 0x5400)], k=9)) + "。"
+    head, tail = PAGE.split("\n")[:2], PAGE.split("\n")[8:]
+    pages = []
+    for i in range(count):
+        own = [head[0], f"点击：{rng.randint(1, 99999)}　收藏：{i}　字数：{rng.randint(1, 99999)}", PAGE.split("\n")[2], say(), say(), "手机扫码下载xx客户端，离线也能看。", say(), *tail]
+        pages += [("a", "\n".join(own)), ("b", "\n".join(say() for _ in range(6)))]
+    return pages
+
+
 def test_story_of_a_page():
-    weights = boilerplate.learn([PAGE] * 20)
+    weights = boilerplate.learn(site_pages())
     lines = PAGE.split("\n")
     story = boilerplate.story_lines(lines, weights)
     assert [i for i, s in enumerate(story) if s] == [2, 3, 4, 6, 7]
     assert not any(boilerplate.story_lines(["登录", "注册"], weights))
 
 
+def test_what_sites_repeat_is_theirs():
+    stories = [f"他走过第{i}座桥，没有回头。她在{chr(0x5200 + i)}边等了一夜。" * (1 + i % 3) for i in range(60)]
+    pages = [(f"s{i % 3}", "\n".join([f"欢迎来到第{i}页" if i % 3 == 0 else "灯", story, "【叮！经验 +9】" if i % 5 == 0 else "雨", f"门外又响了{chr(0x5300 + i)}声，他没有动。她也没有说话。", "本页面由书友上传请勿转载内容版权归作者所有谢谢支持" if i % 9 == 0 else "风"])) for i, story in enumerate(stories)]
+    repeated = boilerplate.repeated_lines(pages)
+    assert boilerplate.wording("欢迎来到第77页") in repeated and boilerplate.wording("本页面由书友上传请勿转载内容版权归作者所有谢谢支持") in repeated
+    assert boilerplate.wording("【叮！经验 +9】") not in repeated and not any(boilerplate.wording(s) in repeated for s in stories)
+    assert boilerplate.repeated_lines([("s", pages[0][1])] * 50) == set()  # one page, fetched again and again
+    assert abs(boilerplate.by_chance(2, 1.0) - (1 - 2 * np.exp(-1))) < 1e-12
+
+
 def test_region_is_the_heaviest(monkeypatch):
     class Given:
         def __init__(self, scores):
@@ -175,7 +197,7 @@ def test_region_is_the_heaviest(monkeypatch):
 
 def test_find_boilerplate(spark):
     rows = spark.createDataFrame([(1, PAGE, 0), (2, None, 0), (3, "", 0), (4, " \n ", 0), (5, "登录\n\n注册", 0), (1, PAGE, 0)], "chunk_id bigint, source_chunk string, line_no int")
-    got = boilerplate.find_boilerplate(rows, boilerplate.learn([PAGE] * 20)).collect()
+    got = boilerplate.find_boilerplate(rows, boilerplate.learn(site_pages())).collect()
     by = {k: sorted(r.line_no for r in got if r.chunk_id == k) for k in (1, 2, 3, 4, 5)}
     assert by[5] == [0, 2] and by[2] == by[3] == by[4] == [] and len(by[1]) == 2 * len(set(by[1])) and 12 not in by[1]
     assert boilerplate.find_boilerplate(rows.limit(0)).count() == 0
@@ -486,7 +508,7 @@ def test_limits_stand_out_by_hazard_as_far_as_answers_reach(spark):
 def test_hostile_texts_take_linear_time():
     import time
 
-    weights = boilerplate.learn([PAGE] * 5)
+    weights = boilerplate.learn(site_pages(5))
     for text in ("a-" * 100_000, " " * 200_000, "x" * 200_000, "\n \n" * 50_000, "。" * 100_000, "“" * 100_000, "a.b" * 60_000, "1 " * 100_000):
         began = time.time()
         spam.page_features(text)
