@@ -304,9 +304,10 @@ def find_truncated(answers: DataFrame, neighbours: int = 25, rate: float = 0.01)
         .withColumn("goes_on", F.coalesce("longer", F.lit(False)) | (F.col("longer").isNull() & F.coalesce("longer_r", F.lit(False))))
         .select("kind", "key", "value", "seen", "goes_on")
     )
-    judged = rows.join(verdict, ["kind", "key", "value"], "left")
-    cut = F.when(F.col("state") == BROKEN, True).when(F.col("state") == WHOLE, False).otherwise(~F.col("seen") & (F.col("goes_on") | F.col("at_limit")))
-    return judged.select("result_id", "source", "length", "at_limit", cut.alias("cut"))
+    # only the open endings meet the verdicts, one for each kind and name; the others have nothing to look up
+    opened = rows.where(f"state = {OPEN}").join(verdict, ["kind", "key", "value"], "left")
+    opened = opened.select("result_id", "source", "length", "at_limit", (~F.col("seen") & (F.col("goes_on") | F.col("at_limit"))).alias("cut"))
+    return rows.where(f"state <> {OPEN}").select("result_id", "source", "length", "at_limit", (F.col("state") == BROKEN).alias("cut")).unionByName(opened)
 
 
 def truncation_by_source(answers: DataFrame) -> DataFrame:
