@@ -502,4 +502,15 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items")).select("doc_id", "item_id")
 
 
-__all__ = ["Item", "covered", "find_leaks", "p7_found", "words"]
+def p7_verbatim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the leaks found, those whose text holds the item as it is written."""
+    from lacquer.session import table
+
+    docs, items = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "eval_items").select("item_id", F.col("text").alias("wording"))
+    return find_leaks(docs, items.withColumnRenamed("wording", "text")).join(docs, "doc_id").join(items, "item_id").where(F.col("text").contains(F.col("wording"))).select("doc_id", "item_id")
+
+
+#: DuckDB statement of every text that holds an item as it is written.
+P7_VERBATIM_SQL = "select d.doc_id, i.item_id from documents d join eval_items i on contains(d.text, i.text)"
+
+__all__ = ["P7_VERBATIM_SQL", "Item", "covered", "find_leaks", "p7_found", "p7_verbatim", "words"]

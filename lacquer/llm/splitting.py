@@ -5,7 +5,8 @@ clause, blank, any visible character.  The finer kinds are only offered inside s
 coarser ones leave too long.  A piece that ends at cut ``e`` is followed by one that begins
 at ``o(e)``, the best boundary near ``e - overlap``.  Dynamic programming over the cuts
 chooses the chain that covers the whole text, never exceeds the limit, and minimises the sum
-of cut penalties, of squared departures from equal sizes and of a charge per piece.
+of cut penalties, of squared departures from equal sizes and of a charge per piece: one objective
+for every text, over all its boundaries, whatever its size and the number of pieces.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 PIECES_SCHEMA = "chunk_id bigint, stage string, piece_no int, piece_from int, piece_to int, overlap int"
@@ -24,9 +25,7 @@ PIECES_SCHEMA = "chunk_id bigint, stage string, piece_no int, piece_from int, pi
 PARAGRAPH, LINE, SENTENCE, CLAUSE, BLANK, INSIDE = 0.0, 0.05, 0.15, 0.8, 1.6, 6.0
 PIECE_CHARGE = 1.0
 IMBALANCE = 0.6
-#: Up to so many pieces each cut is searched only where it can lie; beyond, one pass over all cuts.
-LAYERED = 8
-#: A stretch of the longest allowed distance between cuts offers about so many of them.
+#: Where there is no boundary, one place is as good as another: so many to the longest allowed distance between cuts.
 CELLS = 150
 #: Weight of a missing or excess share of the wanted overlap when its start is chosen.
 OVERLAP_MISS = 2.0
@@ -111,17 +110,7 @@ class Splitter:
             cost = np.concatenate([cost, *extra_c])
             order = np.argsort(pos, kind="stable")
             pos, cost = pos[order], cost[order]
-        return self.thin(pos, cost, reach)
-
-    def thin(self, pos: np.ndarray, cost: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
-        """Where boundaries crowd, the best of each short cell stands for it."""
-        cell = reach // CELLS
-        if cell < 2 or len(pos) * cell <= self.n:
-            return pos, cost
-        order = np.lexsort((pos, cost, pos // cell))
-        first = np.concatenate(([True], np.diff(pos[order] // cell) > 0))
-        keep = np.sort(order[first])
-        return pos[keep], cost[keep]
+        return pos, cost
 
     def begin_after(self, cuts: np.ndarray, overlap: int, aside: int | None = None) -> np.ndarray:
         """For each cut, where the next piece begins: the boundary that comes nearest to the overlap, at most ``aside`` from it (else the overlap)."""
@@ -161,10 +150,6 @@ class Splitter:
         pos, penalty = self.candidates(reach)
         begin = self.begin_after(pos, overlap, aside)
         pieces = max(2, -(-(n - overlap) // max(1, limit - overlap)))
-        if pieces <= LAYERED:
-            found = [c for p in sorted({max(2, -(-n // limit)), pieces, pieces + 1}) if (c := self._layers(p, pos, penalty, begin, limit, overlap))]
-            if found:
-                return min(found)[1]
         ideal = (n + (pieces - 1) * overlap) / pieces
         chain = self._chain(pos, penalty, begin, limit, ideal)
         if chain is None and overlap:
@@ -177,10 +162,10 @@ class Splitter:
             chain = self._chain(cuts[order], charged[order], begins[order], limit, ideal)
         if chain is None:
             raise AssertionError("no chain of pieces")
-        return chain
+        return chain[1]
 
-    def _chain(self, pos: np.ndarray, penalty: np.ndarray, begin: np.ndarray, limit: int, ideal: float) -> list[tuple[int, int]] | None:
-        """The best chain of any number of pieces, in one pass over all cuts; a cut may stand there with several begins."""
+    def _chain(self, pos: np.ndarray, penalty: np.ndarray, begin: np.ndarray, limit: int, ideal: float) -> tuple[float, list[tuple[int, int]]] | None:
+        """The cost and the pieces of the best chain of any number of pieces, in one pass over all cuts; a cut may stand there with several begins."""
         n = self.n
         # node 0 is the start of the text, node k the cut pos[k-1], the last node its end
         ends = np.concatenate(([0], pos, [n]))
@@ -208,39 +193,7 @@ class Splitter:
             i = int(previous[j])
             chain.append((int(starts[i]), int(ends[j])))
             j = i
-        return chain[::-1]
-
-    def _layers(self, pieces: int, pos: np.ndarray, penalty: np.ndarray, begin: np.ndarray, limit: int, overlap: int) -> tuple[float, list[tuple[int, int]]] | None:
-        """The best chain of exactly ``pieces`` pieces, cut by cut over the positions each cut can take."""
-        n = self.n
-        ideal = (n + (pieces - 1) * overlap) / pieces
-        best, starts, trail = np.zeros(1), np.zeros(1, dtype=np.int64), []
-        for k in range(1, pieces + 1):
-            if k < pieces:
-                low = int(np.searchsorted(pos, n - (pieces - k) * limit, "left"))
-                high = int(np.searchsorted(pos, k * limit, "right"))
-                ends, extra, following = pos[low:high], penalty[low:high], begin[low:high]
-            else:
-                low, ends, extra, following = 0, np.array([n]), np.zeros(1), np.array([n])
-            if not len(ends):
-                return None
-            size = ends[:, None] - starts[None, :]
-            cost = best[None, :] + IMBALANCE * ((size - ideal) / ideal) ** 2
-            # a piece adds something beyond the overlap with the one before
-            stuck = (ends[:, None] <= (trail[-1][0] if trail else np.zeros(1))[None, :]) | (following[:, None] <= starts[None, :])
-            cost[(size > limit) | stuck] = np.inf
-            pick = np.argmin(cost, axis=1)
-            best = cost[np.arange(len(ends)), pick] + extra + PIECE_CHARGE
-            trail.append((ends, starts, pick))
-            starts = following
-        if not np.isfinite(best[0]):
-            return None
-        chain, j = [], 0
-        for ends, starts, pick in reversed(trail):
-            i = int(pick[j])
-            chain.append((int(starts[i]), int(ends[j])))
-            j = i
-        return float(best[0]), chain[::-1]
+        return float(best[-1]), chain[::-1]
 
 
 def split_texts(texts: DataFrame, caps: DataFrame, id_col: str = "chunk_id", text_col: str = "source_chunk", max_caps: int = 1000) -> DataFrame:
@@ -300,7 +253,23 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p2_pieces(spark, sf_dir).where("piece_no = 0").select("chunk_id", "stage")
 
 
+def p2_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the pieces of each row and stage amount to: where they begin and end, gaps, pieces beyond the limit, and pieces that add nothing."""
+    from lacquer.session import table
+
+    pieces = p2_pieces(spark, sf_dir).join(F.broadcast(table(spark, sf_dir, "chunk_caps").select("stage", "max_chars")), "stage")  # a configuration table
+    before = Window.partitionBy("chunk_id", "stage").orderBy("piece_no")
+    checked = pieces.withColumn("end_before", F.lag("piece_to").over(before))
+    return checked.groupBy("chunk_id", "stage").agg(
+        F.min("piece_from").alias("begins"), F.max("piece_to").alias("ends"), F.sum((F.col("piece_from") > F.col("end_before")).cast("int")).alias("gaps"),
+        F.sum((F.col("piece_to") - F.col("piece_from") > F.col("max_chars")).cast("int")).alias("too_long"), F.sum((F.col("piece_to") <= F.col("end_before")).cast("int")).alias("idle"),
+    )
+
+
+#: DuckDB statement of what pieces have to amount to: the whole text, without gaps, within the limit, each adding something.
+P2_COVERAGE_SQL = "select chunk_id, stage, 0 as begins, length(source_chunk)::int as ends, 0::bigint as gaps, 0::bigint as too_long, 0::bigint as idle from chapters join chunk_caps on length(source_chunk) > max_chars"
+
 #: DuckDB statement of which rows have to be split.
 P2_FOUND_SQL = "select chunk_id, stage from chapters join chunk_caps on length(source_chunk) > max_chars"
 
-__all__ = ["P2_FOUND_SQL", "Splitter", "p2_found", "p2_pieces", "split_texts"]
+__all__ = ["P2_COVERAGE_SQL", "P2_FOUND_SQL", "Splitter", "p2_coverage", "p2_found", "p2_pieces", "split_texts"]

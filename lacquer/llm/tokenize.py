@@ -100,6 +100,7 @@ class TrieEncoder:
         self.reset()
 
     def reset(self) -> None:
+        self.compatible.clear()  # what is remembered of pairs is bounded like the trie
         self.edges: dict[int, int] = {}
         self.last: list[int] = [-1]
         self.start: list[int] = [0]
@@ -224,6 +225,29 @@ def decode(ids: list[int], by_rank: dict[int, bytes]) -> str:
     return b"".join(by_rank[i] for i in ids).decode("utf-8", "surrogatepass")
 
 
+def decode_corpus(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
+    """``(doc_id, text)`` of ``(doc_id, ids)``: the exact way back."""
+    by_rank = {rank: token for token, rank in read_ranks(vocabulary or default_vocabulary()).items()}
+    shared = encoded.sparkSession.sparkContext.broadcast(by_rank)  # bounded by the vocabulary
+
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([decode(ids, known) for ids in batch.column(1).to_pylist()], pa.string())], ["doc_id", "text"])
+
+    return encoded.select("doc_id", "ids").mapInArrow(texts, "doc_id bigint, text string")
+
+
+def p6_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the ids of each document say when they are read back."""
+    back = decode_corpus(p6_ids(spark, sf_dir))
+    return back.select("doc_id", F.length("text").alias("chars"), F.sha1(F.col("text").cast("binary")).alias("digest"))
+
+
+#: DuckDB statement of the texts themselves.
+P6_ROUND_TRIP_SQL = "select doc_id, length(coalesce(text, ''))::int as chars, sha1(coalesce(text, '')) as digest from documents"
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lacquer.session import table
 

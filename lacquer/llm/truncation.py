@@ -274,7 +274,7 @@ def find_truncated(answers: DataFrame, neighbours: int = 25, rate: float = 0.01)
     from lacquer.session import materialise
 
     read = materialise(read_answers(answers), "answers-read")
-    limits = length_limits(read, neighbours, rate).select(F.col("source").alias("of"), F.col("length").alias("limit_at"))
+    limits = materialise(length_limits(read, neighbours, rate), "length-limits").select(F.col("source").alias("of"), F.col("length").alias("limit_at"))
     rows = read.where("state is not null")
     rows = rows.join(limits, rows.source.eqNullSafe(limits["of"]) & (F.col("length") == F.col("limit_at")), "left").withColumn("at_limit", F.col("limit_at").isNotNull()).drop("of", "limit_at")
 

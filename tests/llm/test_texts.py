@@ -77,24 +77,34 @@ def test_pieces_cover_within_the_limit(text, limit, overlap):
         assert all(s.visible[b] for _, b in pieces)
 
 
-def test_chain_is_the_cheapest():
-    rng = random.Random(2)
-    for _ in range(30):
-        text = "".join(rng.choice(["aaaa", "bb", "。", "，", "\n"]) for _ in range(12))
-        s, limit = splitting.Splitter(text), max(8, len(text) * 2 // 5)
+@pytest.mark.parametrize(("parts", "share", "overlap"), [(12, 0.4, 0), (14, 0.1, 0), (14, 0.12, 3), (13, 0.3, 6)])
+def test_chain_is_the_cheapest(parts, share, overlap):
+    """Against all sets of cuts: two pieces as well as more than eight, with overlaps and without."""
+    rng = random.Random(parts + overlap)
+    most = 0
+    for _ in range(12):
+        text = "".join(rng.choice(["aaaa", "bbb", "cc"]) + rng.choice(["。", "，", "\n", "。"]) for _ in range(parts))
+        s, limit = splitting.Splitter(text), max(9 + overlap, int(len(text) * share))
         pos, penalty = s.candidates(limit)
-        begin = s.begin_after(pos, 0)
-        for pieces in (2, 3, 4):
-            found = s._layers(pieces, pos, penalty, begin, limit, 0)
-            ideal, best = len(text) / pieces, np.inf
-            for cuts in itertools.combinations(range(len(pos)), pieces - 1):
-                edges = [0, *[int(pos[c]) for c in cuts], len(text)]
-                sizes = np.diff(edges)
-                if (sizes > limit).any() or (sizes <= 0).any():
-                    continue
-                cost = sum(penalty[c] for c in cuts) + sum(splitting.IMBALANCE * ((x - ideal) / ideal) ** 2 for x in sizes) + pieces * splitting.PIECE_CHARGE
-                best = min(best, cost)
-            assert (found is None and best == np.inf) or abs(found[0] - best) < 1e-9
+        begin = s.begin_after(pos, overlap)
+        ideal = 0.8 * limit
+        found = s._chain(pos, penalty, begin, limit, ideal)
+        best = np.inf
+        for bits in range(1 << len(pos)):
+            cuts = [c for c in range(len(pos)) if bits >> c & 1]
+            ends, starts = [*(int(pos[c]) for c in cuts), len(text)], [0, *(int(begin[c]) for c in cuts)]
+            sizes = [e - a for a, e in zip(starts, ends, strict=True)]
+            if max(sizes) > limit or any(x >= y for x, y in itertools.pairwise(starts)):
+                continue
+            best = min(best, sum(penalty[c] for c in cuts) + sum(splitting.IMBALANCE * ((x - ideal) / ideal) ** 2 for x in sizes) + len(sizes) * splitting.PIECE_CHARGE)
+        assert (found is None and best == np.inf) or abs(found[0] - best) < 1e-9
+        most = max(most, len(found[1]) if found else 0)
+    assert most > 8 or share > 0.2
+
+
+def test_all_boundaries_are_candidates():
+    text = "".join(f"{'x' * (i % 7 + 1)}. " for i in range(4000))
+    assert len(splitting.Splitter(text).candidates(6000)[0]) == 3999
 
 
 def test_overlap_comes_near():
