@@ -184,6 +184,14 @@ def repair_lines(done: DataFrame, passes: Passes) -> DataFrame:
     return lines.drop("block")
 
 
+def repair_log(lines: DataFrame, most: int = 24) -> DataFrame:
+    """Chunks with lines that still hold ideographs: how many, and the first ``most`` of them; and chunks whose sides differ in lines."""
+    bad = F.collect_list(F.when(t.has_cjk(t.or_empty("vi")), F.col("line")))
+    counts = lines.groupBy("chunk_id", "chunk_no").agg(F.array_sort(bad).alias("bad"), F.count("zh").alias("zh_lines"), F.count("vi").alias("vi_lines"))
+    said = counts.select("chunk_id", "chunk_no", "zh_lines", "vi_lines", (F.col("zh_lines") != F.col("vi_lines")).alias("mismatch"), F.slice("bad", 1, most).alias("remaining"), F.size("bad").alias("remaining_count"))
+    return said.where("mismatch or remaining_count > 0")
+
+
 def backfill_requests(rows: DataFrame, keys: list[str], fields: list[tuple[str, str]], maps: list[str] | None = None, evidences: list[str] | None = None) -> DataFrame:
     """(keys, field, text) of every source text whose translation is blank.
 

@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lacquer.sources.texts import read_settings
+
 RESULT_SCHEMA = "request_hash string, content string, finish_reason string, error string"
 
 
@@ -42,6 +44,20 @@ class StubProvider:
         return Answer(f"[{hashlib.sha1(body.encode()).hexdigest()[:8]}] {body}"[: 3 * max_tokens])
 
 
+#: What the environment may set.
+SETTINGS = ("LLM_BASE_URL", "LLM_MODEL", "LLM_API_KEY", "LLM_TIMEOUT_S", "LLM_TIMEOUT", "LLM_MAX_RETRIES", "LLM_SEND_LIMIT")
+
+
+def switch(settings: dict[str, str], name: str, default: bool, empty: bool | None = None) -> bool:
+    """A setting as yes or no: everything but 0, false, no and off is yes; an empty one is ``empty``, or the default."""
+    said = settings.get(name)
+    if said is None:
+        return default
+    if not said.strip():
+        return default if empty is None else empty
+    return said.strip().lower() not in ("0", "false", "no", "off")
+
+
 @dataclass(frozen=True)
 class HttpProvider:
     """A chat endpoint of the common completions form; settings may come from the environment."""
@@ -55,12 +71,17 @@ class HttpProvider:
 
     @classmethod
     def from_settings(cls, settings: dict[str, str]) -> HttpProvider:
-        """``LLM_BASE_URL``, ``LLM_MODEL``, ``LLM_API_KEY``, ``LLM_TIMEOUT`` and ``LLM_SEND_LIMIT`` (0 leaves the limit out)."""
+        """``LLM_BASE_URL``, ``LLM_MODEL``, ``LLM_API_KEY``, ``LLM_TIMEOUT_S`` (or ``LLM_TIMEOUT``) and ``LLM_SEND_LIMIT`` (0 leaves the limit out)."""
         return cls(
-            settings.get("LLM_BASE_URL", "http://127.0.0.1:8000"), settings.get("LLM_MODEL", "local"), settings.get("LLM_API_KEY", ""), float(settings.get("LLM_TIMEOUT") or 120),
-            settings.get("LLM_SEND_LIMIT", "1").strip().lower() not in ("0", "false", "no", "off"),
+            settings.get("LLM_BASE_URL", "http://127.0.0.1:8000"), settings.get("LLM_MODEL", "local"), settings.get("LLM_API_KEY", ""),
+            float(settings.get("LLM_TIMEOUT_S") or settings.get("LLM_TIMEOUT") or 120), switch(settings, "LLM_SEND_LIMIT", True),
         )
 
+    @classmethod
+    def from_environment(cls, path: str = ".env", environment: dict[str, str] | None = None) -> HttpProvider:
+        """``from_settings`` of a settings file and the environment, which wins."""
+        return cls.from_settings(read_settings(path, environment, SETTINGS))
+
     def chat(self, prompt: str, max_tokens: int, temperature: float) -> Answer:
         """One completion; a blank content gives way to the reasoning text.  An answer without choices is no answer to retry."""
         body = {"model": self.model, "messages": [{"role": "system", "content": self.system}, {"role": "user", "content": prompt}], "temperature": temperature}
@@ -86,6 +107,11 @@ class Retry:
     longest: float = 8.0
     sleep: Callable[[float], None] = field(default=time.sleep)
 
+    @classmethod
+    def from_settings(cls, settings: dict[str, str]) -> Retry:
+        """``LLM_MAX_RETRIES``: how often a request is tried."""
+        return cls(attempts=max(1, int(settings.get("LLM_MAX_RETRIES") or 3)))
+
     def run(self, call: Callable[[], Answer]) -> Answer:
         for k in range(self.attempts):
             try:

@@ -10,11 +10,12 @@ from lacquer.operators.chunking import Budget
 from lacquer.operators.context import context_block, in_scope, pending
 from lacquer.operators.merge import evidence_list, evidence_rows, fill_missing_map, first_rows, last_row_wins, merge_by_key
 from lacquer.plans.duck import blank, trim
-from lacquer.plans.pipeline import NO_BLOCK, Passes, backfill, backfill_requests, extract_events, repair_lines, translate
+from lacquer.plans.pipeline import NO_BLOCK, Passes, backfill, backfill_requests, extract_events, repair_lines, repair_log, translate
 from lacquer.plans.provider import StubProvider
-from lacquer.plans.text_queries import packed_sql
+from lacquer.plans.text_queries import HEADER_OUTCOMES, packed_sql
 from lacquer.session import table
 from lacquer.sources.jsonl import object_lines
+from lacquer.sources.texts import header_status, header_summary
 
 _EDGE_KEY = ["book_id", "edge_id"]
 
@@ -298,6 +299,25 @@ from b join n using (pair_id) where at_line < greatest(zh_lines, vi_lines)
 """
 
 
+def repairs_left(spark: SparkSession, d: str) -> DataFrame:
+    """The log of bilingual chunks before any repair: lines with ideographs, the first of them, and sides of unequal length."""
+    c = table(spark, d, "chunk_lines").groupBy(F.col("pair_id").alias("chunk_id"), "line").agg(F.min("zh").alias("zh"), F.min("vi").alias("vi"))
+    log = repair_log(c.withColumn("chunk_no", F.lit(0)))
+    return log.select("chunk_id", "zh_lines", "vi_lines", "mismatch", F.concat_ws(",", F.transform("remaining", lambda x: x.cast("string"))).alias("remaining"), "remaining_count")
+
+
+_REPAIRS_LEFT = r"""
+with c as (select pair_id as chunk_id, line, min(zh) as zh, min(vi) as vi from chunk_lines group by 1, 2),
+g as (select chunk_id, count(zh) as zh_lines, count(vi) as vi_lines, count(zh) <> count(vi) as mismatch, coalesce(list(line order by line) filter (where regexp_matches(vi, '[\x{4e00}-\x{9fff}]')), []) as bad from c group by 1)
+select chunk_id, zh_lines, vi_lines, mismatch, array_to_string(bad[:24], ',') as remaining, len(bad)::int as remaining_count from g where mismatch or len(bad) > 0
+"""
+
+
+def header_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    """How many headers a rewrite of all chapters would update, skip or fail to read."""
+    return header_summary(header_status(table(spark, d, "chapters"), "source_file", "source_chunk"))
+
+
 def stub_backfill(spark: SparkSession, d: str) -> DataFrame:
     """Missing translations of summaries and evidences filled by the stand-in provider."""
     rows = backfill(_edges(spark, d), ["edge_id", "seen_at"], [("summary_zh", "summary_vi")], Passes(), evidences=["evidences"])
@@ -319,7 +339,7 @@ QUERIES = {
     "upsert_scenes": upsert_scenes, "first_k_per_group": first_k_edges, "chapter_context": chapter_context, "facts_in_scope": facts_in_scope, "facts_in_chapter": facts_in_chapter, "fact_blocks": fact_blocks, "resume_pending": resume_pending,
     "quality_violations": quality_violations, "run_status_counts": run_status_counts, "answer_cache": answer_cache, "missing_requests": missing_requests, "rejected_answers": rejected_answers,
     "stub_events": stub_events, "stub_translation": stub_translation, "stub_backfill": stub_backfill,
-    "stub_rehearsal": stub_rehearsal, "line_repairs": line_repairs,
+    "stub_rehearsal": stub_rehearsal, "line_repairs": line_repairs, "repairs_left": repairs_left, "header_outcomes": header_outcomes,
 }
 SQL = {
     "upsert_edges": _UPSERT_EDGES,
@@ -335,5 +355,5 @@ SQL = {
     "run_status_counts": f"select stage, case when {blank('content')} then 'empty' when lower(coalesce(finish_reason, '')) in ('length', 'max_tokens') then 'cut' when lower(coalesce(finish_reason, '')) = 'error' then 'error' else 'done' end as status, count(*) as results, count(distinct request_hash) as requests from chat_results group by 1, 2",
     "answer_cache": f"with r as (select *, row_number() over (partition by request_hash order by created_at desc, result_id desc) as rk from chat_results where request_hash is not null and not {blank('content')}) select request_hash, result_id from r where rk = 1",
     "missing_requests": f"select 'summary_vi' as field, {trim('summary_zh')} as text, count(*) as rows_served from relation_edges where edge_id is not null and not {blank('summary_zh')} and {blank('summary_vi')} group by 1, 2",
-    "rejected_answers": _REJECTS, "stub_events": _STUB_EVENTS, "stub_backfill": _STUB_BACKFILL, "stub_rehearsal": _REHEARSAL, "line_repairs": _LINE_REPAIRS,
+    "rejected_answers": _REJECTS, "stub_events": _STUB_EVENTS, "stub_backfill": _STUB_BACKFILL, "stub_rehearsal": _REHEARSAL, "line_repairs": _LINE_REPAIRS, "repairs_left": _REPAIRS_LEFT, "header_outcomes": HEADER_OUTCOMES,
 }

@@ -71,11 +71,15 @@ def header_rewrite(spark: SparkSession, d: str) -> DataFrame:
 
 
 _BODY = "regexp_replace(source_chunk, '^\\x{feff}', '')"
-_HEADER_REWRITE = f"""
-with h as (select chunk_id, source_chunk, source_file, try_cast(nullif(regexp_extract(source_file, '(?i)^C(\\d+)-(.+)\\.txt$', 1), '') as int) as n, regexp_extract(source_file, '(?i)^C(\\d+)-(.+)\\.txt$', 2) as title,
+_HEADER_STATUS = f"""
+h as (select chunk_id, source_chunk, source_file, try_cast(nullif(regexp_extract(source_file, '(?i)^C(\\d+)-(.+)\\.txt$', 1), '') as int) as n, regexp_extract(source_file, '(?i)^C(\\d+)-(.+)\\.txt$', 2) as title,
   {_BODY} as body from chapters),
 e as (select *, 'Chapter ' || n || ' - ' || {trim('title')} || ' | SourceFile: ' || source_file as expected, {trim(f"coalesce(list_filter(string_split(body, chr(10)), lambda l: {trim('l')} <> '')[1], '')")} as first_line from h),
 s as (select *, case when n is null then 'name' when source_chunk is null then 'error' when first_line = expected then 'present' when starts_with(first_line, 'Chapter ') then 'other header' else 'updated' end as status from e)
+"""
+HEADER_OUTCOMES = f"with {_HEADER_STATUS} select case status when 'updated' then 'updated' when 'error' then 'errors' else 'skipped' end as outcome, count(*) as files from s group by 1"
+_HEADER_REWRITE = f"""
+with {_HEADER_STATUS}
 select chunk_id, status, sha1(case when status = 'updated' then expected || chr(10) || chr(10) || body else source_chunk end) as digest from s
 """
 

@@ -13,8 +13,8 @@ from pyspark.sql.types import StructType
 
 from lacquer.operators.merge import merge_by_key
 from lacquer.plans.passes import append_log, event_context, fact_context, prompt_report, run_all, with_context
-from lacquer.plans.pipeline import HINT, Passes, backfill, extract_events, translate
-from lacquer.plans.provider import Answer, HttpProvider, Retry, StubProvider, ask
+from lacquer.plans.pipeline import HINT, Passes, backfill, extract_events, repair_log, translate
+from lacquer.plans.provider import Answer, HttpProvider, Retry, StubProvider, ask, switch
 from lacquer.session import clear_work, materialise, shared_dir, small_rows
 from lacquer.sources.jsonl import append_rejects, read_answer_files, read_jsonl, write_if_changed, write_jsonl
 from lacquer.sources.texts import export_chapters, load_events, load_glossary, read_chapters
@@ -153,6 +153,20 @@ def test_http_provider():
     assert seen[0][0] == "/v1/chat/completions" and seen[0][1] == "Bearer k" and "max_tokens" not in seen[0][2]
 
 
+def test_settings_of_provider_and_retries(tmp_path):
+    (tmp_path / ".env").write_text("LLM_MODEL=m\nLLM_SEND_LIMIT=off\n")
+    provider = HttpProvider.from_environment(str(tmp_path / ".env"), {"LLM_MODEL": "n", "LLM_TIMEOUT_S": "7", "OTHER": "x"})
+    assert (provider.model, provider.timeout, provider.send_limit) == ("n", 7.0, False)
+    assert Retry.from_settings({"LLM_MAX_RETRIES": "5"}).attempts == 5 and Retry.from_settings({}).attempts == 3
+    assert [switch({"A": x}, "A", True) for x in ("0", "No", "", "x")] == [False, False, True, True] and not switch({"A": " "}, "A", True, empty=False) and switch({}, "A", True)
+
+
+def test_repair_log(spark):
+    lines = spark.createDataFrame([(1, 0, i, "z", "好" if i % 2 else "x") for i in range(60)] + [(2, 0, 0, "z", "x"), (3, 0, 0, "z", None)], "chunk_id int, chunk_no int, line int, zh string, vi string")
+    got = {r.chunk_id: r for r in repair_log(lines).collect()}
+    assert set(got) == {1, 3} and got[1].remaining == list(range(1, 48, 2)) and got[1].remaining_count == 30 and got[3].mismatch and got[3].remaining == []
+
+
 def test_translation_repairs_leaks(spark):
     chapters, glossary = sample(spark)
     rows = {r.chunk_id: r for r in translate(chapters, glossary, Passes(provider=Leaky())).collect()}
