@@ -50,7 +50,7 @@ class Passes:
 
 def glossary_blocks(texts: DataFrame, glossary: DataFrame, scope: str, id_col: str, text_col: str, most: int, tokens: int, pinned: list[str] | None = None) -> DataFrame:
     """``(id, glossary_block)``: the entries found in each text, best first, within count and tokens."""
-    named = glossary.select(scope, F.col("canonical_id"), F.explode(t.clean_list("names_zh")).alias("name"))
+    named = glossary.select(scope, F.col("canonical_id"), F.explode(t.clean_list("names_zh")).alias("name")).distinct()  # an entry saved again counts once
     hits = name_hits(texts, named, scope, id_col, text_col)
     lines = glossary.groupBy(scope, "canonical_id").agg(F.min(F.to_json(F.struct("canonical_id", "kind", "names_zh", "names_vi"))).alias("line"))
     picked = pick_entries(scored_entries(hits, named, [scope], id_col, "canonical_id", pinned or []), id_col, "canonical_id", most)

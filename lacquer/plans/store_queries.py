@@ -9,8 +9,8 @@ from lacquer.functions import text as t
 from lacquer.operators.chunking import Budget
 from lacquer.operators.context import context_block, in_scope, pending
 from lacquer.operators.merge import evidence_list, evidence_rows, fill_missing_map, first_rows, last_row_wins, merge_by_key
-from lacquer.plans.duck import blank, trim
-from lacquer.plans.pipeline import NO_BLOCK, Passes, backfill, backfill_requests, extract_events, repair_lines, repair_log, translate
+from lacquer.plans.duck import blank, clean_list, trim
+from lacquer.plans.pipeline import NO_BLOCK, Passes, backfill, backfill_requests, extract_events, glossary_blocks, repair_lines, repair_log, translate
 from lacquer.plans.provider import StubProvider
 from lacquer.plans.text_queries import HEADER_OUTCOMES, packed_sql
 from lacquer.session import table
@@ -299,6 +299,24 @@ from b join n using (pair_id) where at_line < greatest(zh_lines, vi_lines)
 """
 
 
+def prompt_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """The block of names as the passes put it into prompts: up to 40 entries as JSON lines, within 1,200 tokens."""
+    how = Passes()
+    return glossary_blocks(table(spark, d, "chapters"), table(spark, d, "glossary"), "book_id", "chunk_id", "source_chunk", how.glossary_entries, how.glossary_tokens)
+
+
+_PROMPT_BLOCKS = f"""
+with names as (select distinct book_id, canonical_id, unnest({clean_list('names_zh')}) as name from glossary),
+lines as (select book_id, canonical_id, min('{{' || concat_ws(',', '"canonical_id":' || to_json(canonical_id), '"kind":' || to_json(kind), '"names_zh":' || to_json(names_zh), '"names_vi":' || to_json(names_vi)) || '}}') as line from glossary group by 1, 2),
+hits as (select c.chunk_id, c.book_id, n.canonical_id, n.name, (length(c.source_chunk) - length(replace(c.source_chunk, n.name, ''))) // length(n.name) as occ
+  from chapters c join names n on c.book_id = n.book_id and contains(c.source_chunk, n.name)),
+scored as (select chunk_id, book_id, canonical_id, sum(occ * length(name)) as score from hits group by 1, 2, 3),
+kept as (select *, row_number() over (partition by chunk_id order by score desc, canonical_id) as place from scored),
+sized as (select k.chunk_id, place, line, sum(length(line) + 1) over (partition by k.chunk_id order by place rows unbounded preceding) - 1 as size from kept k join lines using (book_id, canonical_id) where place <= 40)
+select chunk_id, string_agg(line, chr(10) order by place) as glossary_block from sized where (size + 2) // 3 <= 1200 group by 1
+"""
+
+
 def repairs_left(spark: SparkSession, d: str) -> DataFrame:
     """The log of bilingual chunks before any repair: lines with ideographs, the first of them, and sides of unequal length."""
     c = table(spark, d, "chunk_lines").groupBy(F.col("pair_id").alias("chunk_id"), "line").agg(F.min("zh").alias("zh"), F.min("vi").alias("vi"))
@@ -339,7 +357,7 @@ QUERIES = {
     "upsert_scenes": upsert_scenes, "first_k_per_group": first_k_edges, "chapter_context": chapter_context, "facts_in_scope": facts_in_scope, "facts_in_chapter": facts_in_chapter, "fact_blocks": fact_blocks, "resume_pending": resume_pending,
     "quality_violations": quality_violations, "run_status_counts": run_status_counts, "answer_cache": answer_cache, "missing_requests": missing_requests, "rejected_answers": rejected_answers,
     "stub_events": stub_events, "stub_translation": stub_translation, "stub_backfill": stub_backfill,
-    "stub_rehearsal": stub_rehearsal, "line_repairs": line_repairs, "repairs_left": repairs_left, "header_outcomes": header_outcomes,
+    "stub_rehearsal": stub_rehearsal, "line_repairs": line_repairs, "repairs_left": repairs_left, "prompt_blocks": prompt_blocks, "header_outcomes": header_outcomes,
 }
 SQL = {
     "upsert_edges": _UPSERT_EDGES,
@@ -355,5 +373,5 @@ SQL = {
     "run_status_counts": f"select stage, case when {blank('content')} then 'empty' when lower(coalesce(finish_reason, '')) in ('length', 'max_tokens') then 'cut' when lower(coalesce(finish_reason, '')) = 'error' then 'error' else 'done' end as status, count(*) as results, count(distinct request_hash) as requests from chat_results group by 1, 2",
     "answer_cache": f"with r as (select *, row_number() over (partition by request_hash order by created_at desc, result_id desc) as rk from chat_results where request_hash is not null and not {blank('content')}) select request_hash, result_id from r where rk = 1",
     "missing_requests": f"select 'summary_vi' as field, {trim('summary_zh')} as text, count(*) as rows_served from relation_edges where edge_id is not null and not {blank('summary_zh')} and {blank('summary_vi')} group by 1, 2",
-    "rejected_answers": _REJECTS, "stub_events": _STUB_EVENTS, "stub_backfill": _STUB_BACKFILL, "stub_rehearsal": _REHEARSAL, "line_repairs": _LINE_REPAIRS, "repairs_left": _REPAIRS_LEFT, "header_outcomes": HEADER_OUTCOMES,
+    "rejected_answers": _REJECTS, "stub_events": _STUB_EVENTS, "stub_backfill": _STUB_BACKFILL, "stub_rehearsal": _REHEARSAL, "line_repairs": _LINE_REPAIRS, "repairs_left": _REPAIRS_LEFT, "prompt_blocks": _PROMPT_BLOCKS, "header_outcomes": HEADER_OUTCOMES,
 }
