@@ -256,14 +256,18 @@ _FIRST_LINE = f"select chunk_id, {_FIRST_TEXT} as first_line from chapters where
 
 
 def suffix_kept(spark: SparkSession, d: str) -> DataFrame:
+    """Titles with the suffix of their file again, whole answers with all their lines."""
     c = table(spark, d, "chat_results").where("stage = 'title' and content is not null and source_file is not null")
     bare = F.regexp_replace("content", r"\s*\|\s*SourceFile:.*$", "")
-    return c.select("result_id", t.keep_suffix(F.concat(F.lit("Chapter 1 - x | SourceFile: "), F.col("source_file")), F.split(bare, "\n")[0]).alias("line"))
+    return c.select("result_id", t.keep_suffix(F.concat(F.lit("Chapter 1 - x | SourceFile: "), F.col("source_file")), bare).alias("text"))
 
 
 _SUFFIX = f"""
-with c as (select result_id, source_file, string_split(regexp_replace(content, '\\s*\\|\\s*SourceFile:.*$', ''), chr(10))[1] as b from chat_results where stage = 'title' and content is not null and source_file is not null)
-select result_id, case when regexp_matches(b, '(?i)\\|\\s*SourceFile:') then b else regexp_replace(b, '[\\s\\x{{3000}}\\x{{a0}}]+$', '') || ' ' || {trim("'| SourceFile: ' || source_file")} end as line from c
+with c as (select result_id, source_file, regexp_replace(content, '\\s*\\|\\s*SourceFile:.*$', '') as b from chat_results where stage = 'title' and content is not null and source_file is not null),
+l as (select *, regexp_split_to_array(b, '\\r\\n|[\\n\\x{{b}}\\f\\r\\x{{1c}}-\\x{{1e}}\\x{{85}}\\x{{2028}}\\x{{2029}}]') as p from c),
+k as (select *, case when p[-1] = '' then p[1:len(p) - 1] else p end as q from l)
+select result_id, case when len(q) = 0 or regexp_matches(q[1], '(?i)\\|\\s*SourceFile:') then b
+  else array_to_string(list_prepend(regexp_replace(q[1], '[\\s\\x{{3000}}\\x{{a0}}]+$', '') || ' ' || {trim("'| SourceFile: ' || source_file")}, q[2:]), chr(10)) end as text from k
 """
 
 
