@@ -333,7 +333,7 @@ def train(chapters: DataFrame, id_col: str = "chunk_id", text_col: str = "source
     from lacquer.llm.sampling import bounded_rows
 
     site = F.col(site_col) if site_col in chapters.columns else F.lit(None).cast("string")
-    pages = bounded_rows(chapters.where(F.col(text_col) != ""), id_col, [site, F.col(text_col)], train_pages, "page")
+    pages = bounded_rows(chapters, id_col, [site, F.col(text_col)], train_pages, "page", F.col(text_col) != "")
     return learn([(r[0], r[1]) for r in pages])
 
 

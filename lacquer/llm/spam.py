@@ -330,7 +330,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train
     """Fit on at most ``train_rows`` texts, chosen by the hash of their id."""
     from lacquer.llm.sampling import bounded_texts
 
-    texts = bounded_texts(docs.where(F.col(text_col).rlike(r"(?U)[\w\p{P}\p{S}]")), id_col, text_col, train_rows, "spam")
+    texts = bounded_texts(docs, id_col, text_col, train_rows, "spam", F.col(text_col).rlike(r"(?U)[\w\p{P}\p{S}]"))
     x = np.array([page_features(t) for t in texts]).reshape(-1, len(FEATURES))
     y = weak_labels(x)
     x, y = x[y >= 0], y[y >= 0]
