@@ -27,6 +27,8 @@ PIECE_CHARGE = 1.0
 IMBALANCE = 0.6
 #: Where there is no boundary, one place is as good as another: so many to the longest allowed distance between cuts.
 CELLS = 150
+#: Costs between cuts that are looked at at once.
+BLOCK_COSTS = 1_000_000
 #: Weight of a missing or excess share of the wanted overlap when its start is chosen.
 OVERLAP_MISS = 2.0
 #: Charge for each eighth by which an overlap is shorter at a cut, where there is no chain of pieces otherwise.
@@ -165,27 +167,46 @@ class Splitter:
         return chain[1]
 
     def _chain(self, pos: np.ndarray, penalty: np.ndarray, begin: np.ndarray, limit: int, ideal: float) -> tuple[float, list[tuple[int, int]]] | None:
-        """The cost and the pieces of the best chain of any number of pieces, in one pass over all cuts; a cut may stand there with several begins."""
+        """The cost and the pieces of the best chain of any number of pieces; a cut may stand there with several begins.
+
+        Cuts are taken in blocks: all costs between a block and what can precede it are one matrix,
+        and pieces within the block are settled by repeating its own part until nothing gets cheaper.
+        """
         n = self.n
         # node 0 is the start of the text, node k the cut pos[k-1], the last node its end
         ends = np.concatenate(([0], pos, [n]))
         starts = np.concatenate(([0], begin, [n]))
-        penalty = np.concatenate(([0.0], penalty, [0.0]))
+        charge = np.concatenate(([0.0], penalty, [0.0])) + PIECE_CHARGE
         count = len(ends)
         best = np.full(count, np.inf)
         best[0] = 0.0
         previous = np.full(count, -1, dtype=np.int64)
         longest = np.maximum.accumulate(starts)  # starts never run far backwards
-        for j in range(1, count):
-            low = int(np.searchsorted(longest[:j], ends[j] - limit, "left"))
-            if low == j:
-                continue
-            size = ends[j] - starts[low:j]
-            cost = best[low:j] + IMBALANCE * ((size - ideal) / ideal) ** 2
-            cost[(size > limit) | (starts[j] <= starts[low:j]) | (ends[j] <= ends[low:j])] = np.inf
-            k = int(np.argmin(cost))
-            best[j] = cost[k] + penalty[j] + PIECE_CHARGE
-            previous[j] = low + k
+        first = np.searchsorted(longest, ends - limit, "left")
+        j = 1
+        while j < count:
+            low = int(first[j])
+            high = max(j + 1, min(int(np.searchsorted(ends, ends[j] + limit // 2, "right")), j + max(1, BLOCK_COSTS // max(1, j - low + 1))))
+            size = ends[j:high, None] - starts[None, low:high]
+            cost = IMBALANCE * ((size - ideal) / ideal) ** 2
+            cost[(size > limit) | (starts[j:high, None] <= starts[None, low:high]) | (ends[j:high, None] <= ends[None, low:high])] = np.inf
+            rows, own = np.arange(high - j), charge[j:high]
+            if low < j:
+                before = best[None, low:j] + cost[:, : j - low]
+                pick = np.argmin(before, axis=1)
+                best[j:high] = before[rows, pick] + own
+                previous[j:high] = np.where(np.isfinite(best[j:high]), low + pick, -1)
+            inside = cost[:, j - low :]
+            while np.isfinite(inside).any():
+                within = best[None, j:high] + inside
+                pick = np.argmin(within, axis=1)
+                cheaper = within[rows, pick] + own
+                better = cheaper < best[j:high]
+                if not better.any():
+                    break
+                best[j:high] = np.where(better, cheaper, best[j:high])
+                previous[j:high] = np.where(better, j + pick, previous[j:high])
+            j = high
         if not np.isfinite(best[-1]):
             return None
         chain, j = [], count - 1
