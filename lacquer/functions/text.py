@@ -104,6 +104,15 @@ def after_header(x: Column | str) -> Column:
     return F.regexp_replace(F.array_join(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))), "\n"), r"^\n+", "")
 
 
+def split_header(x: Column | str) -> Column:
+    """``struct(header, body)``: the header line and the lines behind it, or no header and the text as it is."""
+    lines = split_lines(x)
+    first = F.try_element_at(lines, F.lit(1))
+    body = F.regexp_replace(F.array_join(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))), "\n"), r"^\n+", "")
+    there = trim_u(first).startswith("Chapter ")
+    return F.when(there, F.struct(first.alias("header"), body.alias("body"))).otherwise(F.struct(F.lit("").alias("header"), F.when(F.size(lines) == 0, "").otherwise(_c(x)).alias("body")))
+
+
 def strip_fence(x: Column | str) -> Column:
     """Without a Markdown fence around the trimmed text."""
     t = trim_u(x)

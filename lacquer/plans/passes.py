@@ -15,7 +15,7 @@ from lacquer.operators.context import context_block, in_scope
 from lacquer.operators.entities import best_by_name, default_file, incoming_ids, merge_entries, resolve
 from lacquer.operators.matching import name_hits
 from lacquer.operators.merge import evidence_list, evidence_rows, fill_missing_map, merge_by_key
-from lacquer.plans.pipeline import NO_BLOCK, PROMPTS, Passes, chapter_blocks, extract_events, run_stage, translate
+from lacquer.plans.pipeline import NO_BLOCK, PROMPTS, Passes, chapter_blocks, extract_events, known_entries, run_stage, translate
 from lacquer.plans.provider import ask
 from lacquer.session import materialise
 from lacquer.sources.jsonl import answer_objects, object_lines
@@ -86,7 +86,7 @@ def fact_context(facts: DataFrame, scope: DataFrame, most: int = 30) -> DataFram
 
 def extract_entries(chapters: DataFrame, glossary: DataFrame, passes: Passes) -> DataFrame:
     """The glossary with what the chapters add: ids by surface form, entries merged, resolved one hop."""
-    blocks = chapter_blocks(chapters, glossary, passes)
+    blocks = known_entries(chapters, glossary, passes)
     schema = "canonical_id string, kind string, names_zh array<string>, names_vi array<string>, aliases struct<zh:array<string>,vi:array<string>>, evidences array<struct<source_file:string,evidence:string>>"
     new = stage_objects(chapters, blocks, passes, "entries", schema, 0.1).withColumn("row", F.concat_ws("#", "chunk_id", "chunk_no", "object_no"))
     new = new.where(F.size(t.clean_list("names_zh")) > 0)
@@ -206,7 +206,7 @@ def prompt_report(chunk: DataFrame, providers: dict[str, object], only: tuple[st
         row = got.select(
             F.lit(stage).alias("stage"), F.coalesce(objects, F.lit(0)).alias("objects"), (F.coalesce(objects, F.lit(0)) > 0).alias("parse_ok_nonempty"), t.validation(body, F.lit(""))["ok"].alias("verdict"),
             (F.size(t.split_nl(body)) == F.size(t.split_nl("chunk"))).alias("same_lines"), F.lower(t.or_empty(t.first_text_line(body))).startswith("chapter ").alias("header"), t.has_cjk(body).alias("leaks"),
-            F.col("error").isNull().alias("answered"), "finish_reason", F.lit(round(elapsed, 3)).alias("elapsed_s"), F.lit(max_tokens).alias("max_tokens"), F.col("content").alias("raw"),
+            F.col("error").isNull().alias("answered"), "finish_reason", F.lit(round(elapsed, 3)).alias("elapsed_s"), F.lit(max_tokens).alias("max_tokens"), F.col("content").alias("raw"), F.substring(body, 1, 200).alias("preview"),
         )
         parts = row if parts is None else parts.unionByName(row)
     return parts

@@ -38,6 +38,8 @@ class Passes:
     chunk_chars: int | None = None
     glossary_entries: int = 40
     glossary_tokens: int = 1200
+    #: Entries shown to the pass that looks for new ones.
+    known_entries: int = 25
     pinned: tuple[str, ...] = ()
     completion: int = 2500
     repairs: int = 3
@@ -48,16 +50,30 @@ class Passes:
     parallel: int | None = None
 
 
-def glossary_blocks(texts: DataFrame, glossary: DataFrame, scope: str, id_col: str, text_col: str, most: int, tokens: int, pinned: list[str] | None = None) -> DataFrame:
-    """``(id, glossary_block)``: the entries found in each text, best first, within count and tokens."""
+def glossary_blocks(texts: DataFrame, glossary: DataFrame, scope: str, id_col: str, text_col: str, most: int, tokens: int, pinned: list[str] | None = None, longest: bool = False) -> DataFrame:
+    """``(id, glossary_block)``: the entries found in each text, best first, within count and tokens.
+
+    The best have the most text in their occurrences, or with ``longest`` the longest name found.
+    """
     named = glossary.select(scope, F.col("canonical_id"), F.explode(t.clean_list("names_zh")).alias("name")).distinct()  # an entry saved again counts once
     hits = name_hits(texts, named, scope, id_col, text_col)
-    lines = glossary.groupBy(scope, "canonical_id").agg(F.min(F.to_json(F.struct("canonical_id", "kind", "names_zh", "names_vi"))).alias("line"))
-    picked = pick_entries(scored_entries(hits, named, [scope], id_col, "canonical_id", pinned or []), id_col, "canonical_id", most)
+    lines = entry_lines(glossary, scope)
+    scored = scored_entries(hits, named, [scope], id_col, "canonical_id", pinned or [])
+    picked = pick_entries(scored.withColumn("score", F.col("longest")) if longest else scored, id_col, "canonical_id", most)
     kept = within_budget(picked.join(lines, [scope, "canonical_id"]), [id_col], [F.col("place")], F.col("line"), tokens)
     return kept.groupBy(id_col).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "line"))), lambda x: x["line"]), "\n").alias("glossary_block"))
 
 
+def entry_lines(glossary: DataFrame, scope: str) -> DataFrame:
+    """``(scope, canonical_id, line)``: each entry as a JSON line, as prompts show it."""
+    return glossary.groupBy(scope, "canonical_id").agg(F.min(F.to_json(F.struct("canonical_id", "kind", "names_zh", "names_vi"))).alias("line"))
+
+
+def known_entries(chapters: DataFrame, glossary: DataFrame, passes: Passes) -> DataFrame:
+    """The block of the pass that looks for new entries: those with the longest names found in the chapter."""
+    return glossary_blocks(chapters, glossary, "book_id", "chunk_id", "source_chunk", passes.known_entries, passes.budget.glossary_extract, longest=True)
+
+
 def shell_tokens(stage: str, system: str = "") -> int:
     """Tokens of a prompt without what is filled in."""
     bare = re.sub(r"\{[a-z_]+\}", "", PROMPTS[stage])

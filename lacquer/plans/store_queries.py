@@ -10,7 +10,7 @@ from lacquer.operators.chunking import Budget
 from lacquer.operators.context import context_block, in_scope, pending
 from lacquer.operators.merge import evidence_list, evidence_rows, fill_missing_map, first_rows, last_row_wins, merge_by_key
 from lacquer.plans.duck import blank, clean_list, trim
-from lacquer.plans.pipeline import NO_BLOCK, Passes, backfill, backfill_requests, extract_events, glossary_blocks, repair_lines, repair_log, translate
+from lacquer.plans.pipeline import NO_BLOCK, Passes, backfill, backfill_requests, entry_lines, extract_events, glossary_blocks, known_entries, repair_lines, repair_log, translate
 from lacquer.plans.provider import StubProvider
 from lacquer.plans.text_queries import HEADER_OUTCOMES, packed_sql
 from lacquer.session import table
@@ -317,6 +317,23 @@ select chunk_id, string_agg(line, chr(10) order by place) as glossary_block from
 """
 
 
+def known_entry_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """The block of the pass that looks for new entries: up to 25 entries with the longest names found, within 900 tokens."""
+    return known_entries(table(spark, d, "chapters"), table(spark, d, "glossary"), Passes())
+
+
+_KNOWN_BLOCKS = _PROMPT_BLOCKS.replace("sum(occ * length(name)) as score", "max(length(name)) as score").replace("place <= 40", "place <= 25").replace("<= 1200", "<= 900")
+
+
+def glossary_lines(spark: SparkSession, d: str) -> DataFrame:
+    return entry_lines(table(spark, d, "glossary"), "book_id")
+
+
+_GLOSSARY_LINES = """
+select book_id, canonical_id, min('{' || concat_ws(',', '"canonical_id":' || to_json(canonical_id), '"kind":' || to_json(kind), '"names_zh":' || to_json(names_zh), '"names_vi":' || to_json(names_vi)) || '}') as line from glossary group by 1, 2
+"""
+
+
 def repairs_left(spark: SparkSession, d: str) -> DataFrame:
     """The log of bilingual chunks before any repair: lines with ideographs, the first of them, and sides of unequal length."""
     c = table(spark, d, "chunk_lines").groupBy(F.col("pair_id").alias("chunk_id"), "line").agg(F.min("zh").alias("zh"), F.min("vi").alias("vi"))
@@ -357,7 +374,7 @@ QUERIES = {
     "upsert_scenes": upsert_scenes, "first_k_per_group": first_k_edges, "chapter_context": chapter_context, "facts_in_scope": facts_in_scope, "facts_in_chapter": facts_in_chapter, "fact_blocks": fact_blocks, "resume_pending": resume_pending,
     "quality_violations": quality_violations, "run_status_counts": run_status_counts, "answer_cache": answer_cache, "missing_requests": missing_requests, "rejected_answers": rejected_answers,
     "stub_events": stub_events, "stub_translation": stub_translation, "stub_backfill": stub_backfill,
-    "stub_rehearsal": stub_rehearsal, "line_repairs": line_repairs, "repairs_left": repairs_left, "prompt_blocks": prompt_blocks, "header_outcomes": header_outcomes,
+    "stub_rehearsal": stub_rehearsal, "line_repairs": line_repairs, "repairs_left": repairs_left, "prompt_blocks": prompt_blocks, "known_entry_blocks": known_entry_blocks, "glossary_lines": glossary_lines, "header_outcomes": header_outcomes,
 }
 SQL = {
     "upsert_edges": _UPSERT_EDGES,
@@ -373,5 +390,5 @@ SQL = {
     "run_status_counts": f"select stage, case when {blank('content')} then 'empty' when lower(coalesce(finish_reason, '')) in ('length', 'max_tokens') then 'cut' when lower(coalesce(finish_reason, '')) = 'error' then 'error' else 'done' end as status, count(*) as results, count(distinct request_hash) as requests from chat_results group by 1, 2",
     "answer_cache": f"with r as (select *, row_number() over (partition by request_hash order by created_at desc, result_id desc) as rk from chat_results where request_hash is not null and not {blank('content')}) select request_hash, result_id from r where rk = 1",
     "missing_requests": f"select 'summary_vi' as field, {trim('summary_zh')} as text, count(*) as rows_served from relation_edges where edge_id is not null and not {blank('summary_zh')} and {blank('summary_vi')} group by 1, 2",
-    "rejected_answers": _REJECTS, "stub_events": _STUB_EVENTS, "stub_backfill": _STUB_BACKFILL, "stub_rehearsal": _REHEARSAL, "line_repairs": _LINE_REPAIRS, "repairs_left": _REPAIRS_LEFT, "prompt_blocks": _PROMPT_BLOCKS, "header_outcomes": HEADER_OUTCOMES,
+    "rejected_answers": _REJECTS, "stub_events": _STUB_EVENTS, "stub_backfill": _STUB_BACKFILL, "stub_rehearsal": _REHEARSAL, "line_repairs": _LINE_REPAIRS, "repairs_left": _REPAIRS_LEFT, "prompt_blocks": _PROMPT_BLOCKS, "known_entry_blocks": _KNOWN_BLOCKS, "glossary_lines": _GLOSSARY_LINES, "header_outcomes": HEADER_OUTCOMES,
 }

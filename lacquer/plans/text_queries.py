@@ -255,6 +255,19 @@ def first_text_line(spark: SparkSession, d: str) -> DataFrame:
 _FIRST_LINE = f"select chunk_id, {_FIRST_TEXT} as first_line from chapters where source_chunk is not null"
 
 
+def header_split(spark: SparkSession, d: str) -> DataFrame:
+    """Chapters as header and body."""
+    return table(spark, d, "chapters").where("source_chunk is not null").select("chunk_id", t.split_header("source_chunk").alias("s")).select("chunk_id", "s.header", F.sha1(F.col("s.body").cast("binary")).alias("digest"))
+
+
+_HEADER_SPLIT = rf"""
+with l as (select chunk_id, source_chunk, regexp_split_to_array(source_chunk, '\r\n|[\n\x{{b}}\f\r\x{{1c}}-\x{{1e}}\x{{85}}\x{{2028}}\x{{2029}}]') as p from chapters where source_chunk is not null),
+k as (select *, case when p[-1] = '' then p[1:len(p) - 1] else p end as q from l)
+select chunk_id, case when starts_with({trim("coalesce(q[1], '')")}, 'Chapter ') then q[1] else '' end as header,
+  sha1(case when starts_with({trim("coalesce(q[1], '')")}, 'Chapter ') then regexp_replace(array_to_string(q[2:], chr(10)), '^\n+', '') when len(q) = 0 then '' else source_chunk end) as digest from k
+"""
+
+
 def suffix_kept(spark: SparkSession, d: str) -> DataFrame:
     """Titles with the suffix of their file again, whole answers with all their lines."""
     c = table(spark, d, "chat_results").where("stage = 'title' and content is not null and source_file is not null")
@@ -303,11 +316,11 @@ QUERIES = {
     "line_chunks": line_chunk_stats, "token_estimate": token_estimate, "header_fields": header_fields, "header_rewrite": header_rewrite, "canonical_slug": canonical_slug,
     "content_ids": content_ids, "fact_ids": fact_ids, "answer_cleanup": answer_cleanup, "validate_marker": validate_marker, "file_names": file_names, "page_body": page_body,
     "template_fill": template_fill, "jsonl_objects": jsonl_objects, "json_recovery": json_recovery, "answer_objects": answer_objects_query, "text_lines": text_lines,
-    "first_text_line": first_text_line, "suffix_kept": suffix_kept, "budget_limits": budget_limits, "required_fields": required_fields,
+    "first_text_line": first_text_line, "suffix_kept": suffix_kept, "header_split": header_split, "budget_limits": budget_limits, "required_fields": required_fields,
 }
 SQL = {
     "line_chunks": _LINE_CHUNKS, "header_fields": _HEADER_FIELDS, "header_rewrite": _HEADER_REWRITE, "canonical_slug": _CANONICAL_SLUG, "content_ids": _CONTENT_IDS, "fact_ids": _FACT_IDS,
     "answer_cleanup": _ANSWER_CLEANUP, "validate_marker": _VALIDATE, "file_names": _FILE_NAMES, "page_body": _PAGE_BODY, "template_fill": _TEMPLATE, "jsonl_objects": _JSONL, "answer_objects": _ANSWER_OBJECTS, "text_lines": _TEXT_LINES,
-    "first_text_line": _FIRST_LINE, "suffix_kept": _SUFFIX, "budget_limits": _BUDGET, "required_fields": _REQUIRED,
+    "first_text_line": _FIRST_LINE, "suffix_kept": _SUFFIX, "header_split": _HEADER_SPLIT, "budget_limits": _BUDGET, "required_fields": _REQUIRED,
     "token_estimate": "select doc_id, (case when coalesce(length(text), 0) = 0 then 0 else greatest(1, (length(text) + 2) // 3) end)::int as tokens, (case when coalesce(length(target_text), 0) = 0 then 0 else greatest(1, (length(target_text) + 2) // 3) end)::int as target_tokens from documents",
 }

@@ -16,10 +16,11 @@ from lacquer.operators.merge import evidence_list, evidence_rows, last_row_wins,
 from lacquer.sources.jsonl import read_jsonl
 
 
-def read_chapters(spark: SparkSession, folder: str, pattern: str = "C*.txt") -> DataFrame:
-    """``(source_file, text)`` of whole files whose name fits the pattern."""
+def read_chapters(spark: SparkSession, folder: str, pattern: str = "C*.txt", ordered: bool = False) -> DataFrame:
+    """``(source_file, text)`` of whole files whose name fits the pattern, by path if ``ordered``."""
     rows = spark.read.option("pathGlobFilter", pattern).text(folder, wholetext=True)
-    return rows.select(F.col("_metadata.file_name").alias("source_file"), F.col("value").alias("text"))
+    rows = rows.select(F.col("_metadata.file_name").alias("source_file"), F.col("value").alias("text"), F.col("_metadata.file_path").alias("path"))
+    return (rows.orderBy("path") if ordered else rows).drop("path")
 
 
 def write_chapters(rows: DataFrame, path: str) -> None:

@@ -64,6 +64,9 @@ def test_chapter_files(spark, tmp_path):
     (tmp_path / "C001-a.txt").write_text("one\ntwo")
     (tmp_path / "notes.txt").write_text("no")
     assert [(r.source_file, r.text) for r in read_chapters(spark, str(tmp_path)).collect()] == [("C001-a.txt", "one\ntwo")]
+    for k in (3, 2, 10):
+        (tmp_path / f"C{k:03d}-a.txt").write_text("x")
+    assert [r.source_file for r in read_chapters(spark, str(tmp_path), ordered=True).collect()] == [f"C{k:03d}-a.txt" for k in (1, 2, 3, 10)]
 
 
 def test_small_rows_refuse_growth(spark):
