@@ -80,14 +80,20 @@ def shell_tokens(stage: str, system: str = "") -> int:
     return -(-len(bare) // 3) + -(-len(system) // 3)
 
 
+def chunk_chars(passes: Passes, stage: str, validate: bool) -> int:
+    """The chunk size of extraction or translation; a translation that is checked has to leave room for both texts."""
+    system = getattr(passes.provider, "system", "")
+    extract, translated, _ = chunk_limits(passes.budget, shell_tokens("events", system), shell_tokens("translate", system), shell_tokens("validate", system), validate)
+    return extract if stage == "entries" else translated
+
+
 def chunk_size(passes: Passes, stage: str, block: Column | str | None = None, validate: bool = False) -> Column:
     """The chunk size of a stage: what its prompt, with the block filled in, leaves of the budget, under the stage's cap."""
     if passes.chunk_chars is not None:
         return F.lit(passes.chunk_chars)
     system = getattr(passes.provider, "system", "")
     if stage in ("entries", "translate"):
-        extract, translated, _ = chunk_limits(passes.budget, shell_tokens("events", system), shell_tokens("translate", system), shell_tokens("validate", system), validate)
-        return F.lit(extract if stage == "entries" else translated)
+        return F.lit(chunk_chars(passes, stage, validate))
     name = {"events": "timeline"}.get(stage, stage)
     used = F.lit(shell_tokens(stage, system)) + (t.estimate_tokens(block) if block is not None else F.lit(0))
     return stage_limit(passes.budget, name, used)

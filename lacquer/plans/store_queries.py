@@ -10,7 +10,7 @@ from lacquer.operators.chunking import Budget
 from lacquer.operators.context import context_block, in_scope, pending
 from lacquer.operators.merge import evidence_list, evidence_rows, fill_missing_map, first_rows, last_row_wins, merge_by_key
 from lacquer.plans.duck import blank, clean_list, trim
-from lacquer.plans.pipeline import NO_BLOCK, Passes, backfill, backfill_requests, entry_lines, extract_events, glossary_blocks, known_entries, repair_lines, repair_log, translate
+from lacquer.plans.pipeline import NO_BLOCK, Passes, backfill, backfill_requests, chunk_chars, entry_lines, extract_events, glossary_blocks, known_entries, repair_lines, repair_log, translate
 from lacquer.plans.provider import StubProvider
 from lacquer.plans.text_queries import HEADER_OUTCOMES, packed_sql
 from lacquer.session import table
@@ -261,8 +261,31 @@ select distinct book_id, sha1(concat_ws('|', n::varchar, mark, substr(mark, 1, 4
 
 
 def stub_translation(spark: SparkSession, d: str) -> DataFrame:
-    """The translation pass with checks and repairs, with the stand-in provider; rows only."""
-    return translate(table(spark, d, "chapters"), table(spark, d, "glossary"), Passes(provider=StubProvider("echo"), repairs=1), StubProvider("validate"))
+    """The translation pass from chunks to texts, checked and repaired, with the stand-in provider."""
+    return translate(table(spark, d, "chapters"), table(spark, d, "glossary"), Passes(provider=StubProvider("translate"), repairs=1), StubProvider("validate"))
+
+
+_BREAKS = r"'\r\n|[\n\x{b}\f\r\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]'"
+
+
+def _lines(x: str) -> str:
+    """The lines of a text, without the empty piece behind the last break."""
+    parts = f"regexp_split_to_array({x}, {_BREAKS})"
+    return f"list_filter({parts}, lambda e, i: e <> '' or i < len({parts}))"
+
+
+_FIRST_SOURCE_LINE = f"coalesce(({_lines('source_chunk')})[1], '')"
+_SOURCE_SUFFIX = trim(rf"regexp_extract({trim(_FIRST_SOURCE_LINE)}, '(?i)(\|\s*SourceFile:.*)$', 1)")
+_STUB_TRANSLATION = rf"""
+with {packed_sql(chunk_chars(Passes(), "translate", True))},
+v as (select chunk_id, chunk_no, {trim(f"substr('[' || substr(sha1({_BODY}), 1, 8) || '] ' || {_BODY}, 1, {3 * Passes().completion})")} as vi from numbered),
+l as (select *, {_lines("vi")} as parts from v),
+r as (select chunk_id, chunk_no, array_to_string(list_transform(parts, lambda e, i: case when regexp_matches(e, '[\x{{4e00}}-\x{{9fff}}]') then 'line ' || (i - 1) else e end), chr(10)) as text from l),
+t as (select chunk_id, string_agg(text, chr(10) order by chunk_no) as body from r group by 1),
+s as (select chunk_id, body, {_lines("body")} as lines, {_SOURCE_SUFFIX} as suffix from t join chapters using (chunk_id))
+select chunk_id, case when suffix <> '' and len(lines) > 0 and not regexp_matches(lines[1], '(?i)\|\s*SourceFile:')
+    then array_to_string(list_prepend(regexp_replace(lines[1], '[\s\x{{3000}}\x{{a0}}]+$', '') || ' ' || suffix, lines[2:]), chr(10)) else body end as text, 0::bigint as unresolved, 0::bigint as failed from s
+"""
 
 
 def stub_rehearsal(spark: SparkSession, d: str) -> DataFrame:
@@ -390,5 +413,5 @@ SQL = {
     "run_status_counts": f"select stage, case when {blank('content')} then 'empty' when lower(coalesce(finish_reason, '')) in ('length', 'max_tokens') then 'cut' when lower(coalesce(finish_reason, '')) = 'error' then 'error' else 'done' end as status, count(*) as results, count(distinct request_hash) as requests from chat_results group by 1, 2",
     "answer_cache": f"with r as (select *, row_number() over (partition by request_hash order by created_at desc, result_id desc) as rk from chat_results where request_hash is not null and not {blank('content')}) select request_hash, result_id from r where rk = 1",
     "missing_requests": f"select 'summary_vi' as field, {trim('summary_zh')} as text, count(*) as rows_served from relation_edges where edge_id is not null and not {blank('summary_zh')} and {blank('summary_vi')} group by 1, 2",
-    "rejected_answers": _REJECTS, "stub_events": _STUB_EVENTS, "stub_backfill": _STUB_BACKFILL, "stub_rehearsal": _REHEARSAL, "line_repairs": _LINE_REPAIRS, "repairs_left": _REPAIRS_LEFT, "prompt_blocks": _PROMPT_BLOCKS, "known_entry_blocks": _KNOWN_BLOCKS, "glossary_lines": _GLOSSARY_LINES, "header_outcomes": HEADER_OUTCOMES,
+    "rejected_answers": _REJECTS, "stub_events": _STUB_EVENTS, "stub_translation": _STUB_TRANSLATION, "stub_backfill": _STUB_BACKFILL, "stub_rehearsal": _REHEARSAL, "line_repairs": _LINE_REPAIRS, "repairs_left": _REPAIRS_LEFT, "prompt_blocks": _PROMPT_BLOCKS, "known_entry_blocks": _KNOWN_BLOCKS, "glossary_lines": _GLOSSARY_LINES, "header_outcomes": HEADER_OUTCOMES,
 }
