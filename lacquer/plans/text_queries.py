@@ -227,11 +227,19 @@ _ANSWER_OBJECTS = f"with {_OBJECT_LINES} select result_id, stage, object_no, lin
 
 
 def json_recovery(spark: SparkSession, d: str) -> DataFrame:
-    """Objects found by matching braces in answers flattened to one line; rows only."""
+    """Objects found by matching braces in answers flattened to one line: whole ones, and whole parts of broken ones."""
     c = table(spark, d, "chat_results").where("stage in ('glossary', 'timeline') and content is not null")
     return c.select("result_id", F.posexplode(recovered_objects(F.regexp_replace("content", "\n", " "))).alias("object_no", "object"))
 
 
+_RECOVERY = r"""
+with l as (select result_id, unnest(string_split(content, chr(10))) as line, generate_subscripts(string_split(content, chr(10)), 1) as line_no from chat_results where stage in ('glossary', 'timeline') and content is not null),
+f as (select result_id, line_no, case when json_valid(trim(line)) and starts_with(trim(line), '{') then [trim(line)] else list_filter(regexp_extract_all(line, '\{[^{}]*\}'), lambda x: json_valid(x)) end as found from l),
+o as (select result_id, line_no, unnest(found) as object, generate_subscripts(found, 1) as i from f)
+select result_id, (row_number() over (partition by result_id order by line_no, i) - 1)::int as object_no, object from o
+"""
+
+
 def answer_objects_query(spark: SparkSession, d: str) -> DataFrame:
     """Objects of answers, line by line or recovered (in the test tables no answer without object lines holds a whole object)."""
     c = table(spark, d, "chat_results").where("stage in ('glossary', 'timeline') and content is not null")
@@ -320,7 +328,7 @@ QUERIES = {
 }
 SQL = {
     "line_chunks": _LINE_CHUNKS, "header_fields": _HEADER_FIELDS, "header_rewrite": _HEADER_REWRITE, "canonical_slug": _CANONICAL_SLUG, "content_ids": _CONTENT_IDS, "fact_ids": _FACT_IDS,
-    "answer_cleanup": _ANSWER_CLEANUP, "validate_marker": _VALIDATE, "file_names": _FILE_NAMES, "page_body": _PAGE_BODY, "template_fill": _TEMPLATE, "jsonl_objects": _JSONL, "answer_objects": _ANSWER_OBJECTS, "text_lines": _TEXT_LINES,
+    "answer_cleanup": _ANSWER_CLEANUP, "validate_marker": _VALIDATE, "file_names": _FILE_NAMES, "page_body": _PAGE_BODY, "template_fill": _TEMPLATE, "jsonl_objects": _JSONL, "answer_objects": _ANSWER_OBJECTS, "json_recovery": _RECOVERY, "text_lines": _TEXT_LINES,
     "first_text_line": _FIRST_LINE, "suffix_kept": _SUFFIX, "header_split": _HEADER_SPLIT, "budget_limits": _BUDGET, "required_fields": _REQUIRED,
     "token_estimate": "select doc_id, (case when coalesce(length(text), 0) = 0 then 0 else greatest(1, (length(text) + 2) // 3) end)::int as tokens, (case when coalesce(length(target_text), 0) = 0 then 0 else greatest(1, (length(target_text) + 2) // 3) end)::int as target_tokens from documents",
 }
