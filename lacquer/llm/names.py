@@ -570,15 +570,55 @@ def trie_join(keys: DataFrame, legit: set[str]) -> DataFrame:
     return rows.mapInArrow(walk, "book_id bigint, a string, b string")
 
 
+def contracted(edges: DataFrame) -> DataFrame:
+    """The links as stars around the smallest id, as far as one task sees them.
+
+    The links of a book come together where they fit a task; those of a book too large for one are
+    spread over several (rebalanced), whose stars are then joined by the rounds of ``components``.
+    """
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict[tuple, str] = {}
+
+        def root(book: int, x: str) -> str:
+            top = x
+            while (up := parent.get((book, top), top)) != top:
+                top = up
+            while x != top:  # shorten the way
+                parent[book, x], x = top, parent[book, x]
+            return top
+
+        def out() -> pa.RecordBatch:
+            rows = [(book, x, root(book, x)) for book, x in list(parent)]
+            parent.clear()
+            rows = [r for r in rows if r[1] != r[2]]
+            columns = list(zip(*rows, strict=True)) if rows else [()] * 3
+            return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.string())], ["book_id", "a", "b"])
+
+        for batch in batches:
+            for book, x, y in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                x, y = root(book, x), root(book, y)
+                low, high = min(x, y), max(x, y)
+                parent[book, high] = low
+                parent.setdefault((book, low), low)
+            if len(parent) > KEPT_KEYS:
+                yield out()
+        yield out()
+
+    return edges.where("a <> b").select("book_id", "a", "b").hint("rebalance", "book_id").mapInArrow(settle, "book_id bigint, a string, b string")
+
+
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     """``(book_id, id, component)`` of the linked ids: the smallest id each is linked to, directly or not.
 
-    Every round takes the smallest label among the neighbours and then the label of that label;
-    each is written to the shared folder, so no plan grows and lost executors cost one round.
+    Tasks settle what they see; then every round takes the smallest label among the neighbours and
+    the label of that label, until nothing changes.  Each is written to the shared folder, so no plan
+    grows and lost executors cost one round.
     """
     from lacquer.session import materialise
 
-    both = materialise(edges.select("book_id", "a", "b").union(edges.select("book_id", F.col("b"), F.col("a"))).where("a <> b").distinct(), "links")
+    stars = materialise(contracted(edges), "stars")
+    both = stars.union(stars.select("book_id", F.col("b"), F.col("a")))
     labels = materialise(both.groupBy("book_id", F.col("a").alias("id")).agg(F.least(F.col("id"), F.min("b")).alias("component")), "labels")
     for _ in range(rounds):
         offered = both.join(labels.select("book_id", F.col("id").alias("b"), "component"), ["book_id", "b"]).select("book_id", F.col("a").alias("id"), "component", F.lit(None).cast("string").alias("old"))
