@@ -22,6 +22,7 @@ import re
 import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -50,6 +51,8 @@ _HAN = re.compile("[㐀-鿿豈-﫿]")
 _NOT_HAN = re.compile("[^㐀-鿿豈-﫿A-Za-z]")
 _DOTS = re.compile("[·・•‧∙.\\-‐-―\\s　_,，]+")
 _LETTERS = re.compile(r"[^\W\d_]+")
+_MARKS = re.compile("[\u0300-\u036f]")
+_ADDRESSES = frozenset(ADDRESS_VI)
 _BY_READING = {vi: zh for zh, (_, vi, _e) in TYPES.items()}
 _BY_WORD = {w: zh for zh, (_, _v, e) in TYPES.items() for w in e.split()}
 _LONG_TYPES = sorted(((long, zh) for zh, (longs, _, _e) in TYPES.items() for long in longs.split()), key=lambda x: -len(x[0]))
@@ -57,8 +60,13 @@ _LONG_TYPES = sorted(((long, zh) for zh, (longs, _, _e) in TYPES.items() for lon
 
 def plain(text: str) -> str:
     """Lower case without diacritics."""
+    if text.isascii():
+        return text.lower()
     text = unicodedata.normalize("NFD", unicodedata.normalize("NFKC", text))
-    return "".join(c for c in text if unicodedata.category(c) != "Mn").replace("đ", "d").replace("Đ", "D").lower()
+    bare = _MARKS.sub("", text)
+    if not bare.isascii():
+        bare = "".join(c for c in bare if unicodedata.category(c) != "Mn").replace("đ", "d").replace("Đ", "D")
+    return bare.lower()
 
 
 def latin_words(surface: str) -> list[str]:
@@ -66,24 +74,30 @@ def latin_words(surface: str) -> list[str]:
     text = unicodedata.normalize("NFKC", surface).strip()
     if "-" in text and " " in text:
         text = text.replace("-", "")
-    spaced = [text[:1]]
-    for a, b in zip(text, text[1:], strict=False):
-        if a.islower() and b.isupper():
-            spaced.append(" ")
-        spaced.append(b)
-    return _LETTERS.findall(plain("".join(spaced).replace("_", " ")))
+    if not (text.istitle() or text.islower() or text.isupper()):  # else no capital follows a small letter
+        spaced = [text[:1]]
+        for a, b in zip(text, text[1:], strict=False):
+            if a.islower() and b.isupper():
+                spaced.append(" ")
+            spaced.append(b)
+        text = "".join(spaced)
+    return _LETTERS.findall(plain(text.replace("_", " ")))
 
 
 _VOWEL = "aeiouy"
 _TELEX = (("aa", "a"), ("ee", "e"), ("oo", "o"), ("dd", "d"), ("aw", "a"), ("ow", "o"), ("uw", "u"))
 
 
+_TONED = re.compile(rf"^([^{_VOWEL}]*[{_VOWEL}w]+)([sfrxj]?)([^{_VOWEL}]*?)([sfrxj]?)$")
+
+
+@lru_cache(maxsize=100_000)
 def telex(word: str) -> str:
     """The word without the marks of keyboard input for Vietnamese."""
     out = word
     for a, b in _TELEX:
         out = out.replace(a, b)
-    m = re.match(rf"^([^{_VOWEL}]*[{_VOWEL}w]+)([sfrxj]?)([^{_VOWEL}]*?)([sfrxj]?)$", out)
+    m = _TONED.match(out)
     if m:
         out = m.group(1) + m.group(3)
     return out.replace("w", "")
@@ -93,11 +107,11 @@ def strip_address(words: list[str]) -> tuple[list[str], bool]:
     """Without forms of address at either end, and whether there was one."""
     found = False
     for n in (2, 1):
-        while len(words) > n and " ".join(words[-n:]) in ADDRESS_VI:
+        while len(words) > n and " ".join(words[-n:]) in _ADDRESSES:
             words, found = words[:-n], True
-        while len(words) > n and " ".join(words[:n]) in ADDRESS_VI and n == 2:
+        while len(words) > n and " ".join(words[:n]) in _ADDRESSES and n == 2:
             words, found = words[n:], True
-    if " ".join(words) in ADDRESS_VI:
+    if " ".join(words) in _ADDRESSES:
         return [], True
     return words, found
 
