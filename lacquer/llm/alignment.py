@@ -3,9 +3,9 @@
 The lines of a bilingual chunk are cut into units (sentences, parts after a semicolon).  How well
 a unit explains another is measured with associations between Han characters and words of the
 other side: first those that anchor by themselves - equal numbers, the readings of characters in
-names, transcribed names - then, after a first alignment of a bounded sample of chunks
-(``train_pairs``), the associations counted over its confidently aligned units.  Within a chunk the anchors (units that are
-each other's best, with a margin) are chained by a heaviest increasing subsequence; the gaps of the
+names, transcribed names - then, after a first alignment of all chunks, the associations counted over
+its confidently aligned units.  Chunks are cut into units and words once; what the first alignment read
+is kept as words for the second.  Within a chunk the anchors (units that are each other's best, with a margin) are chained by a heaviest increasing subsequence; the gaps of the
 chain are aligned by local dynamic programming with joins and splits; strong pairs off the chain,
 wherever in the chunk, are moved sentences, and what is left over joins the neighbour that explains it.
 """
@@ -14,7 +14,10 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterable, Iterator
+from itertools import chain, repeat
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -42,10 +45,12 @@ NUMBER_WEIGHT = 2.5
 #: A part has to explain at least so much more of the other side.
 GAIN = 0.12
 SKIP = 0.17
-#: Tasks that count the sample.
-TRAIN_TASKS = 6
 #: Cells of a task's counts after which they are handed on.
 MOST_COUNTED = 30_000_000
+#: Cells that are counted at once.
+COUNTED_AT_ONCE = 1_000_000
+#: Words whose tokens a task remembers.
+MOST_WORDS = 500_000
 #: Cells of unit pairs that are scored at once; only those that can be paired are kept.
 BLOCK_CELLS = 2_000_000
 
@@ -82,19 +87,41 @@ def zh_tokens(text: str) -> list[str]:
     return out + _HAN.findall(text[end:])
 
 
+def _stripped(text: str) -> str:
+    return text if text.isascii() else _MARKS.sub("", unicodedata.normalize("NFD", text)).replace("đ", "d")
+
+
+class _Tokens(dict):
+    """Tokens of words of the other side: numbers as on this one, words as they are or plain with a sign before them."""
+
+    def __init__(self, plain: bool):
+        self.plain = plain
+
+    def __missing__(self, word: str) -> str:
+        if len(self) >= MOST_WORDS:
+            self.clear()
+        token = self[word] = f"#{int(word)}" if word.isdecimal() else "~" + _stripped(word) if self.plain else word
+        return token
+
+
+_AS_WRITTEN, _PLAIN = _Tokens(False), _Tokens(True)
+
+
+def _vi_both(text: str) -> tuple[list[str], list[str]]:
+    """Tokens as they are written and plain."""
+    text = unicodedata.normalize("NFC", text.lower())
+    words = _WORD.findall(text)
+    plain = [_PLAIN[w] for w in words]
+    return [_AS_WRITTEN[w] for w in words] if _MARKED.search(text) or _stripped(text) != text else plain, plain
+
+
 def vi_tokens(text: str, marked: bool = True) -> list[str]:
     """Words of the other side, numbers as on this one.
 
     Diacritics tell words apart, but some translations lack them: words of a text without any,
     or of every text if not ``marked``, are written plain with a sign before them.
     """
-    text = unicodedata.normalize("NFC", text.lower())
-    if marked and _MARKED.search(text):
-        return [f"#{int(w)}" if w.isdigit() else w for w in _WORD.findall(text)] if _DIGIT.search(text) else _WORD.findall(text)
-    plain = text if text.isascii() else _MARKS.sub("", unicodedata.normalize("NFD", text)).replace("đ", "d")
-    if marked and plain != text:
-        return [f"#{int(w)}" if w.isdigit() else w for w in _WORD.findall(text)]
-    return [f"#{int(w)}" if w.isdigit() else "~" + w for w in _WORD.findall(plain)]
+    return _vi_both(text)[0 if marked else 1]
 
 
 def units(lines: list[tuple[int, str]], pattern: re.Pattern) -> list[tuple[int, str]]:
@@ -136,29 +163,26 @@ class Coverage:
 
 
 class Side:
-    """The units of one side as ids of known words: which unit holds which id, once each, and its numbers."""
+    """The units of one side as ids of known words: which unit holds which id, and its numbers."""
 
     def __init__(self, units_of: list[list[str]], ids: dict[str, int]):
         self.count = len(units_of)
-        flat: list[int] = []
-        place: list[int] = []
+        flat = list(chain.from_iterable(units_of))
+        place = np.repeat(np.arange(self.count), list(map(len, units_of)))
+        got = np.fromiter(map(ids.get, flat, repeat(-1)), dtype=np.int64, count=len(flat))
         self.numbers: dict[str, list[int]] = {}
-        get = ids.get
-        for k, words in enumerate(units_of):
-            distinct = set(words)
-            got = [i for i in map(get, distinct) if i is not None]
-            flat += got
-            place += [k] * len(got)
-            if len(got) < len(distinct):  # numbers have no id
-                for w in distinct:
-                    if w[0] == "#":
-                        self.numbers.setdefault(w, []).append(k)
-        self.ids, self.inverse = np.unique(np.array(flat, dtype=np.int64), return_inverse=True)
-        self.place = np.array(place, dtype=np.int64)
-        # by distinct id, the units that hold it
-        order = np.argsort(self.inverse, kind="stable")
-        self.holders = self.place[order]
-        self.first = np.concatenate(([0], np.cumsum(np.bincount(self.inverse, minlength=len(self.ids))))).astype(np.int64)
+        for k in [k for k, w in enumerate(flat) if w[0] == "#"]:  # numbers have no id
+            self.numbers.setdefault(flat[k], []).append(int(place[k]))
+        order = got.argsort(kind="stable")
+        order = order[got[order].searchsorted(0) :]
+        sorted_ids = got[order]
+        new = np.ones(len(order), dtype=bool)
+        np.not_equal(sorted_ids[1:], sorted_ids[:-1], out=new[1:])
+        at = new.nonzero()[0]
+        self.ids = sorted_ids[at]
+        #: By distinct id, the units that hold it, and the place of the id.
+        self.holders, self.inverse = place[order], new.cumsum() - 1
+        self.first = np.append(at, len(order))
 
 
 def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -198,7 +222,7 @@ class Associations:
         best = np.zeros((known + len(source.numbers), target.count))
         if known:
             strength = weight[source.ids]
-            share[source.place, source.inverse] = strength[source.inverse]
+            share[source.holders, source.inverse] = strength[source.inverse]
             # pairs of a source word and a target word that both stand here
             where[target.ids] = np.arange(len(target.ids))
             starts, lengths = first[source.ids], first[source.ids + 1] - first[source.ids]
@@ -210,7 +234,7 @@ class Associations:
             # each in all units that hold the target word
             counts = target.first[there + 1] - target.first[there]
             units_at = target.holders[spans(target.first[there], counts)]
-            np.maximum.at(best, (np.repeat(word, counts), units_at), np.repeat(sure, counts))
+            np.maximum.at(best.reshape(-1), np.repeat(word * target.count, counts) + units_at, np.repeat(sure, counts))
         for k, (number, places) in enumerate(source.numbers.items(), start=known):  # a number is explained by the same number
             share[places, k] = NUMBER_WEIGHT
             best[k, target.numbers.get(number, [])] = 1.0
@@ -274,7 +298,7 @@ class UnitPairs:
         for low in range(0, self.n, size):
             high = min(low + size, self.n)
             zh_part, vi_part = zh_cover.rows(low, high), vi_cover.columns(low, high).T
-            score = np.sqrt(np.clip(zh_part, 0, 1) * np.clip(vi_part, 0, 1))
+            score = np.sqrt(np.minimum(zh_part, 1) * np.minimum(vi_part, 1))
             # half explained on both sides is the wording of another sentence; a part is wholly explained
             score[(score < PAIR) & (np.maximum(zh_part, vi_part) < WHOLE)] = 0
             a, b = np.nonzero(score > 0)
@@ -429,13 +453,45 @@ def align_units(zh_cover: Coverage, vi_cover: Coverage) -> list[tuple[int, int,
     return [(i, j, score[i].get(j, 0.0)) for i, j in sorted(matched)]
 
 
-def align_chunk(rows: list[tuple[int, str | None, str | None]], known: Associations, marked: bool = True) -> tuple[list, list, list[tuple[int, int, float]]]:
-    """Units of both sides and their matches; a side left in Chinese has no units."""
+class Chunk(NamedTuple):
+    """Both sides of a chunk as units: their lines and distinct tokens, the other side's as written and plain."""
+
+    zh_lines: list[int]
+    zh: list[list[str]]
+    vi_lines: list[int]
+    vi: list[list[str]]
+    plain: list[list[str]]
+
+
+def chunk_of(rows: list[tuple[int, str | None, str | None]]) -> Chunk:
+    """Units of both sides; a side left in Chinese has none."""
     zh = units([(no, z) for no, z, _ in rows if z and z.strip()], _ZH_UNIT)
     vi = units([(no, v) for no, _, v in rows if v and v.strip() and (not _HAN.search(v) or 2 * len(_HAN.findall(v)) < len(v))], _VI_UNIT)
     if not zh or not vi:
-        return zh, vi, []
-    return zh, vi, align_units(*known.scores([zh_tokens(t) for _, t in zh], [vi_tokens(t, marked) for _, t in vi]))
+        return Chunk([], [], [], [], [])
+    written, plain = [], []
+    for _, text in vi:
+        a, b = _vi_both(text)
+        plain.append(list(dict.fromkeys(b)))
+        written.append(plain[-1] if a is b else list(dict.fromkeys(a)))
+    return Chunk([no for no, _ in zh], [list(dict.fromkeys(zh_tokens(t))) for _, t in zh], [no for no, _ in vi], written, plain)
+
+
+def align_chunk(rows: list[tuple[int, str | None, str | None]], known: Associations, marked: bool = True) -> tuple[Chunk, list[tuple[int, int, float]]]:
+    """A chunk and the matches of its units."""
+    chunk = chunk_of(rows)
+    return chunk, align_units(*known.scores(chunk.zh, chunk.vi if marked else chunk.plain)) if chunk.zh else []
+
+
+class _Ids(dict):
+    """Ids of words in the order they come; the empty word is the first."""
+
+    def __init__(self):
+        self[""] = 0
+
+    def __missing__(self, word: str) -> int:
+        new = self[word] = len(self)
+        return new
 
 
 class PairCounts:
@@ -445,30 +501,57 @@ class PairCounts:
         self.clear()
 
     def clear(self) -> None:
-        self.zh: dict[str, int] = {"": 0}
-        self.vi: dict[str, int] = {"": 0}
-        self.matrix = np.zeros((1024, 4096), dtype=np.int32)
-
-    def add(self, zh: set[str], vi: set[str]) -> None:
-        """Count a pair of units; the empty token stands for any, numbers are counted alone."""
-        a = [self.zh.setdefault(t, len(self.zh)) for t in ("", *zh) if t[:1] != "#"]
-        b = [self.vi.setdefault(t, len(self.vi)) for t in ("", *vi) if t[:1] != "#"]
+        self.zh, self.vi = _Ids(), _Ids()
+        self.matrix = np.zeros((512, 4096), dtype=np.int32)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.a: list[int] = []
+        self.b: list[int] = []
+        self.of_a: list[int] = []
+        self.of_b: list[int] = []
+        self.cells = 0
+
+    def add(self, zh: Iterable[str], vi: Iterable[str]) -> None:
+        """Count a pair of units of distinct tokens; the empty token stands for any, numbers are counted alone."""
+        a = [0, *[self.zh[t] for t in zh if t[0] != "#"]]
+        b = [0, *[self.vi[t] for t in vi if t[0] != "#"]]
+        self.a += a
+        self.b += b
+        self.of_a.append(len(a))
+        self.of_b.append(len(b))
+        self.cells += len(a) * len(b)
+        if self.cells > COUNTED_AT_ONCE:
+            self.settle()
+
+    def settle(self) -> None:
+        """Enter what was added into the matrix."""
         rows, columns = self.matrix.shape
         if len(self.zh) > rows or len(self.vi) > columns:
-            grown = np.zeros((max(rows, 2 * len(self.zh)), max(columns, 2 * len(self.vi))), dtype=np.int32)
+            grown = np.zeros((rows if len(self.zh) <= rows else len(self.zh) * 5 // 4, columns if len(self.vi) <= columns else len(self.vi) * 3 // 2), dtype=np.int32)
             grown[:rows, :columns] = self.matrix
-            self.matrix = grown
-        self.matrix[np.ix_(a, b)] += 1  # the ids of a set are distinct
+            self.matrix, columns = grown, grown.shape[1]
+        of_a, of_b = np.array(self.of_a, dtype=np.int64), np.array(self.of_b, dtype=np.int64)
+        # each token of a unit with all of the other unit
+        lengths = np.repeat(of_b, of_a)
+        others = np.array(self.b, dtype=np.int64)[spans(np.repeat(np.cumsum(of_b) - of_b, of_a), lengths)]
+        np.add.at(self.matrix.reshape(-1), np.repeat(np.array(self.a, dtype=np.int64) * columns, lengths) + others, np.int32(1))
+        self._forget()
 
     def full(self) -> bool:
         return self.matrix.size > MOST_COUNTED
 
-    def drain(self) -> pa.RecordBatch:
-        a, b = np.nonzero(self.matrix)
-        zh, vi = pa.array(list(self.zh), pa.string()), pa.array(list(self.vi), pa.string())
-        batch = pa.RecordBatch.from_arrays([zh.take(pa.array(a)), vi.take(pa.array(b)), pa.array(self.matrix[a, b].astype(np.int64))], ["zh", "vi", "n"])
+    def drain(self, parts: int) -> Iterator[tuple[int, str, str, bytes]]:
+        """(part, token, words, counts): the words that stand with a token and how often; what stands with any goes to every part."""
+        self.settle()
+        words = np.array(list(self.vi), dtype=object)
+        for token, row in zip(list(self.zh), self.matrix, strict=False):
+            at = np.nonzero(row)[0]
+            if len(at):
+                held = " ".join(words[at].tolist()), row[at].astype("<i4").tobytes()
+                for part in range(parts) if not token else (zlib.crc32(token.encode()) % parts,):
+                    yield part, token, *held
         self.clear()
-        return batch
 
 
 def between(matches: list[tuple[int, int, float]], n: int, m: int) -> list[tuple[int, int]]:
@@ -512,7 +595,7 @@ def reading_associations(glossary: DataFrame | None) -> Associations:
 
 
 def sampled_pairs(lines: DataFrame, most: int) -> DataFrame:
-    """All lines of at most ``most`` bilingual chunks, those whose ids have the smallest hashes."""
+    """All lines of at most ``most`` bilingual chunks, those whose ids have the smallest hashes; ``align_lines`` takes no sample."""
     cell = F.xxhash64(F.col("pair_id"), F.lit("associations"))
     pairs = lines.select("pair_id", cell.alias("cell")).distinct()
     count = lines.agg(F.approx_count_distinct("pair_id").alias("n")).first().n
@@ -524,45 +607,114 @@ def sampled_pairs(lines: DataFrame, most: int) -> DataFrame:
     return lines.where(cell <= F.lit(cut)) if cut is not None else lines
 
 
-def learn_associations(lines: DataFrame, first: Associations, least: int = 4, weakest: float = 0.12, train_pairs: int = 2000, most_associations: int = 4_000_000) -> Associations:
-    """Associations counted over the units a first alignment pairs with confidence, in at most ``train_pairs`` chunks.
+#: Columns of what the first alignment leaves: chunks as words, and counts.
+_CHUNK = "pair_id bigint, zh_lines array<int>, vi_lines array<int>, zh string, vi string"
+_COUNT = "part int, token string, words string, n binary"
+#: Characters of words, and bytes of counts, in one batch.
+BATCH = 4_000_000
 
-    Chunks are chosen by the hash of their id.  Counts are made per task and summed; what comes to
-    the driver is bounded by the words of the sample that go together significantly (more than
-    ``most_associations`` fail; a sample of any size the parameter is meant for stays far below).
-    """
-    from lacquer.session import small_rows
 
-    lines = sampled_pairs(lines, train_pairs)
-    # a bounded sample takes few tasks; the fewer they are, the less often a pair of words is handed on
-    lines = lines.repartition(TRAIN_TASKS, "pair_id").sortWithinPartitions("pair_id", "line", "zh", "vi")
-    shared = lines.sparkSession.sparkContext.broadcast(first.tables())
+def _first_alignment(rows: DataFrame, first: Associations, parts: int) -> DataFrame:
+    """One row per chunk with its units as words, and the counts of all tasks over the units they pair with confidence."""
+    shared = rows.sparkSession.sparkContext.broadcast(first.tables())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Associations(*shared.value)
         seen = PairCounts()
-        for _, rows in _chunks(batches):
-            zh, vi, matches = align_chunk(rows, known, marked=False)
+        schema = pa.schema([("pair_id", pa.int64()), ("zh_lines", pa.list_(pa.int32())), ("vi_lines", pa.list_(pa.int32())), ("zh", pa.string()), ("vi", pa.string()), ("part", pa.int32()), ("token", pa.string()), ("words", pa.string()), ("n", pa.binary())])
+        held: list[tuple] = []
+
+        def out() -> pa.RecordBatch:
+            columns = list(zip(*held, strict=True)) if held else [()] * len(schema)
+            batch = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+            held.clear()
+            return batch
+
+        def counts() -> Iterator[pa.RecordBatch]:
+            size = 0
+            for row in seen.drain(parts):
+                held.append((None,) * 5 + row)
+                size += len(row[2]) + len(row[3])
+                if size > BATCH:
+                    yield out()
+                    size = 0
+
+        size = 0
+        for pair, lines in _chunks(batches):
+            chunk, matches = align_chunk(lines, known, marked=False)
+            if not chunk.zh:
+                continue
             sure = [(i, j) for i, j, s in matches if s >= 0.5]
-            for i, j in sure + between(matches, len(zh), len(vi)):
-                seen.add(set(zh_tokens(zh[i][1])), {*vi_tokens(vi[j][1]), *vi_tokens(vi[j][1], marked=False)})
+            for i, j in sure + between(matches, len(chunk.zh), len(chunk.vi)):
+                seen.add(chunk.zh[i], chunk.plain[j] if chunk.vi[j] is chunk.plain[j] else dict.fromkeys(chunk.vi[j] + chunk.plain[j]))
+            zh, vi = ("\n".join(map(" ".join, side)) for side in (chunk.zh, chunk.vi))
+            held.append((pair, chunk.zh_lines, chunk.vi_lines, zh, vi, None, None, None, None))
+            size += len(zh) + len(vi)
+            if size > BATCH:
+                yield out()
+                size = 0
             if seen.full():
-                yield seen.drain()
-        yield seen.drain()
-
-    counts = lines.mapInArrow(count, "zh string, vi string, n bigint").groupBy("zh", "vi").agg(F.sum("n").alias("n"))
-    counts = _written(counts, "association-counts")
-    one_zh = counts.where("vi = '' and zh <> ''").select("zh", F.col("n").alias("nz"))
-    one_vi = counts.where("zh = '' and vi <> ''").select("vi", F.col("n").alias("nv"))
-    total = counts.where("zh = '' and vi = ''").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("t")).first().t
-    table = first.tables()
-    vi_to_zh, zh_to_vi, vi_weight, zh_weight = ({k: dict(v) if isinstance(v, dict) else v for k, v in t.items()} for t in table)
-    if not total:
-        return Associations(vi_to_zh, zh_to_vi, vi_weight, zh_weight)
-    pairs = counts.where(f"zh <> '' and vi <> '' and n >= {least}").join(one_zh, "zh").join(one_vi, "vi")
-    lift = lambda both, given, other: (F.col(both) / F.col(given) - F.col(other) / total) / F.greatest(1 - F.col(other) / total, F.lit(0.05))
-    pairs = pairs.withColumn("by_vi", lift("n", "nv", "nz")).withColumn("by_zh", lift("n", "nz", "nv")).where((F.col("by_vi") >= weakest) | (F.col("by_zh") >= weakest))
-    rows = small_rows(pairs.select("zh", "vi", "by_vi", "by_zh", "nz", "nv"), most_associations, "associations")
+                yield from counts()
+        yield from counts()
+        yield out()
+
+    return _written(rows.mapInArrow(count, f"{_CHUNK}, {_COUNT}"), "first-alignment")
+
+
+def _significant(counts: DataFrame, parts: int, least: int, weakest: float) -> DataFrame:
+    """Counts of all tasks summed, and of each pair of words how much more often than by chance they stand together, where that is at least ``weakest``."""
+
+    def associate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = _Ids()
+        names: list[str] = []
+        held = None
+        sums = of_vi = np.zeros(0, dtype=np.int64)
+
+        def settled() -> Iterator[pa.RecordBatch]:
+            nonlocal of_vi
+            if not held[1]:  # how often each word stands with any
+                of_vi = sums.copy()
+                return
+            at = np.nonzero(sums >= least)[0]
+            at = at[at > 0]
+            n, nz, nv, total = sums[at], int(sums[0]), of_vi[at], int(of_vi[0])
+            by_vi = (n / nv - nz / total) / max(1 - nz / total, 0.05)
+            by_zh = (n / nz - nv / total) / np.maximum(1 - nv / total, 0.05)
+            kept = (by_vi >= weakest) | (by_zh >= weakest)
+            names.extend(list(ids)[len(names) :])
+            size = int(kept.sum())
+            if size:
+                fixed = [pa.array([v] * size, t) for v, t in ((held[1], pa.string()), (nz, pa.int64()), (total, pa.int64()))]
+                yield pa.RecordBatch.from_arrays([fixed[0], pa.array([names[k] for k in at[kept].tolist()], pa.string()), pa.array(by_vi[kept]), pa.array(by_zh[kept]), fixed[1], pa.array(nv[kept]), fixed[2]], ["zh", "vi", "by_vi", "by_zh", "nz", "nv", "total"])
+
+        for batch in batches:
+            for part, token, words, n in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if (part, token) != held:
+                    if held is not None:
+                        yield from settled()
+                    held = (part, token)
+                    sums = np.zeros(len(ids), dtype=np.int64)
+                at = [ids[w] for w in words.split(" ")]
+                if len(ids) > len(sums):
+                    sums = np.concatenate((sums, np.zeros(len(ids) - len(sums), dtype=np.int64)))
+                sums[at] += np.frombuffer(n, dtype="<i4")  # the words of a row are distinct
+        if held is not None:
+            yield from settled()
+
+    counts = counts.repartition(parts, "part").sortWithinPartitions("part", "token")
+    return counts.mapInArrow(associate, "zh string, vi string, by_vi double, by_zh double, nz bigint, nv bigint, total bigint")
+
+
+def learn_associations(counts: DataFrame, first: Associations, parts: int, least: int = 4, weakest: float = 0.12, most_associations: int = 4_000_000) -> Associations:
+    """Associations from the counts of the first alignment over all chunks.
+
+    What comes to the driver is bounded by the words that go together significantly, which follow the
+    vocabulary and not the number of chunks (more than ``most_associations`` fail, none is left out).
+    """
+    from lacquer.session import small_rows
+
+    rows = sorted(small_rows(_significant(counts, parts, least, weakest), most_associations, "associations"))
+    vi_to_zh, zh_to_vi, vi_weight, zh_weight = ({k: dict(v) if isinstance(v, dict) else v for k, v in t.items()} for t in first.tables())
     # what was counted replaces what was known beforehand
     counted_vi, counted_zh = {r.vi for r in rows}, {r.zh for r in rows}
     vi_to_zh = {k: v for k, v in vi_to_zh.items() if k not in counted_vi}
@@ -579,7 +731,7 @@ def learn_associations(lines: DataFrame, first: Associations, least: int = 4, we
             # half as sure as the surest partner is sure enough: a word has several translations
             to[token] = {x: min(1.0, a / (0.5 * top)) for x, a in partners.items() if a >= 0.25 * top}
             seen = frequency.get((side, token))
-            weight[token] = min(1.0, top) * (float(np.log(1 + total / seen)) / 4 if seen else 1.0)
+            weight[token] = min(1.0, top) * (float(np.log(1 + rows[0].total / seen)) / 4 if seen else 1.0)
     return Associations(vi_to_zh, zh_to_vi, vi_weight, zh_weight)
 
 
@@ -599,8 +751,10 @@ def align_lines(lines: DataFrame, glossary: DataFrame | None = None) -> DataFram
     spark = lines.sparkSession
     parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = lines.where("pair_id is not null and line is not null").select(F.col("pair_id").cast("bigint").alias("pair_id"), F.col("line").cast("int").alias("line"), "zh", "vi")
-    known = learn_associations(rows, reading_associations(glossary))
     rows = rows.repartition(parts, "pair_id").sortWithinPartitions("pair_id", "line", "zh", "vi")
+    first = reading_associations(glossary)
+    kept = _first_alignment(rows, first, parts)
+    known = learn_associations(kept.where("part is not null").select("part", "token", "words", "n"), first, parts)
     shared = spark.sparkContext.broadcast(known.tables())
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -613,15 +767,16 @@ def align_lines(lines: DataFrame, glossary: DataFrame | None = None) -> DataFram
             found.clear()
             return batch
 
-        for pair, chunk in _chunks(batches):
-            zh, vi, matches = align_chunk(chunk, model)
-            lines_of = {(zh[i][0], vi[j][0]) for i, j, _ in matches}
-            found += [(pair, a, b) for a, b in sorted(lines_of)]
-            if len(found) > 20_000:
-                yield out()
+        for batch in batches:
+            for pair, zh_lines, vi_lines, zh, vi in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+                matches = align_units(*model.scores(*([unit.split() for unit in side.split("\n")] for side in (zh, vi))))
+                found += [(pair, a, b) for a, b in sorted({(zh_lines[i], vi_lines[j]) for i, j, _ in matches})]
+                if len(found) > 20_000:
+                    yield out()
         yield out()
 
-    return rows.mapInArrow(align, "pair_id bigint, zh_line int, vi_line int")
+    chunks = kept.where("pair_id is not null").select("pair_id", "zh_lines", "vi_lines", "zh", "vi")
+    return chunks.mapInArrow(align, "pair_id bigint, zh_line int, vi_line int")
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -235,6 +235,43 @@ def test_training_chunks_are_bounded_and_whole(spark):
     assert alignment.sampled_pairs(rows.limit(0), 10).count() == 0
 
 
+def test_associations_are_counted_over_all_chunks(spark):
+    """Words that stand in four of 4,600 chunks are known, wherever those lie: any sample of the chunks would miss most of them."""
+    rare = [(chr(0x6000 + 2 * k) + chr(0x6001 + 2 * k), f"xa{chr(97 + k % 26)}{'ie'[k // 26]} yo{chr(97 + k % 26)}{'ie'[k // 26]}") for k in range(40)]
+    rows = [(p, 0, f"{z}{p + 1000}。", f"{v.capitalize()} {p + 1000}.") for p, (z, v) in enumerate(rare * 4)]
+    rows += [(p, 0, f"山河{p + 1000}。", f"Núi sông {p + 1000}.") for p in range(160, 4600)]
+    swapped = [(rare[k], rare[(k + 1) % 40]) for k in range(40)]
+    for p, (one, other) in enumerate(swapped, start=10_000):
+        rows += [(p, 0, one[0] + "。", other[1].capitalize() + "."), (p, 1, other[0] + "。", one[1].capitalize() + ".")]
+    got = alignment.align_lines(spark.createDataFrame(rows, "pair_id bigint, line int, zh string, vi string")).where("pair_id >= 10000").collect()
+    assert {tuple(r) for r in got} == {(p, a, 1 - a) for p in range(10_000, 10_040) for a in (0, 1)}
+
+
+def test_pair_counts_are_brute_force(spark, monkeypatch):
+    """Counts of pairs, handed on in between, grown and summed over tasks, by definition."""
+    monkeypatch.setattr(alignment, "COUNTED_AT_ONCE", 300)
+    rng = random.Random(12)
+    zh_words, vi_words = [chr(0x6000 + k) for k in range(700)], [f"w{k}" for k in range(6000)]
+    rows, truth, seen = [], {}, alignment.PairCounts()
+    for k in range(900):
+        zh, vi = rng.sample(zh_words, 6), rng.sample(vi_words, 5) + rng.sample(vi_words[:3], 2)
+        vi = list(dict.fromkeys(vi))
+        seen.add([*zh, "#12"], [*vi, "#12"])
+        for a in ("", *zh):
+            for b in ("", *vi):
+                truth[a, b] = truth.get((a, b), 0) + 1
+        if k % 250 == 0:
+            rows += seen.drain(3)
+    rows += seen.drain(3)
+    got = alignment._significant(spark.createDataFrame(rows, "part int, token string, words string, n binary").repartition(5), 3, 1, -9.0).collect()
+    assert {(r.zh, r.vi) for r in got} == {(a, b) for a, b in truth if a and b} and len(got) == len({(r.zh, r.vi) for r in got})
+    total = truth["", ""]
+    for r in got:
+        n, nz, nv = truth[r.zh, r.vi], truth[r.zh, ""], truth["", r.vi]
+        assert (r.nz, r.nv, r.total) == (nz, nv, total)
+        assert abs(r.by_vi - (n / nv - nz / total) / max(1 - nz / total, 0.05)) < 1e-12 and abs(r.by_zh - (n / nz - nv / total) / max(1 - nv / total, 0.05)) < 1e-12
+
+
 def test_sparse_explanations_are_brute_force():
     """Shares of units by definition: each word's weight, by the surest word of the other unit."""
     rng = random.Random(2)
